@@ -58,3 +58,35 @@ def ranked(keys: DataFrame, order: list[Column], rank: str = "rank") -> tuple[Da
         return placed.withColumn(rank, F.lit(0).cast("long")).drop("_place", "_range"), 0
     offset = F.element_at(F.create_map(*offsets), F.col("_range")).cast("long")
     return placed.withColumn(rank, offset + F.col("_place").bitwiseAND((1 << 33) - 1)).drop("_place", "_range"), total
+
+
+def appended(df: DataFrame, fields: str, function, *inputs: str) -> DataFrame:
+    """df with further columns that function(*columns as lists) gives as lists, batch by batch in Arrow.
+
+    fields is a DDL list of the new columns; a column of df with such a name is replaced.
+    """
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    new = T.StructType.fromDDL(fields)
+    names = {f.name.lower() for f in new}
+    df_in = df
+    kept = [c for c in df.columns if c.lower() not in names]
+    # Inputs are read under names of their own, so that one may be replaced.
+    at = {c: i for i, c in enumerate(df_in.columns)}
+    spots = [at[c] for c in inputs]
+    keep_spots = [at[c] for c in kept]
+    schema = T.StructType([df_in.schema[c] for c in kept] + new.fields)
+    kinds = [to_arrow_type(f.dataType) for f in new]
+
+    def run(batches):
+        call = function()
+        for whole in batches:
+            for start in range(0, whole.num_rows, 512):
+                batch = whole.slice(start, 512)
+                out = call(*(batch.column(i).to_pylist() for i in spots))
+                arrays = [batch.column(i) for i in keep_spots] + [pa.array(v, k) for v, k in zip(out, kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return df_in.mapInArrow(run, schema)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import fingerprints, packing, sharding, url_filter
+from . import decontamination, fingerprints, line_dedup, near_dedup, packing, sharding, toxicity, url_filter
 from .common import table
 
 SHARDS = 24
@@ -25,6 +25,33 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    return toxicity.learn(table(spark, sf_dir, "documents"), labels)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    predicted = (F.col("toxic_score") >= 0.5).cast("int")
+    return scored.select("doc_id", held_out().alias("held_out"), F.col("toxic_score").alias("score"), predicted.alias("predicted"), "toxic_passages")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -41,6 +68,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, "url", URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -67,9 +98,13 @@ FROM split s LEFT JOIN best b USING (page_id)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_sharding": op2_sharding,
+    "op3_toxicity": op3_toxicity,
+    "op4_decontamination": op4_decontamination,
     "op5_fingerprints": op5_fingerprints,
     "op6_packing": op6_packing,
+    "op7_near_dedup": op7_near_dedup,
     "op8_url_filter": op8_url_filter,
 }
 ORACLES: dict[str, str] = {"op8_url_filter": OP8_SQL}
