@@ -15,15 +15,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a copy in the folder that the cluster names in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; where it is unset, as in tests, a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
 
-    Only where that setting is unset, as in tests, a temporary folder is taken.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a copy in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontamination, fingerprints, line_dedup, near_dedup, packing, sharding, toxicity, url_filter
+from . import decontamination, fingerprints, line_dedup, near_dedup, packing, sharding, substring_dedup, toxicity, url_filter
 from .common import table
 
 SHARDS = 24
@@ -77,6 +77,12 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, "url", URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
+    return substring_dedup.dedup(docs).select("doc_id", "n_words", "n_removed", kept)
+
+
 OP8_SQL = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -106,5 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_near_dedup": op7_near_dedup,
     "op8_url_filter": op8_url_filter,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES: dict[str, str] = {"op8_url_filter": OP8_SQL}
