@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontamination, fingerprints, line_dedup, near_dedup, packing, sharding, substring_dedup, toxicity, url_filter
+from . import decontamination, fingerprints, line_dedup, near_dedup, packing, pii, sharding, substring_dedup, toxicity, url_filter
 from .common import table
 
 SHARDS = 24
@@ -77,6 +77,22 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, "url", URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.learn(docs))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("pii", lambda x: (x["kind"] == kind) & ~x["added"])).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("pii", lambda x: ~x["added"])
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans")
+    )
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
@@ -112,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_near_dedup": op7_near_dedup,
     "op8_url_filter": op8_url_filter,
+    "op9_pii": op9_pii,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES: dict[str, str] = {"op8_url_filter": OP8_SQL}
