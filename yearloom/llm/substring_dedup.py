@@ -18,9 +18,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import appended, checkpoint
+from .common import appended, checkpoint, fresh
 
 WINDOW, GRAM, HOT = 35, 18, 1000
 WORDS_KEPT = 500_000
@@ -122,10 +122,15 @@ def repeats(stretches: list[bytes], window: int) -> list[np.ndarray]:
     return out
 
 
+def digest(text: Column) -> Column:
+    """16 bytes that stand for a text; never null, so that joins on it put no filter below the shuffle."""
+    return F.coalesce(F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary"))), F.lit(bytearray(b"")))
+
+
 def spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(key, copied, spans): word spans of each row's text that occur elsewhere in another text or place; copied if the
     whole text does.  key identifies equal rows; equal texts may have several."""
-    keys = docs.select(key, F.unhex(F.md5(F.col(text).cast("binary"))).alias("same"))
+    keys = docs.select(key, digest(F.col(text)).alias("same"))
     groups = keys.groupBy("same").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n"))
     flags = checkpoint(keys.distinct().join(groups, "same").select(key, (F.col("n") > 1).alias("copied"), (F.col("first") == F.col(key)).alias("serves")))
 
@@ -160,7 +165,8 @@ def spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, gram: int
         for whole in batches:
             for at in range(0, whole.num_rows, 128):
                 out: list[tuple] = []
-                for k, t, asked in zip(*(c.to_pylist() for c in whole.slice(at, 128).columns)):
+                batch = whole.slice(at, 128)
+                for k, t, asked in zip(*(batch.column(i).to_pylist() for i in spots)):
                     wanted = {x["seed"]: x["hot"] for x in asked}
                     words = read(t)
                     short, exact = words.astype(np.uint32), None
@@ -177,8 +183,10 @@ def spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, gram: int
                     kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(part, kinds)], names=["route", "key", "start", "words"])
 
-    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    dealt = texts.join(lists, "key").mapInArrow(stretches, "route long, key binary, start int, words binary")
+    # All columns go along, so that this join and the caller's share one shuffle of the texts.
+    joined = docs.join(lists, F.col(key) == F.col("key"))
+    spots = [docs.columns.index(key), docs.columns.index(text), len(docs.columns) + 1]
+    dealt = joined.mapInArrow(stretches, "route long, key binary, start int, words binary")
     dealt = dealt.repartition("route").sortWithinPartitions("route", "words")
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,22 +243,23 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
     another; windows are judged on the input.  A null text has no words; a text shorter than a window keeps all its words;
     rows equal throughout count as copies of one another.  Columns of these names are replaced.
     """
+    key = fresh(docs, "_key")
     given = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.lit(" "), F.coalesce(F.col(text), F.lit("")))
-    keyed = docs.withColumn("_key", F.unhex(F.md5(given.cast("binary")))).withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    found = spans(keyed.select("_key", "_text"), "_key", "_text", window, gram, hot)
-    joined = keyed.join(found, F.col("_key") == F.col("key"), "left")
+    keyed = docs.withColumn(key, digest(given))
+    found = spans(keyed, key, text, window, gram, hot)
+    joined = keyed.join(found.select(F.col("key").alias("_found"), F.struct("copied", "spans").alias("_cuts")), F.col(key) == F.col("_found"), "left")
 
     def start():
-        def call(texts, copies, removed):
+        def call(texts, cuts):
             sizes, gone, kept = [], [], []
-            for t, whole, cuts in zip(texts, copies, removed):
-                words = t.encode("utf-8", "surrogatepass").split()
+            for t, cut in zip(texts, cuts):
+                words = (t or "").encode("utf-8", "surrogatepass").split()
                 sizes.append(len(words))
-                if whole and len(words) >= window:
+                if cut["copied"] and len(words) >= window:
                     left = []
                 else:
                     left, at = [], 0
-                    for a, b in sorted((c["a"], c["b"]) for c in cuts or ()):
+                    for a, b in sorted((c["a"], c["b"]) for c in cut["spans"] or ()):
                         if a > at:
                             left += words[at:a]
                         at = max(at, b)
@@ -261,6 +270,6 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
 
         return call
 
-    out = appended(joined, "n_words long, n_removed long, kept_text string", start, "_text", "copied", "spans")
+    out = appended(joined, "n_words long, n_removed long, kept_text string", start, text, "_cuts")
     names = ("n_words", "n_removed", "kept_text")
     return out.select(*(c for c in docs.columns if c.lower() not in names), *names)
