@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,32 +27,60 @@ COST_SPLIT = 4096
 BLOCK_TOKENS = 1 << 20
 END = 1
 #: Distinct words whose ids a task remembers.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 300_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: Words of ASCII and Latin-1 letters: composed already, and split below as the tokenizer splits them.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in own]
+    return [chr(b) if b in own else chr(256 + others.index(b)) for b in range(256)]
+
+
 def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     """Ids of whole texts, by the tokenizer in a file.
 
-    Its pre-tokenizer never joins what blanks separate, so each distinct word is encoded once.
+    Its pre-tokenizer never joins what blanks separate, so each distinct word is encoded once, and a plain word by the
+    vocabulary's merges over its parts; any other word goes through the tokenizer as a whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    merges, letters = tokenizer.model, byte_letters()
     known: dict[str, bytes] = {"": b""}
+    parts: dict[str, bytes] = {}
+
+    def learn(word: str) -> None:
+        if "<|" in word or not PLAIN.fullmatch(word):
+            ids = tokenizer.encode(word, add_special_tokens=False).ids
+            known[word] = array("I", ids).tobytes()
+            return
+        out = []
+        for part in PARTS.findall(word.lower()):
+            if (ids := parts.get(part)) is None:
+                spelled = part if part.isascii() else "".join([letters[b] for b in part.encode()])
+                ids = parts[part] = array("I", [t.id for t in merges.tokenize(spelled)]).tobytes()
+            out.append(ids)
+        known[word] = b"".join(out)
 
     def encode(texts: list[str]) -> list[np.ndarray]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
-            for word, e in zip(part, tokenizer.encode_batch(part, add_special_tokens=False)):
-                known[word] = np.array(e.ids, "<u4").tobytes()
+        for words in split:
+            for w in words:
+                if w not in known:
+                    learn(w)
         out = [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
-        if len(known) > WORDS_KEPT:
-            known.clear()
-            known[""] = b""
+        for cache in (known, parts):
+            if len(cache) > WORDS_KEPT:
+                cache.clear()
+        known[""] = b""
         return out
 
     return encode
