@@ -12,7 +12,7 @@ from .common import BLANK_RUN, ranked
 
 SHINGLE = 5
 #: One hash in SCALE is kept.
-SCALE = 8
+SCALE = 4
 
 
 def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
@@ -64,23 +64,23 @@ def with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sca
     document is its own next one.  Texts move once, by key; the order is settled on keys alone.
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    base = base.select("*", F.xxhash64("text").alias("h"), F.length("text").alias("n"))
-    order, total = ranked(base.select("doc_id", "h", "n").distinct(), [F.col("doc_id").desc_nulls_last(), F.col("h")])
-    follower = order.select((F.col("rank") + 1).alias("rank"), *(F.col(c).alias(f"to_{c}") for c in ("doc_id", "h", "n")))
-    follower = follower.withColumn("rank", F.when(F.col("rank") == total, 0).otherwise(F.col("rank")))
-    asks = order.join(follower, "rank").select("doc_id", "h", "to_doc_id", "to_h", F.floor(F.col("to_n") / 3).cast("int").alias("take"))
-
-    full = base.withColumn("kept", sketch(F.col("text"), scale=scale))
-    l, r = full.alias("l"), asks.alias("r")
-    keys = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.h") == F.col("r.h"))
-    sent = l.join(r, keys).select(
-        F.col("to_doc_id"), F.col("to_h"), F.expr("substring(l.text, 1, take)").alias("head"), F.col("l.kept").alias("next_kept"), F.col("l.h").alias("next_h")
+    base = base.withColumn("h", F.xxhash64("text")).withColumn("k", F.xxhash64("doc_id", F.col("doc_id").isNull(), "h"))
+    order, total = ranked(
+        base.select("doc_id", "k", "h", F.length("text").alias("n")).distinct(), [F.col("doc_id").desc_nulls_last(), F.col("h")]
     )
-    sent = sent.dropDuplicates(["to_doc_id", "to_h"])
-    s = sent.alias("s")
-    keys = F.col("l.doc_id").eqNullSafe(F.col("s.to_doc_id")) & (F.col("l.h") == F.col("s.to_h"))
-    edited = F.expr("concat(substring(l.text, 1, l.n - cast(floor(l.n / 3) as int)), s.head)")
-    got = l.join(s, keys).select("l.*", "s.next_kept", "s.next_h", edited.alias("edited"))
+    asking = order.select((F.col("rank") + 1).alias("rank"), F.col("doc_id").alias("to_id"), F.col("k").alias("to_k"), F.col("h").alias("to_h"), F.col("n").alias("to_n"))
+    asking = asking.withColumn("rank", F.when(F.col("rank") == total, 0).otherwise(F.col("rank")))
+    asks = order.join(asking, "rank").select("k", "h", "to_id", "to_k", "to_h", F.floor(F.col("to_n") / 3).cast("int").alias("take"))
+
+    # Both joins read these very columns by the same key, so that the texts are shuffled once.
+    full = base.select("k", "h", "text", sketch(F.col("text"), scale=scale).alias("kept"))
+    head = F.expr("substring(text, 1, take)").alias("head")
+    sent = full.join(asks, ["k", "h"]).select(
+        F.col("to_id").alias("doc_id"), F.col("to_k").alias("k"), F.col("to_h").alias("h"), head, F.col("kept").alias("next_kept"), F.col("h").alias("next_h")
+    )
+    sent = sent.dropDuplicates(["k", "h"])
+    edited = F.expr("concat(substring(text, 1, length(text) - cast(floor(length(text) / 3) as int)), head)")
+    got = full.join(sent, ["k", "h"]).withColumn("n", F.length("text")).withColumn("edited", edited)
     got = got.withColumn("edited_kept", sketch(F.col("edited"), scale=scale))
     return got.select(
         "doc_id",
