@@ -72,16 +72,18 @@ def with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sca
     asking = asking.withColumn("rank", F.when(F.col("rank") == total, 0).otherwise(F.col("rank")))
     asks = order.join(asking, "rank").select("k", "h", "to_id", "to_k", "to_h", F.floor(F.col("to_n") / 3).cast("int").alias("take"))
 
-    # Both joins read these very columns by the same key, so that the texts are shuffled once.
-    full = base.select("k", "h", "text", sketch(F.col("text"), scale=scale).alias("kept"))
+    # Both joins read these very columns by the same key, so that the texts are shuffled once.  Sketches are made behind
+    # the shuffle, a text's own one twice: that takes less than moving it along, as hashes don't compress.
+    full = base.select("k", "h", "text")
+    own = sketch(F.col("text"), scale=scale)
     head = F.expr("substring(text, 1, take)").alias("head")
     sent = full.join(asks, ["k", "h"]).select(
-        F.col("to_id").alias("doc_id"), F.col("to_k").alias("k"), F.col("to_h").alias("h"), head, F.col("kept").alias("next_kept"), F.col("h").alias("next_h")
+        F.col("to_id").alias("doc_id"), F.col("to_k").alias("k"), F.col("to_h").alias("h"), head, own.alias("next_kept"), F.col("h").alias("next_h")
     )
     sent = sent.dropDuplicates(["k", "h"])
     edited = F.expr("concat(substring(text, 1, length(text) - cast(floor(length(text) / 3) as int)), head)")
     got = full.join(sent, ["k", "h"]).withColumn("n", F.length("text")).withColumn("edited", edited)
-    got = got.withColumn("edited_kept", sketch(F.col("edited"), scale=scale))
+    got = got.withColumns({"kept": own, "edited_kept": sketch(F.col("edited"), scale=scale)})
     return got.select(
         "doc_id",
         F.col("n").cast("long").alias("n_chars"),
