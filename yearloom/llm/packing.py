@@ -26,8 +26,8 @@ SEQUENCE = 2048
 COST_SPLIT = 4096
 BLOCK_TOKENS = 1 << 20
 END = 1
-#: Distinct words whose ids a task remembers.
-WORDS_KEPT = 300_000
+#: Distinct words whose ids a task remembers, twice: those met since, and as many before.
+WORDS_KEPT = 400_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -36,6 +36,10 @@ PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
 PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
+#: Marks that end a word as one part; no apostrophe, which may begin another.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 def byte_letters() -> list[str]:
     """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves."""
     own = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -53,34 +57,39 @@ def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    merges, letters = tokenizer.model, byte_letters()
+    merges, letters = tokenizer.model, dict(enumerate(byte_letters()))
     known: dict[str, bytes] = {"": b""}
+    older: dict[str, bytes] = {}
     parts: dict[str, bytes] = {}
 
-    def learn(word: str) -> None:
+    def part_ids(part: str) -> bytes:
+        if (ids := parts.get(part)) is None:
+            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
+            ids = parts[part] = array("I", [t.id for t in merges.tokenize(spelled)]).tobytes()
+        return ids
+
+    def learned(word: str) -> bytes:
+        stem = word.rstrip(MARKS)
+        if stem.isalpha() and PLAIN.fullmatch(stem):
+            ids = part_ids(stem.lower())
+            return ids if len(stem) == len(word) else ids + part_ids(word[len(stem) :])
         if "<|" in word or not PLAIN.fullmatch(word):
-            ids = tokenizer.encode(word, add_special_tokens=False).ids
-            known[word] = array("I", ids).tobytes()
-            return
-        out = []
-        for part in PARTS.findall(word.lower()):
-            if (ids := parts.get(part)) is None:
-                spelled = part if part.isascii() else "".join([letters[b] for b in part.encode()])
-                ids = parts[part] = array("I", [t.id for t in merges.tokenize(spelled)]).tobytes()
-            out.append(ids)
-        known[word] = b"".join(out)
+            return array("I", tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return b"".join([part_ids(part) for part in PARTS.findall(word.lower())])
 
     def encode(texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        for words in split:
-            for w in words:
-                if w not in known:
-                    learn(w)
-        out = [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
-        for cache in (known, parts):
-            if len(cache) > WORDS_KEPT:
-                cache.clear()
-        known[""] = b""
+        nonlocal known, older, parts
+        out = []
+        for text in texts:
+            words = text.replace("\n", " ").split(" ")
+            for w in set(words).difference(known):
+                ids = older.get(w)
+                known[w] = learned(w) if ids is None else ids
+            out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4"))
+            if len(known) > WORDS_KEPT:  # words in use outlive those seen once
+                known, older = {"": b""}, known
+            if len(parts) > WORDS_KEPT:
+                parts = {}
         return out
 
     return encode
