@@ -27,17 +27,14 @@ COST_SPLIT = 4096
 BLOCK_TOKENS = 1 << 20
 END = 1
 #: Distinct words whose ids a task remembers, twice: those met since, and as many before.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-#: Words of ASCII and Latin-1 letters: composed already, and split below as the tokenizer splits them.
+#: Texts and words of ASCII and Latin-1 letters: composed already, and split below as the tokenizer splits them.
+PLAIN_TEXT = re.compile("[\n !-~À-ÖØ-öø-ÿ]*")
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-
-
-#: Marks that end a word as one part; no apostrophe, which may begin another.
-MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n ]+")
 
 
 def byte_letters() -> list[str]:
@@ -50,49 +47,51 @@ def byte_letters() -> list[str]:
 def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     """Ids of whole texts, by the tokenizer in a file.
 
-    Its pre-tokenizer never joins what blanks separate, so each distinct word is encoded once, and a plain word by the
-    vocabulary's merges over its parts; any other word goes through the tokenizer as a whole.
+    Its pre-tokenizer parts a text at blanks, marks and digits.  A plain text is parted here, and each distinct part put
+    together once by the vocabulary's merges; of any other text the distinct words are, those that aren't plain by the
+    tokenizer as a whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     merges, letters = tokenizer.model, dict(enumerate(byte_letters()))
-    known: dict[str, bytes] = {"": b""}
-    older: dict[str, bytes] = {}
-    parts: dict[str, bytes] = {}
 
     def part_ids(part: str) -> bytes:
-        if (ids := parts.get(part)) is None:
-            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
-            ids = parts[part] = array("I", [t.id for t in merges.tokenize(spelled)]).tobytes()
-        return ids
-
-    def learned(word: str) -> bytes:
-        stem = word.rstrip(MARKS)
-        if stem.isalpha() and PLAIN.fullmatch(stem):
-            ids = part_ids(stem.lower())
-            return ids if len(stem) == len(word) else ids + part_ids(word[len(stem) :])
+        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
+        return array("I", [t.id for t in merges.tokenize(spelled)]).tobytes()
+
+    def word_ids(word: str) -> bytes:
         if "<|" in word or not PLAIN.fullmatch(word):
             return array("I", tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         return b"".join([part_ids(part) for part in PARTS.findall(word.lower())])
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        nonlocal known, older, parts
-        out = []
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            for w in set(words).difference(known):
-                ids = older.get(w)
-                known[w] = learned(w) if ids is None else ids
-            out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4"))
-            if len(known) > WORDS_KEPT:  # words in use outlive those seen once
-                known, older = {"": b""}, known
-            if len(parts) > WORDS_KEPT:
-                parts = {}
-        return out
-
-    return encode
+    class Known(dict):
+        """Ids of the units met last; those in use outlive those met once when the memory turns over."""
+
+        def __init__(self, learn: Callable[[str], bytes]):
+            self.learn, self.older = learn, {}
+
+        def __missing__(self, unit: str) -> bytes:
+            ids = self.older.get(unit)
+            if ids is None:
+                ids = self.learn(unit)
+            if len(self) >= WORDS_KEPT:
+                self.older = dict(self)
+                self.clear()
+            self[unit] = ids
+            return ids
+
+    parts, words = Known(part_ids), Known(word_ids)
+
+    def encoded(text: str) -> np.ndarray:
+        if PLAIN_TEXT.fullmatch(text) and "<|" not in text:
+            units, known = PARTS.findall(text.lower()), parts
+        else:
+            units, known = [w for w in text.replace("\n", " ").split(" ") if w], words
+        return np.frombuffer(b"".join(map(known.__getitem__, units)), "<u4")
+
+    return lambda texts: [encoded(t) for t in texts]
 
 
 def pack(sizes: list[int], capacity: int = SEQUENCE) -> list[tuple[int, int, int, int, int]]:
