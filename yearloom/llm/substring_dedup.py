@@ -154,9 +154,10 @@ def spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, gram: int
                         [pa.array(found_keys, pa.binary()), pa.array(np.concatenate(found_seeds)), pa.array(np.concatenate(found_places))], names=["key", "seed", "place"]
                     )
 
-    marks = docs.select(key, text).mapInArrow(seeds, "key binary, seed long, place long")
+    marks = checkpoint(docs.select(key, text).mapInArrow(seeds, "key binary, seed long, place long"))
     shared = marks.groupBy("seed").agg(F.min("place").alias("a"), F.max("place").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b")
-    shared = shared.select("seed", (F.col("n") > hot).alias("hot"))
+    # A copy of its own, so that the join below is free to split a common seed.
+    shared = checkpoint(shared.select("seed", (F.col("n") > hot).alias("hot")))
     lists = marks.select("key", "seed").join(shared, "seed").groupBy("key").agg(F.collect_set(F.struct("seed", "hot")).alias("seeds"))
     lists = checkpoint(lists.join(flags.where("serves").select(F.col(key).alias("key")), "key", "left_semi"))
 
