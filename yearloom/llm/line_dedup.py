@@ -100,7 +100,8 @@ def recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_d
     places = distinct.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").count()
     common = places.groupBy("leaf", "place").agg(F.max(F.struct("count", "token")).alias("top"), F.sum("count").alias("all"))
     constant = F.map_from_entries(F.collect_list(F.when(F.col("top.count") * 2 > F.col("all"), F.struct("place", F.col("top.token")))))
-    templates = common.groupBy("leaf").agg(constant.alias("constant"))
+    # A copy of its own, so that the join below is free to split a leaf of many lines.
+    templates = checkpoint(common.groupBy("leaf").agg(constant.alias("constant")))
     agrees = F.forall(F.map_entries("constant"), lambda e: F.get(F.col("tokens"), e["key"]) == e["value"])
     enough = F.size("constant") >= MIN_CONSTANT * F.size("tokens")
     template = F.when(agrees & enough, F.col("leaf")).otherwise(F.col("line"))
