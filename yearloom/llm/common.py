@@ -39,6 +39,34 @@ def fresh(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """df with its columns named by their place, so that none clashes with a name used on the way."""
+    return df.toDF(*(f"_c{i}" for i in range(len(df.columns))))
+
+
+def named_back(df: DataFrame, columns: list[str], new: tuple[str, ...]) -> DataFrame:
+    """The columns of the numbered table under their own names, those of new names left out, then the new ones."""
+    old = [F.col(f"_c{i}").alias(c) for i, c in enumerate(columns) if c.lower() not in new]
+    return df.select(*old, *new)
+
+
+def place(df: DataFrame, column: str) -> str:
+    """What numbered() calls a column."""
+    return f"_c{[c.lower() for c in df.columns].index(column.lower())}"
+
+
+def lowest(df: DataFrame, key: Column, most: int, ties: list[str]) -> DataFrame:
+    """The rows of least key (a hash), most at most.
+
+    A count first sets a bound below which some four times as many rows lie, so that what meets in one place to be sorted
+    doesn't grow with the input.
+    """
+    n = df.count()
+    if n > 8 * most:
+        df = df.where(key < -(1 << 63) + (1 << 64) * 4 * most // n)
+    return df.orderBy(key, *ties).limit(most)
+
+
 def ranked(keys: DataFrame, order: list[Column], rank: str = "rank") -> tuple[DataFrame, int]:
     """keys with a gapless global position from 0 in the given order, and the number of rows.
 

@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import appended
+from .common import appended, fresh
 
 ERROR_RATE = 0.06
 #: Characters of test items that a pass broadcasts at most, one item longer than that excepted; more items, more passes.
@@ -136,6 +136,7 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "
         if b == 0:
             out = appended(out, LEAKS, start, text)
         else:
-            out = appended(out, LEAKS.replace("leaks", "_leaks", 1), start, text)
-            out = out.withColumn("leaks", F.concat("leaks", "_leaks")).drop("_leaks")
+            more = fresh(out, "_leaks")
+            out = appended(out, LEAKS.replace("leaks", more, 1), start, text)
+            out = out.withColumn("leaks", F.concat("leaks", more)).drop(more)
     return out

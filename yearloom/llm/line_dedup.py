@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import appended, checkpoint
+from .common import appended, checkpoint, named_back, numbered, place
 
 DEPTH, MIN_TOKENS, MIN_DOCS = 3, 4, 5
 #: Of a template's tokens this share at least is constant.
@@ -120,8 +120,9 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_docs:
     null texts.  A document all of whose lines recur keeps an empty text.  Rows that share a doc_id lose what recurs in
     either.  Columns n_lines and n_dropped of docs are replaced.
     """
-    dropped = recurring(docs, doc_id, text, min_docs).groupBy("doc_id").agg(F.collect_set("line").alias("_dropped"))
-    joined = docs.join(dropped.withColumnRenamed("doc_id", "_doc_id"), F.col(doc_id).cast("long") == F.col("_doc_id"), "left").drop("_doc_id")
+    inner, own_id, own_text = numbered(docs), place(docs, doc_id), place(docs, text)
+    dropped = recurring(inner, own_id, own_text, min_docs).groupBy("doc_id").agg(F.collect_set("line").alias("_dropped"))
+    joined = inner.join(dropped, F.col(own_id).cast("long") == F.col("doc_id"), "left").drop("doc_id")
 
     def start():
         def call(texts, drops):
@@ -141,5 +142,5 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_docs:
 
         return call
 
-    out = appended(joined, f"`{text}` string, n_lines long, n_dropped long", start, text, "_dropped")
-    return out.select(*(c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")), "n_lines", "n_dropped")
+    out = appended(joined, f"{own_text} string, n_lines long, n_dropped long", start, own_text, "_dropped")
+    return named_back(out, docs.columns, ("n_lines", "n_dropped"))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import appended
+from .common import appended, lowest
 
 #: Kinds and patterns are fixed values.
 KINDS = ("email", "ip", "card", "phone")
@@ -322,7 +322,7 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Tagger
 
         return call
 
-    sample = rows.orderBy("h", "t").limit(MAX_SAMPLE)
+    sample = lowest(rows, F.col("h"), MAX_SAMPLE, ["t"])
     texts = [r["part"] for r in appended(sample, "part string", start, "t").select("h", "part").orderBy("h", "part").collect()]
     tagger = Tagger.fresh()
     ids, tags = examples(texts)

@@ -57,10 +57,9 @@ def shard(df: DataFrame, key: str, shards: int, seed: int = 0, ties: list[str] |
 
     Rows are numbered by key, nulls first, then by ties; rows equal in all of these are interchangeable.  Pass only the
     columns that should move: the text of a document isn't needed to place it.  An empty table gives an empty result, and
-    fewer rows than shards leave the last shards empty.
+    fewer rows than shards leave the last shards empty.  Columns shard and slot of df are replaced.
     """
-    if {"shard", "slot"} & {c.lower() for c in df.columns}:
-        raise ValueError("the input already has a column shard or slot")
+    df = df.drop(*(c for c in df.columns if c.lower() in ("shard", "slot")))
     row = fresh(df, "_row")
     numbered, n = ranked(df, [F.col(key).asc_nulls_first(), *(F.col(c).asc_nulls_first() for c in ties or [])], row)
     dealt = permute(numbered, row, n, row, seed)

@@ -20,7 +20,7 @@ import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import appended, checkpoint, fresh
+from .common import appended, checkpoint, named_back, numbered, place
 
 WINDOW, GRAM, HOT = 35, 18, 1000
 WORDS_KEPT = 500_000
@@ -244,10 +244,10 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
     another; windows are judged on the input.  A null text has no words; a text shorter than a window keeps all its words;
     rows equal throughout count as copies of one another.  Columns of these names are replaced.
     """
-    key = fresh(docs, "_key")
-    given = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.lit(" "), F.coalesce(F.col(text), F.lit("")))
-    keyed = docs.withColumn(key, digest(given))
-    found = spans(keyed, key, text, window, gram, hot)
+    key, inner, own_text = "_key", numbered(docs), place(docs, text)
+    given = F.concat(F.coalesce(F.col(place(docs, doc_id)).cast("string"), F.lit("-")), F.lit(" "), F.coalesce(F.col(own_text), F.lit("")))
+    keyed = inner.withColumn(key, digest(given))
+    found = spans(keyed, key, own_text, window, gram, hot)
     joined = keyed.join(found.select(F.col("key").alias("_found"), F.struct("copied", "spans").alias("_cuts")), F.col(key) == F.col("_found"), "left")
 
     def start():
@@ -271,6 +271,5 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
 
         return call
 
-    out = appended(joined, "n_words long, n_removed long, kept_text string", start, text, "_cuts")
-    names = ("n_words", "n_removed", "kept_text")
-    return out.select(*(c for c in docs.columns if c.lower() not in names), *names)
+    out = appended(joined, "n_words long, n_removed long, kept_text string", start, own_text, "_cuts")
+    return named_back(out, docs.columns, ("n_words", "n_removed", "kept_text"))

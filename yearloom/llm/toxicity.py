@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import appended
+from .common import appended, lowest
 
 #: Labelled rows that a model learns from at most: those first by the hash of doc_id.
 MAX_LABELLED = 20_000
@@ -94,7 +94,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     Without toxic rows, or without others, the model has no tokens and scores all texts alike.
     """
     chosen = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isin(0, 1)).select(F.col(doc_id).alias("_id"), F.col(toxic).cast("int").alias("_toxic"))
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "_toxic").limit(MAX_LABELLED)
+    chosen = lowest(chosen, F.xxhash64("_id"), MAX_LABELLED, ["_id", "_toxic"])
     rows = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     rows = rows.join(F.broadcast(chosen), "_id")  # MAX_LABELLED rows
 
