@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import named, relational  # noqa: F401
+from . import extraction, named, relational  # noqa: F401

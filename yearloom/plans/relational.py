@@ -10,11 +10,11 @@ from yearloom.sources.archive import VIEWS as V, Archive
 from .registry import query
 
 
-def over_archive(name: str, sql: str):
+def over_archive(name: str, sql: str | None = None):
     """Registers f(archive) with the archive of the star tables."""
 
     def put(f):
-        @query(name, V + sql)
+        @query(name, None if sql is None else V + sql)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return f(Archive.from_star(spark, sf_dir))
 
