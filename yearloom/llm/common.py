@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -26,9 +27,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a copy in the shared folder."""
+    """Cuts the lineage with a copy in the shared folder.
+
+    Shuffle files and older copies that nothing refers to any more go as soon as the driver's garbage is collected, which
+    a driver under no memory pressure puts off; so it is asked here, else the rounds of an iteration pile up on disk.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    copy = df.checkpoint(eager=True)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return copy
 
 
 def fresh(df: DataFrame, stem: str) -> str:

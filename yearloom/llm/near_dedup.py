@@ -180,8 +180,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """
     rows = checkpoint(_signed(docs, doc_id, text))
     usable = rows.where("doc_id IS NOT NULL AND same IS NOT NULL")
-    twins = usable.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
-    nodes = checkpoint(twins)
+    nodes = checkpoint(usable.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")))
     pairs = checkpoint(_estimated(_neighbours(nodes), nodes))
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
