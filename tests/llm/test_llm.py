@@ -280,6 +280,41 @@ def test_near_dedup_against_all_pairs(spark, sf_dir, docs):
         assert (got[i]["n_shingles"], got[i]["component_id"], got[i]["kept"]) == (len(sets[i]), want, want == i)
 
 
+def linked(texts):
+    """The least text's number of each text's component, over all pairs."""
+    sets, label = [shingles(t) for t in texts], list(range(len(texts)))
+
+    def top(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                p, q = top(i), top(j)
+                label[max(p, q)] = min(p, q)
+    return [top(i) for i in range(len(texts))]
+
+
+def test_near_dedup_in_crowds(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 32, raising=False)
+    r = random.Random(7)
+    say = lambda n: ["".join(r.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+    passage = say(88)
+    crowd = [" ".join(passage + say(16)) for _ in range(1000)]
+    # Alike enough to one text of the crowd, and to no other.
+    crowd += [" ".join(t.split()[:-14] + say(14)) for t in crowd[:60]]
+    parts = [say(12) for _ in range(24)]
+    crowd += [" ".join(w for k in sorted(r.sample(range(24), 21)) for w in parts[k]) for _ in range(120)]
+    copied = say(90)
+    crowd += [" ".join(copied + say(5)) for _ in range(60)] + [" ".join(copied[:80] + say(20)) for _ in range(20)]
+    want = linked(crowd)
+    assert want[:1000] == list(range(1000)) and want[1000:1060] == list(range(60))
+    got = {x["doc_id"]: x["component_id"] for x in rows(near_dedup.classes(spark.createDataFrame(list(enumerate(crowd)), "doc_id long, text string")))}
+    assert got == dict(enumerate(want))
+
+
 def test_near_dedup_odd(odd, none):
     got = rows(near_dedup.classes(odd))
     assert Counter((r["doc_id"], r["component_id"], r["n_shingles"]) for r in got)[(4, 4, 1)] == 2

@@ -6,9 +6,14 @@ in a crowded region the nearest ones share longer prefixes, so depth adapts to t
 which splits crowded regions over tasks, and the seams are paired in a second small pass.
 
 Candidates whose whole signatures agree in less than CLOSE are left out (the deviation is 0.04).  Those nearest are
-confirmed on full sets first, then those that still lie in different components.  At last every node is held against the
-best linked node (the hub) of each other component in its regions, until no round links anything new; this reaches the
-nodes of a crowded region whose sole link isn't next to them in any order.
+confirmed on full sets first, then those that still lie in different components.
+
+A region (the nodes that share MIN_DEPTH labels in a tree) of more nodes than the order pairs is crowded.  If it holds
+several components then, its nodes are joined exactly: a pair alike enough shares one of the rarest shingles of either,
+and the first they share stands early enough in both for the rest to make up the overlap that their sizes ask for.  So
+texts with a passage in common that is too short to link them aren't paired through it.  Shingles of many nodes are
+joined in blocks of some BLOCK nodes, and blocks of one component aren't held against each other.  Nodes that differ
+only in which parts of one pool they hold have no rare shingles; their pairs are all made, which is exact but quadratic.
 """
 
 from __future__ import annotations
@@ -27,6 +32,8 @@ from .components import components
 SHINGLE, PERCENT = 5, 75
 TREES, DEPTH, MIN_DEPTH, REACH, CLOSE, NEAREST = 16, 8, 3, 2, 0.6, 3
 WORDS_KEPT = 500_000
+#: Nodes of a block, and counters of shingles by which rare ones are told from common ones (any order of them is exact).
+BLOCK, COUNTERS = 256, 1 << 20
 _U = np.uint64
 _RANDOM = np.random.default_rng(20240501)
 _PLACES = (_RANDOM.integers(0, 1 << 63, SHINGLE, dtype=_U) << _U(1)) | _U(1)
@@ -171,6 +178,105 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _placed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(region, node, label) for each region of nodes(node, signature); a node without links is a component of its own."""
+    named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    regions = [F.struct(F.lit(t).alias("tree"), F.substring("signature", 2 * DEPTH * t + 1, 2 * MIN_DEPTH).alias("path")) for t in range(TREES)]
+    return named.select("node", "label", F.explode(F.array(*regions)).alias("region"))
+
+
+def _in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of rows of one group, sorted by (token, left, right), that may be alike enough by their sizes."""
+
+    def pairs(columns: list[np.ndarray], starts: np.ndarray) -> pa.RecordBatch:
+        node, label, size, most = columns[3:]
+        group, at, d, got = np.cumsum(starts), np.arange(len(node)), 1, []
+        while True:
+            at = at[at + d < len(node)]
+            at = at[group[at] == group[at + d]]
+            if not len(at):
+                break
+            to = at + d
+            fits = (label[at] != label[to]) & (size[to] <= most[at]) & (size[at] <= most[to])
+            got.append(np.stack([np.minimum(node[at], node[to])[fits], np.maximum(node[at], node[to])[fits]]))
+            d += 1
+        both = np.concatenate(got, 1) if got else np.zeros((2, 0), np.int64)
+        both = both[:, np.lexsort(both)]
+        new = np.ones(both.shape[1], bool)
+        new[1:] = (both[:, 1:] != both[:, :-1]).any(0)
+        return pa.RecordBatch.from_arrays([pa.array(c[new], pa.int64()) for c in both], names=["a", "b"])
+
+    held = [np.zeros(0, np.int64)] * 7
+    for batch in batches:
+        if batch.num_rows:
+            rows = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, batch.columns)]
+            starts = np.ones(len(rows[0]), bool)
+            starts[1:] = np.any([c[1:] != c[:-1] for c in rows[:3]], axis=0)
+            end = int(np.flatnonzero(starts)[-1])
+            yield pairs([c[:end] for c in rows], starts[:end])
+            held = [c[end:] for c in rows]
+    starts = np.zeros(len(held[0]), bool)
+    yield pairs(held, starts)
+
+
+def _joined(sets: DataFrame) -> DataFrame:
+    """Candidates (a, b) among sets(node, label, shingles): all pairs of different labels that are alike enough, and others."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                np.add.at(counts, np.frombuffer(x.as_buffer(), _U) % _U(COUNTERS), 1)
+        at = np.flatnonzero(counts)
+        for k in range(0, len(at), 65536):
+            part = at[k : k + 65536]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(counts[part], pa.int64())], names=["at", "n"])
+
+    counts = np.zeros(COUNTERS, np.int64)
+    # A row per counter at most, whatever the input.
+    found = sets.select("shingles").mapInArrow(tally, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    counts[found.column("at").to_numpy()] = found.column("n").to_numpy()
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The shingles, from the rarest on, that may be the first a node shares; most: the size of such a partner."""
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                out = []
+                for node, label, x in zip(*whole.slice(start, 256).columns):
+                    x = np.frombuffer(x.as_buffer(), _U)
+                    n = len(x)
+                    x = x[np.lexsort((x, counts[x % _U(COUNTERS)]))[: n * (100 - PERCENT) // 100 + 1]]
+                    # Overlap in sizes n and m is PERCENT / (100 + PERCENT) * (n + m) at least, and n - i at most.
+                    most = ((100 + PERCENT) * (n - np.arange(len(x))) - PERCENT * n) // PERCENT
+                    same = np.ones(len(x), np.int64)
+                    out.append((x.view(np.int64), node.as_py() * same, label.as_py() * same, n * same, most))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)], names=["token", "node", "label", "size", "most"])
+
+    rows = checkpoint(sets.mapInArrow(rarest, "token long, node long, label long, size long, most long"))
+    # The smaller one of a pair has room for one of its own size.
+    tokens = rows.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.max(F.col("most") >= F.col("size")).alias("open")
+    )
+    tokens = tokens.where("lo <> hi AND open").select("token", "n")
+    rows = checkpoint(rows.join(tokens, "token"))
+    few = rows.where(F.col("n") <= BLOCK).withColumns({"left": F.lit(0).cast("long"), "right": F.lit(0).cast("long")})
+    many = rows.where(F.col("n") > BLOCK)
+    own = many.groupBy("token", "label").agg(F.count(F.lit(1)).alias("own"))
+    large = F.col("own") > BLOCK
+    salt = F.when(large, F.pmod(F.xxhash64("node"), F.ceil(F.col("own") / BLOCK))).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("n") / BLOCK)))
+    many = many.join(own, ["token", "label"]).withColumn("only", F.when(large, F.col("label")))
+    many = checkpoint(many.withColumn("block", F.xxhash64(large, F.coalesce("only", F.lit(0).cast("long")), salt)))
+    blocks = many.select("token", "block", "only").distinct()
+    left, right = (blocks.select("token", F.col("block").alias(c), F.col("only").alias(f"_{c}")) for c in ("left", "right"))
+    cells = left.join(right, "token").where("left <= right AND NOT coalesce(_left = _right, false)").select("token", "left", "right")
+    ends = cells.withColumn("block", F.explode(F.array_distinct(F.array("left", "right"))))
+    many = many.join(ends, ["token", "block"])
+    columns = ["token", "left", "right", "node", "label", "size", "most"]
+    placed = few.select(columns).union(many.select(columns)).repartition("token", "left", "right").sortWithinPartitions("token", "left", "right")
+    return placed.mapInArrow(_in_groups, "a long, b long").distinct()
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs.
 
@@ -192,8 +298,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
                 sets = [shingles(t).tobytes() for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text")).join(asked, "node", "left_semi")
-    sets = checkpoint(texts.mapInArrow(run, "node long, shingles binary"))
+    def shingled(wanted: DataFrame) -> DataFrame:
+        texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text")).join(wanted, "node", "left_semi")
+        return texts.mapInArrow(run, "node long, shingles binary")
+
+    sets = checkpoint(shingled(asked))
 
     ends = pairs.select("a", "b", "share", F.col("a").alias("node")).union(pairs.select("a", "b", "share", "b"))
     # A node has no more candidates than TREES * REACH * 2.
@@ -219,22 +328,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     rest = checkpoint(apart(pairs.select("a", "b")).select("a", "b"))
     new = checkpoint(_confirmed(rest, sets))
     tried = tried.union(rest)
-    labels, links = joined(new), links.union(new)
-    while True:  # each round but the last joins two components at least
-        degrees = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").count()
-        named = degrees.join(labels, "node", "left").select("node", "count", F.coalesce("label", "node").alias("label"))
-        hubs = named.groupBy("label").agg(F.max_by("node", F.struct("count", -F.col("node"))).alias("node"))
-        regions = [F.struct(F.lit(t).alias("tree"), F.substring("signature", 2 * DEPTH * t + 1, 2 * MIN_DEPTH).alias("path")) for t in range(TREES)]
-        placed = nodes.join(asked, "node", "left_semi").select("node", F.explode(F.array(*regions)).alias("region"))
-        beside = placed.join(hubs.select("node").join(placed, "node").select(F.col("node").alias("hub"), "region"), "region")
-        beside = beside.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        untried = apart(beside.join(tried, ["a", "b"], "left_anti")).select("a", "b")
-        untried = checkpoint(_estimated(untried, nodes).select("a", "b"))
-        tried = tried.union(untried)
-        new = checkpoint(_confirmed(untried, sets))
-        if new.isEmpty():
-            break
-        labels, links = joined(new), links.union(new)
+    labels = joined(new)
+    placed = _placed(nodes, labels)
+    wide = placed.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    wide = wide.where((F.col("n") > REACH + 1) & (F.col("lo") != F.col("hi"))).select("region")
+    crowd = checkpoint(placed.join(wide, "region", "left_semi").select("node", "label").distinct())
+    if not crowd.isEmpty():
+        sets = checkpoint(shingled(crowd))
+        rest = checkpoint(_joined(sets.join(crowd, "node").select("node", "label", "shingles")).join(tried, ["a", "b"], "left_anti"))
+        labels = joined(checkpoint(_confirmed(rest, sets)))
 
     result = rows.select("doc_id", "n_shingles", "same").join(nodes.select("same", "node"), "same", "left")
     result = result.join(labels, "node", "left")
