@@ -69,6 +69,22 @@ def test_recurring_templates_go_and_copies_stay(spark):
     assert all(got[100 + i]["text"] == copy for i in range(20))
 
 
+def test_recurring_lines_go_whatever_the_copies(spark):
+    r = random.Random(2)
+    say = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    shared, passage = say(12), say(60)
+    data = [f"{say(12)}\n{shared}\n{say(12)}" for _ in range(100)]
+    data += [f"{say(20)}\n{shared}\n{say(20)}"] * 200
+    data += [f"{passage}\n{say(5)}" for _ in range(100)]
+    got = {x["doc_id"]: x["text"] for x in rows(line_dedup.dedup(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")))}
+    for i, t in enumerate(data):
+        assert got[i] == "\n".join(x for x in t.split("\n") if x not in (shared, passage))
+    copy = [say(20) for _ in range(4)]
+    data = ["\n".join([*copy[:3], f"{copy[3]} {say(1)}"]) for _ in range(200)]
+    got = rows(line_dedup.dedup(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")))
+    assert all(x["n_dropped"] == 0 for x in got)
+
+
 def test_line_dedup_odd(odd, none):
     out = line_dedup.dedup(odd)
     assert out.columns == [*odd.columns, "n_lines", "n_dropped"]

@@ -4,9 +4,10 @@ A line's leaf is its number of tokens and its first DEPTH tokens, tokens with di
 distinct lines of a leaf a place whose commonest token isn't in most lines is variable too.  Lines that agree with the
 rest of their leaf's template share it if enough of it is constant; any other line is a template of its own.
 
-A template recurs if lines of it stand in MIN_DOCS documents that aren't copies of one another.  Documents are told apart
-by a one-value sketch (the least hash of their 32-byte windows), which copies and near copies mostly share: what stands
-mainly in copies of one document is left to document dedup, so that a group of copies doesn't lose its text.
+A template recurs if lines of it stand in MIN_DOCS documents that aren't copies of one another, however many copies there
+are.  Documents are told apart by what they hold beside the lines of the leaf in question: SKETCHES least hashes of its
+32-byte windows, at least one of which copies and near copies almost surely share.  A document counts if it shares none
+with a holder of lower doc_id; so a group of copies counts once, and doesn't lose its text.
 """
 
 from __future__ import annotations
@@ -24,9 +25,8 @@ from .common import appended, checkpoint, named_back, numbered, place
 DEPTH, MIN_TOKENS, MIN_DOCS = 3, 4, 5
 #: Of a template's tokens this share at least is constant.
 MIN_CONSTANT = 0.7
-#: Of the documents that hold a template this share at least aren't copies of one another.
-MIN_APART = 0.5
-WINDOW = 32
+WINDOW, SKETCHES = 32, 4
+_MIXERS = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 DIGIT = re.compile(r"\d")
 FIELD = re.compile(r"\S*\d\S*")
 VARIABLE = "<*>"
@@ -36,18 +36,39 @@ def _long(data: bytes | str) -> int:
     return xxhash.xxh64_intdigest(data) - (1 << 63)
 
 
-def sketch(text: str) -> int:
-    """The least hash of the text's windows of WINDOW bytes; of the whole text if it is shorter."""
-    data = text.encode("utf-8", "replace")
-    if len(data) < WINDOW:
-        return _long(data)
-    h, step, base = np.frombuffer(data, np.uint8).astype(np.uint64), 1, 0x9E3779B97F4A7C15
+def sketches(lines: list[str]) -> np.ndarray:
+    """Per line, SKETCHES least hashes of its windows of WINDOW bytes; of the whole line if it is shorter."""
+    parts = [x.encode("utf-8", "replace").ljust(WINDOW, b"\n") for x in lines]
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    h, step, base = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64), 1, 0x9E3779B97F4A7C15
     while step < WINDOW:
         h = h[:-step] * np.uint64(base) + h[step:]
         base, step = base * base % (1 << 64), step * 2
     h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return int((h ^ (h >> np.uint64(32))).min()) - (1 << 63)
+    starts = np.cumsum(sizes) - sizes
+    # Windows that run over a line's end belong to none.
+    bounds = np.stack([starts, starts + sizes - WINDOW + 1], 1).ravel()
+    least = []
+    for m in _MIXERS:
+        x = h * m
+        x ^= x >> np.uint64(32)
+        least.append(np.minimum.reduceat(np.append(x, np.uint64(0)), bounds)[::2])
+    return np.stack(least, 1)
+
+
+def beside(lines: list[str], leaves: list[int | None]) -> dict[int, list[int]]:
+    """Per leaf, the sketches of the lines that aren't of it; of all lines if there are no others."""
+    own = sketches(lines)
+    codes: dict[int | None, int] = {}
+    at = np.array([codes.setdefault(x, len(codes)) for x in leaves])
+    least = np.full((len(codes), SKETCHES), np.iinfo(np.uint64).max, np.uint64)
+    np.minimum.at(least, at, own)
+    if len(codes) == 1:
+        return {x: least[0].view(np.int64).tolist() for x in codes if x is not None}
+    first = least.argmin(0)
+    two = np.partition(least, 1, 0)[:2]
+    rest = np.where(np.arange(len(codes))[:, None] == first, two[1], two[0]).view(np.int64).tolist()
+    return {x: rest[k] for x, k in codes.items() if x is not None}
 
 
 def parse(line: str) -> tuple[int, int, list[str]] | None:
@@ -68,34 +89,35 @@ def recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_d
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                out: list[tuple[int, int, int]] = []
+                out: list[tuple[int, int]] = []
                 for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     found = {p[0] for line in set(t.split("\n")) if (p := parse(line))}
-                    if found:
-                        s = sketch(t)
-                        out += [(i, s, leaf) for leaf in found]
+                    out += [(i, leaf) for leaf in found]
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "sketch", "leaf"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "leaf"])
 
-    pairs = checkpoint(rows.mapInArrow(leaves, "doc_id long, sketch long, leaf long"))
-    often = pairs.groupBy("leaf", "sketch").count().groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")
-    asked = pairs.join(often, "leaf", "left_semi").groupBy("doc_id", "sketch").agg(F.collect_set("leaf").alias("leaves"))
+    pairs = checkpoint(rows.mapInArrow(leaves, "doc_id long, leaf long"))
+    often = pairs.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")
+    asked = pairs.join(often, "leaf", "left_semi").groupBy("doc_id").agg(F.collect_set("leaf").alias("leaves"))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 out = []
-                for i, s, wanted, t in zip(*(c.to_pylist() for c in batch.columns)):
+                for i, wanted, t in zip(*(c.to_pylist() for c in batch.columns)):
                     wanted = set(wanted)
-                    seen = {p[1]: p for line in set(t.split("\n")) if (p := parse(line)) and p[0] in wanted}
-                    out += [(i, s, leaf, line, [xxhash.xxh32_intdigest(x) for x in tokens]) for leaf, line, tokens in seen.values()]
+                    own = list(set(t.split("\n")))
+                    parsed = [parse(line) for line in own]
+                    apart = beside(own, [p and p[0] for p in parsed])
+                    seen = {p[1]: p for p in parsed if p and p[0] in wanted}
+                    out += [(i, apart[leaf], leaf, line, [xxhash.xxh32_intdigest(x) for x in tokens]) for leaf, line, tokens in seen.values()]
                 if out:
-                    kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc_id", "sketch", "leaf", "line", "tokens"])
+                    kinds = [pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc_id", "apart", "leaf", "line", "tokens"])
 
-    joined = asked.join(rows, "doc_id").select("doc_id", "sketch", "leaves", "text")
-    found = checkpoint(joined.mapInArrow(lines, "doc_id long, sketch long, leaf long, line long, tokens array<long>"))
+    joined = asked.join(rows, "doc_id").select("doc_id", "leaves", "text")
+    found = checkpoint(joined.mapInArrow(lines, "doc_id long, apart array<long>, leaf long, line long, tokens array<long>"))
     distinct = found.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
     places = distinct.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").count()
     common = places.groupBy("leaf", "place").agg(F.max(F.struct("count", "token")).alias("top"), F.sum("count").alias("all"))
@@ -106,10 +128,11 @@ def recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_d
     enough = F.size("constant") >= MIN_CONSTANT * F.size("tokens")
     template = F.when(agrees & enough, F.col("leaf")).otherwise(F.col("line"))
     named = distinct.join(templates, "leaf").select("leaf", "line", template.alias("template"))
-    placed = checkpoint(found.select("doc_id", "sketch", "leaf", "line").join(named, ["leaf", "line"]).select("doc_id", "sketch", "line", "template"))
-    spread = placed.select("template", "sketch", "doc_id").distinct().groupBy("template", "sketch").count()
-    spread = spread.groupBy("template").agg(F.count(F.lit(1)).alias("apart"), F.sum("count").alias("docs"))
-    spread = spread.where((F.col("apart") >= min_docs) & (F.col("apart") >= MIN_APART * F.col("docs"))).select("template")
+    placed = checkpoint(found.select("doc_id", "apart", "leaf", "line").join(named, ["leaf", "line"]).select("doc_id", "apart", "line", "template"))
+    least = placed.select("template", "doc_id", F.posexplode("apart").alias("k", "sketch")).groupBy("template", "k", "sketch").agg(F.min("doc_id").alias("doc_id"))
+    # Of a document that shares no sketch with one of lower doc_id, each sketch is its own.
+    heads = least.groupBy("template", "doc_id").agg(F.count_distinct("k").alias("n")).where(F.col("n") == SKETCHES)
+    spread = heads.groupBy("template").count().where(F.col("count") >= min_docs).select("template")
     return placed.join(spread, "template", "left_semi").select("doc_id", "line").distinct()
 
 
