@@ -53,12 +53,21 @@ def bi_source(a):
     return a.countries.join(n, "country_id").groupBy("year", "source").agg(F.count_distinct("country_id").alias("countries"), F.sum("n").alias("fields"))
 
 
+def flat(a):
+    rows = star(a).where("is_noise = 0").join(a.categories.select("category_id", "title"), "category_id", "left")
+    return rows.select("year", "code", F.col("name").alias("country"), "title", "canonical", "field_id", "content", "source")
+
+
 @over_archive("bi_flat_fact", "SELECT c.year, e.code, e.name AS country, g.title, m.canonical, f.field_id, f.content, c.source FROM fields f JOIN mappings m ON f.field_name = m.original JOIN countries c ON f.country_id = c.country_id JOIN masters e ON c.master_id = e.master_id LEFT JOIN categories g ON f.category_id = g.category_id WHERE m.is_noise = 0 ORDER BY c.year, e.name, g.title, m.canonical, f.field_id LIMIT 10000")
 def bi_flat_fact(a):
-    """The flat export of the first 10,000 rows."""
-    rows = star(a).where("is_noise = 0").join(a.categories.select("category_id", "title"), "category_id", "left")
-    rows = rows.select("year", "code", F.col("name").alias("country"), "title", "canonical", "field_id", "content", "source")
-    return rows.orderBy("year", "country", "title", "canonical", "field_id").limit(10000)
+    """The flat export of the first 10,000 rows, a preview of bi_flat_fact_full."""
+    return flat(a).orderBy("year", "country", "title", "canonical", "field_id").limit(10000)
+
+
+@over_archive("bi_flat_fact_full", "SELECT c.year, e.code, e.name AS country, g.title, m.canonical, f.field_id, f.content, c.source FROM fields f JOIN mappings m ON f.field_name = m.original JOIN countries c ON f.country_id = c.country_id JOIN masters e ON c.master_id = e.master_id LEFT JOIN categories g ON f.category_id = g.category_id WHERE m.is_noise = 0")
+def bi_flat_fact_full(a):
+    """The flat export of all rows, in no order."""
+    return flat(a)
 
 
 @over_archive("bi_mapping_types", "SELECT mapping_type, is_noise, count(*) AS n, sum(use_count)::BIGINT AS uses, min(first_year) AS earliest, max(last_year) AS latest FROM mappings GROUP BY 1, 2")
