@@ -85,6 +85,71 @@ def test_recurring_lines_go_whatever_the_copies(spark):
     assert all(x["n_dropped"] == 0 for x in got)
 
 
+def recurring_lines(texts, min_docs=5):
+    """doc_id -> its lines that go, by tables of all lines: the rule of the module's head, word by word."""
+    parsed = {i: {x: p for x in set((t or "").split("\n")) if (p := line_dedup.parse(x))} for i, t in texts.items()}
+    leaves = defaultdict(set)  # distinct lines as token tuples
+    docs_of = defaultdict(set)
+    for i, lines in parsed.items():
+        for leaf, _, tokens in lines.values():
+            docs_of[leaf].add(i)
+            leaves[leaf].add(tuple(tokens))
+    template = {}
+    for leaf, lines in leaves.items():
+        support = Counter((k, t) for x in lines for k, t in enumerate(x))
+        for x in lines:
+            need = -(-len(x) * line_dedup.MIN_CONSTANT // 100) - line_dedup.DEPTH
+            own = sorted((support[k, t] for k, t in enumerate(x) if k >= line_dedup.DEPTH), reverse=True)
+            bar = own[need - 1] if need > 0 else float("inf")
+            template[leaf, x] = (leaf, *((k, t) for k, t in enumerate(x) if k >= line_dedup.DEPTH and support[k, t] >= bar))
+    holders = defaultdict(lambda: defaultdict(list))
+    for i, lines in parsed.items():
+        whole = list(set((texts[i] or "").split("\n")))
+        apart = line_dedup.beside(whole, [p and p[0] for p in map(line_dedup.parse, whole)])
+        for leaf, _, tokens in lines.values():
+            holders[template[leaf, tuple(tokens)]][i] = apart[leaf]
+    going = set()
+    for name, held in holders.items():
+        seen, n = set(), 0
+        for i in sorted(held):
+            n += not seen & set(enumerate(held[i]))
+            seen |= set(enumerate(held[i]))
+        if n >= min_docs and len(docs_of[name[0]]) >= min_docs:
+            going.add(name)
+    return {i: {x for x, (leaf, _, tokens) in lines.items() if template[leaf, tuple(tokens)] in going} for i, lines in parsed.items()}
+
+
+def check_lines(got, texts):
+    for i, gone in recurring_lines(texts).items():
+        lines = (texts[i] or "").split("\n")
+        left = [x for x in lines if x not in gone]
+        assert got[i]["text"] == ("\n".join(left) if gone else texts[i]), i
+        if texts[i] is not None:
+            assert (got[i]["n_lines"], got[i]["n_dropped"]) == (len(lines), len(lines) - len(left))
+
+
+def test_line_dedup_against_tables(spark, sf_dir, docs):
+    texts = {d["doc_id"]: d["text"] for d in docs}
+    check_lines({r["doc_id"]: r for r in rows(QUERIES["op1_line_dedup"](spark, sf_dir))}, texts)
+    assert any(recurring_lines(texts).values())
+
+
+def test_templates_of_one_leaf_and_short_lines(spark):
+    r = random.Random(3)
+    say = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    kinds = ["Posted in the archive by {}", "Posted in the forum of {}", "Posted in the place where {}"]
+    logs = ["2024-01-02 10:11:12 313 sent {} bytes to host {} over the wire in time", "2024-01-02 10:11:12 99 kept {} of user {} in the store for good now"]
+    texts = {i: f"{say(12)}\n{kinds[i % 3].format(say(1))}\n{say(9)}" for i in range(60)}
+    texts |= {100 + i: f"{say(12)}\n{logs[i % 5 > 2].format(say(1), say(1))}\nShare this page\n{say(7)}" for i in range(50)}
+    texts |= {200 + i: f"{say(8)}\n\n{say(3)}\n" for i in range(30)} | {300: None, 301: ""}
+    texts |= {400 + i: f"{texts[0]}\nShare that page" for i in range(9)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x["doc_id"]: x for x in rows(line_dedup.dedup(df))}
+    check_lines(got, texts)
+    assert all(got[i]["n_dropped"] == 1 for i in range(60)) and all(got[100 + i]["n_dropped"] == 2 for i in range(50))
+    assert all(got[200 + i]["n_dropped"] == 0 for i in range(30)) and all("Share that page" in got[400 + i]["text"] for i in range(9))
+
+
 def test_line_dedup_odd(odd, none):
     out = line_dedup.dedup(odd)
     assert out.columns == [*odd.columns, "n_lines", "n_dropped"]

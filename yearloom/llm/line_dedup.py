@@ -1,8 +1,10 @@
 """Line dedup: templates of lines from a fixed-depth tree; those that recur across documents are dropped.
 
-A line's leaf is its number of tokens and its first DEPTH tokens, tokens with digits counting as variable.  Among the
-distinct lines of a leaf a place whose commonest token isn't in most lines is variable too.  Lines that agree with the
-rest of their leaf's template share it if enough of it is constant; any other line is a template of its own.
+A line's leaf is its number of tokens and its first DEPTH tokens, tokens with digits counting as variable; a shorter line
+is its leaf.  A leaf holds as many templates as it has kinds of lines.  The support of a token at its place is the number
+of the leaf's distinct lines that have it there; a line keeps its best supported tokens, MIN_CONSTANT % of all at least
+(and all as well supported as the last of these), and its other places are variable.  Lines that keep the same share a
+template: of N lines that differ in few places, each keeps what all N have, whatever other kinds lie in the leaf.
 
 A template recurs if lines of it stand in MIN_DOCS documents that aren't copies of one another, however many copies there
 are.  Documents are told apart by what they hold beside the lines of the leaf in question: SKETCHES least hashes of its
@@ -22,9 +24,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import appended, checkpoint, named_back, numbered, place
 
-DEPTH, MIN_TOKENS, MIN_DOCS = 3, 4, 5
-#: Of a template's tokens this share at least is constant.
-MIN_CONSTANT = 0.7
+DEPTH, MIN_DOCS = 3, 5
+#: Of a hundred tokens of a template so many at least are constant.
+MIN_CONSTANT = 70
 WINDOW, SKETCHES = 32, 4
 _MIXERS = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 DIGIT = re.compile(r"\d")
@@ -72,11 +74,11 @@ def beside(lines: list[str], leaves: list[int | None]) -> dict[int, list[int]]:
 
 
 def parse(line: str) -> tuple[int, int, list[str]] | None:
-    """Leaf, line and tokens, variable ones masked; None for a line of fewer than MIN_TOKENS tokens."""
+    """Leaf, line and tokens, variable ones masked; None for a line without tokens."""
     if DIGIT.search(line):
         line = FIELD.sub(VARIABLE, line)
     tokens = line.split()
-    if len(tokens) < MIN_TOKENS:
+    if not tokens:
         return None
     return _long(f"{len(tokens)} {' '.join(tokens[:DEPTH])}"), _long(" ".join(tokens)), tokens
 
@@ -97,7 +99,7 @@ def recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_d
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "leaf"])
 
     pairs = checkpoint(rows.mapInArrow(leaves, "doc_id long, leaf long"))
-    often = pairs.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")
+    often = checkpoint(pairs.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"))
     asked = pairs.join(often, "leaf", "left_semi").groupBy("doc_id").agg(F.collect_set("leaf").alias("leaves"))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,30 +120,37 @@ def recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_d
 
     joined = asked.join(rows, "doc_id").select("doc_id", "leaves", "text")
     found = checkpoint(joined.mapInArrow(lines, "doc_id long, apart array<long>, leaf long, line long, tokens array<long>"))
-    distinct = found.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
-    places = distinct.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").count()
-    common = places.groupBy("leaf", "place").agg(F.max(F.struct("count", "token")).alias("top"), F.sum("count").alias("all"))
-    constant = F.map_from_entries(F.collect_list(F.when(F.col("top.count") * 2 > F.col("all"), F.struct("place", F.col("top.token")))))
-    # A copy of its own, so that the join below is free to split a leaf of many lines.
-    templates = checkpoint(common.groupBy("leaf").agg(constant.alias("constant")))
-    agrees = F.forall(F.map_entries("constant"), lambda e: F.get(F.col("tokens"), e["key"]) == e["value"])
-    enough = F.size("constant") >= MIN_CONSTANT * F.size("tokens")
-    template = F.when(agrees & enough, F.col("leaf")).otherwise(F.col("line"))
-    named = distinct.join(templates, "leaf").select("leaf", "line", template.alias("template"))
+    distinct = checkpoint(found.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens")))
+    # The first DEPTH tokens are the leaf's.
+    spots = distinct.select("leaf", "line", F.posexplode("tokens").alias("place", "token")).where(F.col("place") >= DEPTH)
+    support = spots.groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("support")).where("support > 1")
+    # Copies of their own, here and below, so that the joins are free to split a common token, line or template.
+    support = checkpoint(support)
+    spots = spots.join(support, ["leaf", "place", "token"], "left").select("leaf", "line", F.struct("place", "token", F.coalesce("support", F.lit(1)).alias("support")).alias("spot"))
+    kept = spots.groupBy("leaf", "line").agg(F.collect_list("spot").alias("spots"))
+    n = F.size("spots") + DEPTH
+    most = F.sort_array(F.transform("spots", lambda x: x["support"]), asc=False)
+    # A line of few tokens may need none beyond its leaf's.
+    bar = F.coalesce(F.get(most, F.ceil(n * MIN_CONSTANT / 100).cast("int") - DEPTH - 1), F.lit(1 << 62))
+    constant = F.array_sort(F.transform(F.filter("spots", lambda x: x["support"] >= F.col("bar")), lambda x: F.struct(x["place"], x["token"])))
+    kept = kept.withColumn("bar", bar).select("leaf", "line", F.xxhash64("leaf", constant).alias("template"))
+    short = distinct.where(F.size("tokens") <= DEPTH).select("leaf", "line", F.col("leaf").alias("template"))
+    named = checkpoint(kept.union(short))
     placed = checkpoint(found.select("doc_id", "apart", "leaf", "line").join(named, ["leaf", "line"]).select("doc_id", "apart", "line", "template"))
     least = placed.select("template", "doc_id", F.posexplode("apart").alias("k", "sketch")).groupBy("template", "k", "sketch").agg(F.min("doc_id").alias("doc_id"))
     # Of a document that shares no sketch with one of lower doc_id, each sketch is its own.
     heads = least.groupBy("template", "doc_id").agg(F.count_distinct("k").alias("n")).where(F.col("n") == SKETCHES)
-    spread = heads.groupBy("template").count().where(F.col("count") >= min_docs).select("template")
+    spread = checkpoint(heads.groupBy("template").count().where(F.col("count") >= min_docs).select("template"))
     return placed.join(spread, "template", "left_semi").select("doc_id", "line").distinct()
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """docs with the lines of recurring templates taken out of text, n_lines and n_dropped.
 
-    Lines end at a line feed.  A line of fewer than MIN_TOKENS tokens stays, as do texts of rows with a null doc_id and
-    null texts.  A document all of whose lines recur keeps an empty text.  Rows that share a doc_id lose what recurs in
-    either.  Columns n_lines and n_dropped of docs are replaced.
+    Lines end at a line feed.  A blank line stays, as do texts of rows with a null doc_id and null texts.  A document all of
+    whose lines recur keeps an empty text.  Rows that share a doc_id, repeated ones among them, count as one document and
+    lose what recurs in either.  An empty table gives an empty one; a text may be of any length and number of lines.
+    Columns n_lines and n_dropped of docs are replaced; others keep their names, whatever they are.
     """
     inner, own_id, own_text = numbered(docs), place(docs, doc_id), place(docs, text)
     dropped = recurring(inner, own_id, own_text, min_docs).groupBy("doc_id").agg(F.collect_set("line").alias("_dropped"))
