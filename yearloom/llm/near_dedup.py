@@ -34,6 +34,8 @@ TREES, DEPTH, MIN_DEPTH, REACH, CLOSE, NEAREST = 16, 8, 3, 2, 0.6, 3
 WORDS_KEPT = 500_000
 #: Nodes of a block, and counters of shingles by which rare ones are told from common ones (any order of them is exact).
 BLOCK, COUNTERS = 256, 1 << 20
+#: Pairs that a task gathers before it passes them on.
+PAIRS = 1 << 17
 _U = np.uint64
 _RANDOM = np.random.default_rng(20240501)
 _PLACES = (_RANDOM.integers(0, 1 << 63, SHINGLE, dtype=_U) << _U(1)) | _U(1)
@@ -188,9 +190,17 @@ def _placed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
 def _in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b) of rows of one group, sorted by (token, left, right), that may be alike enough by their sizes."""
 
-    def pairs(columns: list[np.ndarray], starts: np.ndarray) -> pa.RecordBatch:
+    def told(found: list[np.ndarray]) -> pa.RecordBatch:
+        both = np.concatenate(found, 1) if found else np.zeros((2, 0), np.int64)
+        both = both[:, np.lexsort(both)]
+        new = np.ones(both.shape[1], bool)
+        new[1:] = (both[:, 1:] != both[:, :-1]).any(0)
+        return pa.RecordBatch.from_arrays([pa.array(c[new], pa.int64()) for c in both], names=["a", "b"])
+
+    def pairs(columns: list[np.ndarray], starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """In parts of some PAIRS, so that crowded groups take no more memory than others."""
         node, label, size, most = columns[3:]
-        group, at, d, got = np.cumsum(starts), np.arange(len(node)), 1, []
+        group, at, d, got, n = np.cumsum(starts), np.arange(len(node)), 1, [], 0
         while True:
             at = at[at + d < len(node)]
             at = at[group[at] == group[at + d]]
@@ -199,12 +209,12 @@ def _in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             to = at + d
             fits = (label[at] != label[to]) & (size[to] <= most[at]) & (size[at] <= most[to])
             got.append(np.stack([np.minimum(node[at], node[to])[fits], np.maximum(node[at], node[to])[fits]]))
+            n += got[-1].shape[1]
+            if n >= PAIRS:
+                yield told(got)
+                got, n = [], 0
             d += 1
-        both = np.concatenate(got, 1) if got else np.zeros((2, 0), np.int64)
-        both = both[:, np.lexsort(both)]
-        new = np.ones(both.shape[1], bool)
-        new[1:] = (both[:, 1:] != both[:, :-1]).any(0)
-        return pa.RecordBatch.from_arrays([pa.array(c[new], pa.int64()) for c in both], names=["a", "b"])
+        yield told(got)
 
     held = [np.zeros(0, np.int64)] * 7
     for batch in batches:
@@ -213,10 +223,10 @@ def _in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = np.ones(len(rows[0]), bool)
             starts[1:] = np.any([c[1:] != c[:-1] for c in rows[:3]], axis=0)
             end = int(np.flatnonzero(starts)[-1])
-            yield pairs([c[:end] for c in rows], starts[:end])
+            yield from pairs([c[:end] for c in rows], starts[:end])
             held = [c[end:] for c in rows]
     starts = np.zeros(len(held[0]), bool)
-    yield pairs(held, starts)
+    yield from pairs(held, starts)
 
 
 def _joined(sets: DataFrame) -> DataFrame:
