@@ -431,10 +431,51 @@ def test_url_filter(spark, sf_dir):
 # PII
 
 
+#: The contract's patterns, as it has them.
+CONTRACT = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def passes(kind, text):
+    digits = [int(c) for c in text if c in "0123456789"]
+    if kind == "ip":
+        return all(int(x) <= 255 for x in text.split("."))
+    if kind == "card":
+        doubled = [d if (len(digits) - i) % 2 else d * 2 for i, d in enumerate(digits)]
+        return 16 <= len(digits) <= 19 and sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+    return kind == "email" or 8 <= len(digits) <= 15
+
+
+def plain_spans(text):
+    return [(kind, m.start(), m.end()) for kind, p in CONTRACT.items() for m in re.finditer(p, text) if passes(kind, m[0])]
+
+
+def test_base_spans_are_the_contracts():
+    r = random.Random(4)
+    parts = ["a.b@c.d", "@", "@@", "x@y", "1.2.3.4", "256.1.1.1.9", "4111 1111-1111 1111", "4111111111111111", "+1 (202) 555-0123", "+", "7", ".", "-", " ", "é", "a", "%", "(", ")", "1.2.3.4.5.6.7.8", "+12345678901234567", "\n"]
+    for _ in range(3000):
+        text = "".join(r.choice(parts) for _ in range(r.randrange(12)))
+        assert [(pii.KINDS[k], a, b) for k, a, b in pii.base_spans(text)] == plain_spans(text), text
+
+
+def test_spans_of_long_texts_take_linear_time():
+    import time
+
+    for text in ("a" * 1_000_000, "7" * 1_000_000, "a@" * 500_000, "1.2.3." * 200_000, "+1" * 500_000, "a" * 500_000 + "@b" + ".c" * 200_000):
+        began = time.time()
+        pii.base_spans(text)
+        pii.stretches(text)
+        assert time.time() - began < 5
+
+
 def test_pii_base_spans_stay_and_added_ones_are_apart(spark, sf_dir, docs):
     got = {r["doc_id"]: r for r in rows(QUERIES["op9_pii"](spark, sf_dir))}
     for d in docs:
-        base = [(pii.KINDS[k], a, b) for k, a, b in pii.base_spans(d["text"] or "")]
+        base = plain_spans(d["text"] or "")
         r = got[d["doc_id"]]
         told = [tuple(x.split(":")) for x in r["spans"].split(",") if x]
         told = [(k, int(a), int(b)) for k, a, b in told]
@@ -445,6 +486,44 @@ def test_pii_base_spans_stay_and_added_ones_are_apart(spark, sf_dir, docs):
             assert all(x[2] <= y[1] or x[1] >= y[2] for y in base)
 
 
+def test_tagger_earns_its_place(spark):
+    """Held-out respelled spans of each kind are found, and clean texts are left alone."""
+    import numpy as np
+
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    tagger = pii.learn(table.where("doc_id % 2 = 0"))
+    r, planted, clean = np.random.default_rng(21), [], []
+    for d in (x.asDict() for x in table.where("doc_id % 8 = 1").orderBy("doc_id").collect()):
+        for part in pii.sampled(d["text"] or ""):
+            spans = pii.base_spans(part)
+            if len(spans) == 1:
+                for k, kind in enumerate(pii.KINDS):
+                    _, s, e = spans[0]
+                    new = pii.respelled(kind, pii.varied(kind, "", r), r)
+                    if kind == "card":  # whose check digit is right
+                        digits = "".join(str(x) for x in r.integers(0, 10, 15))
+                        new = pii.respelled(kind, next(digits + c for c in "0123456789" if pii.luhn(digits + c)), r)
+                    text = part[:s] + new + part[e:]
+                    if not plain_spans(text):
+                        planted.append((text, kind, s, s + len(new)))
+        if d["text"] and not re.search("[0-9@]", d["text"]):
+            clean.append(d["text"][:2000] + " in 1987, 3 of 12 went 40 km @ 7 for 1,250.50")
+    data = [(i, x[0]) for i, x in enumerate(planted)] + [(-1 - i, t) for i, t in enumerate(clean)]
+    got = {x["doc_id"]: [(y["kind"], y["start"], y["end"]) for y in x["pii"] if y["added"]] for x in rows(pii.find(spark.createDataFrame(data, "doc_id long, text string"), tagger))}
+    right, missed, wrong = Counter(), Counter(), Counter()
+    for i, (_, kind, s, e) in enumerate(planted):
+        hit = (kind, s, e) in got[i]
+        right[kind] += hit
+        missed[kind] += not hit
+        wrong.update(x[0] for x in got[i] if x != (kind, s, e))
+    for kind in pii.KINDS:
+        n = right[kind] + missed[kind]
+        assert n >= 20 and 2 * right[kind] / (right[kind] + n + wrong[kind]) >= 0.9, (kind, right, missed, wrong)
+    assert clean and sum(bool(got[-1 - i]) for i in range(len(clean))) <= 0.01 * len(clean)
+    for text, kind in (("call (202) 555-0123 now", "phone"), ("write to john (@) example.org soon", "email"), ("at 10 . 0 . 0 . 1 there", "ip")):
+        assert [x["kind"] for x in rows(pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), tagger))[0]["pii"]] == [kind]
+
+
 def test_tagger_learns_its_gradients():
     import numpy as np
 
@@ -467,6 +546,10 @@ def test_pii_odd(odd, none):
     tagger = pii.learn(odd)
     got = {r["doc_id"]: r["pii"] for r in rows(pii.find(odd, tagger))}
     assert [x["kind"] for x in got[5] if not x["added"]] == ["email", "ip", "phone"] and got[1] == got[2] == []
+    twice = pii.find(odd.select("doc_id", "text", odd["key"].alias("PII"), odd["key"].alias("Start")).unionAll(odd.select("doc_id", "text", "key", "key")), tagger)
+    assert twice.columns == ["doc_id", "text", "Start", "pii"] and twice.count() == 2 * len(ODD)
+    long = odd.select("doc_id").limit(1).selectExpr("doc_id", "concat(repeat('7', 200000), ' a@b.cd') AS text")
+    assert [x["kind"] for x in rows(pii.find(long, tagger))[0]["pii"] if not x["added"]] == ["email"]
     assert pii.find(none, pii.learn(none)).count() == 0
 
 

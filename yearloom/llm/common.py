@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -63,15 +64,18 @@ def place(df: DataFrame, column: str) -> str:
     return f"_c{[c.lower() for c in df.columns].index(column.lower())}"
 
 
-def lowest(df: DataFrame, key: Column, most: int, ties: list[str]) -> DataFrame:
-    """The rows of least key (a hash), most at most.
+def lowest(df: DataFrame, key: Column, most: int, ties: list[str], shrink: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The rows of least key (a hash of all that tells rows apart), most at most; shrink makes them small before they meet.
 
     A count first sets a bound below which some four times as many rows lie, so that what meets in one place to be sorted
-    doesn't grow with the input.
+    doesn't grow with the input.  Where so many rows are equal that none lies below it, all are sorted.
     """
     n = df.count()
     if n > 8 * most:
-        df = df.where(key < -(1 << 63) + (1 << 64) * 4 * most // n)
+        low = df.where(key < -(1 << 63) + (1 << 64) * 4 * most // n)
+        df = df if low.isEmpty() else low
+    if shrink is not None:
+        df = shrink(df)
     return df.orderBy(key, *ties).limit(most)
 
 
