@@ -58,13 +58,18 @@ def row(sub, number=None, units=None, text=None, date=None, rank=None, fragment=
 
 def one(c: Column, pattern: str, sub, units=None, at: int | None = 1, scale: int | None = None, text: int | None = None, flags="Ud", lenient=False, **more) -> Column:
     """A row for the first match: group at as number times the magnitude in group scale, group text as text."""
-    whole = X.found(c, pattern, 0, flags)
-    value = X.number(X.found(c, pattern, at, flags)) if at else None
-    if scale and value is not None:
-        value = value * X.magnitude(X.found(c, pattern, scale, flags))
-    spoilt = None if value is None or lenient else value.isNull()
+    more.setdefault("spoilt", None)
     said = X.stripped(F.coalesce(X.found(c, pattern, text, flags), F.lit(""))) if text else None
-    return F.when(whole.isNotNull(), row(sub, value, units, said, fragment=whole, spoilt=spoilt, **more))
+
+    def told(whole: Column) -> Column:
+        if not at:
+            return row(sub, None, units, said, fragment=whole, **more)
+        value = X.number(X.found(c, pattern, at, flags))
+        if scale:
+            value = value * X.magnitude(X.found(c, pattern, scale, flags))
+        return X.bound(value, lambda v: row(sub, v, units, said, fragment=whole, **(more if lenient else {**more, "spoilt": v.isNull()})))
+
+    return X.bound(X.found(c, pattern, 0, flags), lambda whole: F.when(whole.isNotNull(), told(whole)))
 
 
 def rows(*parts: Column) -> Column:
@@ -514,33 +519,41 @@ PARSERS: dict[str, Callable[[Field], Column]] = {
 
 def parsed(df: DataFrame, content: str, parser: Callable[[Field], Column], strict: bool = False) -> DataFrame:
     """df with sub_values: what one parser makes of a column; null for null or empty content."""
-    df = df.withColumn("_c", X.normalized(F.col(content)))
-    f = Field(F.col("_c"), F.col(content), X.date_est(F.col("_c")), X.rank(F.col(content)), strict)
-    whole = rows(row("value", text=F.left(content, F.lit(WHOLE)), fragment=F.col(content)))
-    df = df.withColumn("_rows", parser(f))
-    out = F.when(F.exists("_rows", lambda r: r["spoilt"]), whole).otherwise(F.col("_rows"))
-    return df.withColumn("sub_values", F.when(F.col(content) != "", out)).drop("_c", "_rows")
+    return df.withColumn("sub_values", _values(F.col(content), parser, strict))
+
+
+def _values(content: Column, parser: Callable[[Field], Column], strict: bool) -> Column:
+    """The rows of one field.  Content is normalised, dated and parsed once; each is bound to a variable, since as plain
+    expressions they would be copied to every place that names them."""
+    whole = rows(row("value", text=F.left(content, F.lit(WHOLE)), fragment=content))
+    safe = lambda made: F.when(F.exists(made, lambda r: r["spoilt"]), whole).otherwise(made)
+    told = lambda c: F.struct(c.alias("c"), X.date_est(c).alias("date"), X.rank(content).alias("rank"))
+    field = X.bound(X.bound(X.normalized(content), told), lambda s: X.bound(parser(Field(s["c"], content, s["date"], s["rank"], strict)), safe))
+    return F.when(content != "", field)
 
 
 def extract(fields: DataFrame, canonical: str, content: str, strict: bool = False, among: list[str] | None = None) -> DataFrame:
     """fields with the columns of each of their sub-values, one row for each; fields without any are left out.
 
-    Each parser has a branch of its own over the fields of its names.  Every branch reads the input, so write fields out
-    before, by name, if making them is dear.  among: the canonical names that occur, if known; a parser without any of
-    them gets no branch.
+    One pass: a field's name picks its parser.  among: the canonical names that occur, if known; parsers without any of
+    them are left out of the plan.
     """
     parsers: dict[Callable, list[str]] = {}
     for name, parser in PARSERS.items():
         if among is None or name in among:
             parsers.setdefault(parser, []).append(name)
-    name = F.col(canonical)
-    known = [x for names in parsers.values() for x in names]
-    branches = [(p, name.isin(names)) for p, names in parsers.items()]
-    branches.append((generic, ~F.coalesce(name.isin(known), F.lit(False)) if known else F.lit(True)))
-    out = None
-    for parser, mine in branches:
-        part = parsed(fields.where(mine & (F.col(content) != "")), content, parser, strict)
-        part = part.withColumn("_row", F.explode("sub_values")).drop("sub_values")
-        part = part.select(*(c for c in part.columns if c != "_row"), "_row.*").drop("spoilt")
-        out = part if out is None else out.unionByName(part)
-    return out
+    name, c = F.col(canonical), F.col(content)
+    picked = None
+    for parser, names in parsers.items():
+        values = _values(c, parser, strict)
+        picked = F.when(name.isin(names), values) if picked is None else picked.when(name.isin(names), values)
+    rest = _values(c, generic, strict)
+    values = rest if picked is None else picked.otherwise(rest)
+    return exploded(fields.where(c != ""), values)
+
+
+def exploded(df: DataFrame, values: Column) -> DataFrame:
+    """A row for each value, with df's columns.  The outer form keeps Spark from making the values once more in a filter
+    on their number."""
+    out = df.withColumn("_row", F.explode_outer(values)).where(F.col("_row").isNotNull())
+    return out.select(*df.columns, "_row.*").drop("spoilt")

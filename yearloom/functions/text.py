@@ -5,17 +5,26 @@ Patterns are prefixed with U and d: classes cover Unicode, and only a line feed
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
+#: What a rank note says before its number (a fixed value).
+RANK = "country comparison to the world:"
 #: Words of magnitude and what they multiply by (fixed values).
 MAGNITUDES = {"thousand": 1e3, "million": 1e6, "billion": 1e9, "trillion": 1e12}
 #: Named entities that strip_html decodes (fixed values); numeric ones are decoded by entity_codes().
 ENTITIES = {"&nbsp;": " ", "&copy;": "©", "&middot;": "·", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&eacute;": "é", "&aacute;": "á", "&amp;": "&"}
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value made once, however often use names it; a plain expression is copied to each place."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def found(c: Column, pattern: str, group: int = 0, flags: str = "Ud") -> Column:
     """The group of the first match; null where nothing matches or the group is empty."""
-    return F.nullif(F.regexp_extract(c, f"(?{flags}){pattern}", group), F.lit(""))
+    return F.get(F.filter(F.array(F.regexp_extract(c, f"(?{flags}){pattern}", group)), lambda x: x != ""), F.lit(0))
 
 
 def swapped(c: Column, pattern: str, by: str, flags: str = "Ud") -> Column:
@@ -23,41 +32,38 @@ def swapped(c: Column, pattern: str, by: str, flags: str = "Ud") -> Column:
 
 
 def stripped(c: Column) -> Column:
-    """Without white space of any kind at either end."""
-    return swapped(c, r"^\s+|\s+$", "")
+    """Without white space of any kind at either end; most texts have none, so the ends are looked at first."""
+    ends = lambda x: F.concat(F.left(x, F.lit(1)), F.right(x, F.lit(1))).rlike(r"(?U)\s")
+    return bound(c, lambda x: F.when(ends(x), swapped(x, r"^\s+|\s+$", "")).otherwise(x))
 
 
 def number(c: Column) -> Column:
     """Digits with thousands commas as a double; null for anything else, even what a lenient cast would take."""
     bare = F.replace(stripped(c), F.lit(","), F.lit(""))
-    return F.when(bare.rlike(r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"), bare.try_cast("double"))
+    return bound(bare, lambda x: F.when(x.rlike(r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"), x.try_cast("double")))
 
 
 def magnitude(word: Column) -> Column:
     """The factor that a word of magnitude stands for; 1 for any other or none."""
-    low = F.lower(F.coalesce(word, F.lit("")))
-    out = F.lit(1.0)
-    for name, factor in MAGNITUDES.items():
-        out = F.when(low == name, F.lit(factor)).otherwise(out)
-    return out
+    factors = F.create_map(*(F.lit(x) for pair in MAGNITUDES.items() for x in pair))
+    return F.coalesce(F.try_element_at(factors, F.lower(F.coalesce(word, F.lit("")))), F.lit(1.0))
 
 
 def normalized(content: Column) -> Column:
     """Content without rank notes, and with `label: | value` joined; null becomes empty."""
-    c = F.coalesce(content, F.lit(""))
-    c = swapped(c, r"\s*\|?\s*country comparison to the world:\s*\d+", "")
-    return stripped(swapped(c, r":\s*\|\s*", ": "))
+    ranked = lambda c: F.when(F.contains(c, F.lit(RANK)), swapped(c, rf"\s*\|?\s*{RANK}\s*\d+", "")).otherwise(c)
+    joined = lambda c: F.when(F.contains(c, F.lit("|")), swapped(c, r":\s*\|\s*", ": ")).otherwise(c)
+    return stripped(bound(bound(F.coalesce(content, F.lit("")), ranked), joined))
 
 
 def rank(content: Column) -> Column:
-    return found(content, r"country comparison to the world:\s*(\d+)", 1).try_cast("int")
+    return bound(content, lambda c: F.when(F.contains(c, F.lit(RANK)), found(c, RANK + r"\s*(\d+)", 1).try_cast("int")))
 
 
 def date_est(content: Column) -> Column:
     """`2024 est.` before `FY93` before a bare year, each in parentheses of its own."""
-    return F.coalesce(
-        found(content, r"\((\d{4}\s*est\.?)\)", 1), found(content, r"\((FY\d{2,4}/?(?:\d{2})?)\)", 1), found(content, r"\((\d{4})\)", 1)
-    )
+    patterns = (r"\((\d{4}\s*est\.?)\)", r"\((FY\d{2,4}/?(?:\d{2})?)\)", r"\((\d{4})\)")
+    return bound(content, lambda c: F.when(F.contains(c, F.lit("(")), F.coalesce(*(found(c, p, 1) for p in patterns))))
 
 
 def _piped(c: Column) -> Column:

@@ -48,15 +48,15 @@ def layout_dispatch(a):
     return a.countries.select("year", layouts.html_layout(F.col("year")).alias("layout")).distinct()
 
 
-@over_archive("extract_area", r""", c AS (SELECT field_id, content, nullif(regexp_extract(content, '\((\d{4} est\.)\)', 1), '') AS d FROM fields WHERE content LIKE 'total%')
+@over_archive("extract_area", r""", c AS (SELECT field_id, content, nullif(regexp_extract(content, '\((\d{4} est\.)\)', 1), '') AS d FROM fields WHERE content LIKE '%total%')
 SELECT field_id, 'total' AS sub_field, replace(regexp_extract(content, 'total: ([0-9,]+)', 1), ',', '')::DOUBLE AS numeric_val, NULL AS text_val, d AS date_est,
  TRY_CAST(nullif(regexp_extract(content, 'to the world: (\d+)', 1), '') AS INTEGER) AS rank FROM c
 UNION ALL SELECT field_id, 'land', replace(regexp_extract(content, 'land: ([0-9,]+)', 1), ',', '')::DOUBLE, NULL, d, NULL FROM c
 UNION ALL SELECT field_id, 'note', NULL, regexp_extract(content, 'note: (.*?)(?: country comparison.*)?$', 1), NULL, NULL FROM c""")
 def extract_area(a):
     """The parser of areas over every field of the archive."""
-    rows = subvalues.parsed(a.fields.where("content LIKE 'total%'"), "content", subvalues.area)
-    return rows.select("field_id", F.explode("sub_values").alias("v")).select("field_id", "v.sub_field", "v.numeric_val", "v.text_val", "v.date_est", "v.rank")
+    rows = subvalues.parsed(a.fields.select("field_id", "content"), "content", subvalues.area)
+    return subvalues.exploded(rows.select("field_id", "sub_values"), F.col("sub_values")).select("field_id", "sub_field", "numeric_val", "text_val", "date_est", "rank")
 
 
 @over_archive("extract_all")
