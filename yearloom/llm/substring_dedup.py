@@ -4,8 +4,11 @@ Holding each document against every shard of the corpus would cost the square of
 of the 18-word grams in a window of 35 words, the one of least hash is its seed, and equal windows have equal seeds.  The
 documents' stretches with one seed that occurs at least twice form a reference shard.  Its suffix automaton, with the
 number of places of each state, is built where the shard lies, the stretches are streamed through it, and the windows
-whose match has two places or more form the spans to remove.  A seed of over HOT places is a passage so common that its
-stretches are dealt on, window by window.
+whose match has two places or more form the spans to remove.
+
+A seed of over HOT places, a passage so common that its shard has no bound, is dealt on by all grams of a window instead
+of the least one: each shard is then one window, whose number of places is a count that Spark adds up before it shuffles.
+Both ways give the same windows, for any HOT.
 
 Documents with equal texts are settled by a count of texts; only one of them serves as reference.
 """
@@ -13,6 +16,7 @@ Documents with equal texts are settled by a count of texts; only one of them ser
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -66,7 +70,7 @@ def runs(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndar
 
 
 def repeats(stretches: list[bytes], window: int) -> list[np.ndarray]:
-    """For each of several different stretches (32-bit words), which of its windows also occur in another.
+    """For each of several different stretches (64-bit words), which of its windows also occur in another.
 
     One suffix automaton of all, in which each state counts its places.
     """
@@ -85,7 +89,7 @@ def repeats(stretches: list[bytes], window: int) -> list[np.ndarray]:
             p = link[p]
         return clone
 
-    texts = [np.frombuffer(s, np.uint32).tolist() for s in stretches]
+    texts = [np.frombuffer(s, np.uint64).tolist() for s in stretches]
     for text in texts:
         last = 0
         for c in text:
@@ -161,79 +165,88 @@ def spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, gram: int
     lists = marks.select("key", "seed").join(shared, "seed").groupBy("key").agg(F.collect_set(F.struct("seed", "hot")).alias("seeds"))
     lists = checkpoint(lists.join(flags.where("serves").select(F.col(key).alias("key")), "key", "left_semi"))
 
-    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # All columns go along, so that these joins and the caller's share one shuffle of the texts.
+    spots = [docs.columns.index(key), docs.columns.index(text), len(docs.columns) + 1]
+
+    def wanted(batches: Iterator[pa.RecordBatch], hot: bool) -> Iterator[tuple[bytes, np.ndarray, int, int, int, int]]:
+        """Key, words, seed, its place, first and last window of the runs with a shared seed, hot or not."""
         read = Reader()
         for whole in batches:
             for at in range(0, whole.num_rows, 128):
-                out: list[tuple] = []
                 batch = whole.slice(at, 128)
                 for k, t, asked in zip(*(batch.column(i).to_pylist() for i in spots)):
-                    wanted = {x["seed"]: x["hot"] for x in asked}
-                    words = read(t)
-                    short, exact = words.astype(np.uint32), None
-                    for s, a, b in zip(*(x.tolist() for i, x in enumerate(runs(words, window, gram)) if i != 1)):
-                        if s not in wanted:
-                            continue
-                        if wanted[s]:
-                            exact = _hashes(words, window).astype(np.int64) if exact is None else exact
-                            out += [(int(exact[i]), k, i, None) for i in range(a, b + 1)]
-                        else:
-                            out.append((s, k, a, short[a : b + window].tobytes()))
-                for lo in range(0, len(out), 5000):
-                    part = zip(*out[lo : lo + 5000])
-                    kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(part, kinds)], names=["route", "key", "start", "words"])
-
-    # All columns go along, so that this join and the caller's share one shuffle of the texts.
-    joined = docs.join(lists, F.col(key) == F.col("key"))
-    spots = [docs.columns.index(key), docs.columns.index(text), len(docs.columns) + 1]
-    dealt = joined.mapInArrow(stretches, "route long, key binary, start int, words binary")
-    dealt = dealt.repartition("route").sortWithinPartitions("route", "words")
+                    own = {x["seed"] for x in asked if x["hot"] == hot}
+                    if own:
+                        words = read(t)
+                        for run in zip(*(x.tolist() for x in runs(words, window, gram))):
+                            if run[0] in own:
+                                yield (k, words, *run)
 
-    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        route, shard, lone, found = None, {}, None, []
+    def tables(rows: Iterator[tuple], names: tuple[str, ...], kinds: tuple, size: int) -> Iterator[pa.RecordBatch]:
+        while part := list(islice(rows, size)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*part), kinds)], names=list(names))
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The words of a stretch without those of its seed, which are the same all over the shard, and where these stood."""
 
-        def settle() -> None:
-            if len(shard) > 1:
-                for (words, where), hits in zip(shard.items(), repeats(list(shard), window)):
-                    edges = np.flatnonzero(np.diff(np.concatenate([[0], hits, [0]]).astype(np.int8)))
+        def of() -> Iterator[tuple]:
+            for k, words, s, p, a, b in wanted(batches, False):
+                yield s, k, a, p - a, np.concatenate([words[a:p], words[p + gram : b + window]]).tobytes()
+
+        return tables(of(), ("route", "key", "start", "lead", "words"), (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()), 5000)
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def of() -> Iterator[tuple]:
+            last, hashes = None, None
+            for k, words, s, _, a, b in wanted(batches, True):
+                if last is not words:
+                    last, hashes = words, _hashes(words, window).astype(np.int64)
+                for i in range(a, b + 1):
+                    yield int(hashes[i]) ^ s, k, i
+
+        return tables(of(), ("window", "key", "start"), (pa.int64(), pa.binary(), pa.int32()), 50_000)
+
+    def dealt(only_hot: bool) -> DataFrame:
+        of = lists.where(F.exists("seeds", lambda x: x["hot"] == F.lit(only_hot)))
+        return docs.join(of, F.col(key) == F.col("key"))
+
+    shards = dealt(False).mapInArrow(stretches, "route long, key binary, start int, lead int, words binary")
+    shards = shards.repartition("route").sortWithinPartitions("route", "lead", "words")
+    # No two words hash to these but by chance, as to any other.
+    middle = np.arange(gram, dtype=_U) + _U(0xFFFFFFFFFFFF0000)
+
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settled(shard: dict[bytes, list[tuple[bytes, int]]]) -> Iterator[tuple]:
+            hits = repeats(list(shard), window) if len(shard) > 1 else [None]
+            for (words, where), hit in zip(shard.items(), hits):
+                if len(where) > 1:
                     for k, start in where:
-                        if len(where) > 1:
-                            found.append((k, start, start + len(words) // 4))
-                        else:
-                            found.extend((k, start + int(a), start + int(b) - 1 + window) for a, b in zip(edges[::2], edges[1::2]))
-            else:
-                for words, where in shard.items():
-                    if len(where) > 1:
-                        found.extend((k, start, start + len(words) // 4) for k, start in where)
-            shard.clear()
-
-        def full() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*found), (pa.binary(), pa.int32(), pa.int32()))], names=["key", "a", "b"])
-            found.clear()
-            return batch
-
-        for batch in batches:
-            for r, k, start, words in zip(*(c.to_pylist() for c in batch.columns)):
-                if r != route:
-                    settle()
-                    route, lone = r, None
-                if words is not None:
-                    shard.setdefault(words, []).append((k, start))
-                elif lone is None:
-                    lone = (k, start)
-                else:  # a window of a hot seed for the second time or more; the first is told once
-                    if lone:
-                        found.append((*lone, lone[1] + window))
-                        lone = ()
-                    found.append((k, start, start + window))
-                if len(found) > 20_000:
-                    yield full()
-        settle()
-        if found:
-            yield full()
-
-    told = dealt.mapInArrow(matched, "key binary, a int, b int").groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+                        yield k, start, start + len(words) // 8
+                elif hit is not None:
+                    edges = np.flatnonzero(np.diff(np.concatenate([[0], hit, [0]]).astype(np.int8)))
+                    for k, start in where:
+                        for a, b in zip(edges[::2], edges[1::2]):
+                            yield k, start + int(a), start + int(b) - 1 + window
+
+        def of() -> Iterator[tuple]:
+            route, shard = None, {}
+            for batch in batches:
+                for r, k, start, lead, words in zip(*(c.to_pylist() for c in batch.columns)):
+                    if r != route:
+                        yield from settled(shard)
+                        route, shard = r, {}
+                    whole = words[: 8 * lead] + middle.tobytes() + words[8 * lead :]
+                    shard.setdefault(whole, []).append((k, start))
+            yield from settled(shard)
+
+        return tables(of(), ("key", "a", "b"), (pa.binary(), pa.int32(), pa.int32()), 20_000)
+
+    told = shards.mapInArrow(matched, "key binary, a int, b int")
+    if not shared.where("hot").isEmpty():
+        placed = checkpoint(dealt(True).mapInArrow(windows, "window long, key binary, start int"))
+        often = checkpoint(placed.groupBy("window").count().where("count > 1").select("window"))
+        told = told.union(placed.join(often, "window").select("key", F.col("start").alias("a"), (F.col("start") + window).alias("b")))
+    told = told.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     return flags.select(F.col(key).alias("key"), "copied").join(told, "key", "left")
 
 
@@ -242,7 +255,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
 
     A word is removed if some window of consecutive words that holds it also starts anywhere else, in the same document or
     another; windows are judged on the input.  A null text has no words; a text shorter than a window keeps all its words;
-    rows equal throughout count as copies of one another.  Columns of these names are replaced.
+    rows equal throughout count as copies of one another.  A text may be of any length; an empty table gives an empty one.
+    Columns of these names are replaced, others keep theirs.
     """
     key, inner, own_text = "_key", numbered(docs), place(docs, text)
     given = F.concat(F.coalesce(F.col(place(docs, doc_id)).cast("string"), F.lit("-")), F.lit(" "), F.coalesce(F.col(own_text), F.lit("")))
