@@ -12,10 +12,10 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import appended, fresh
+from .common import appended, checkpoint, fresh
 
 ERROR_RATE = 0.06
-#: Characters of test items that a pass broadcasts at most, one item longer than that excepted; more items, more passes.
+#: Characters of test items that a pass ships to its tasks, some; more items, more passes.  The driver holds one pass's.
 BLOCK_CHARS = 2_000_000
 JUNK = re.compile(r"[\W_]+")
 WORD = re.compile(r"[^\W_]+")
@@ -119,12 +119,13 @@ class Matcher:
 def find(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item: str = "text", error_rate: float = ERROR_RATE) -> DataFrame:
     """docs with leaks: each test item that occurs, at its least distance, and about where in the text.
 
-    Null or empty texts and items match nothing; equal items are reported each; a column leaks of docs is replaced.
+    Null or empty texts and items match nothing; equal items, and rows that come twice, are reported each; an empty table
+    of either gives no leaks.  A text may be of any length.  A column leaks of docs is replaced, others keep their names.
     """
     given = items.where(F.col(item).isNotNull()).select(F.col(item_id).cast("long").alias("item_id"), F.col(item).alias("item"))
     blocks = -(-int(given.agg(F.sum(F.length("item"))).first()[0] or 0) // BLOCK_CHARS)
     if not blocks:
-        return docs.withColumn("leaks", F.array().cast(LEAKS.removeprefix("leaks ")))
+        return docs.drop(*(c for c in docs.columns if c.lower() == "leaks")).withColumn("leaks", F.array().cast(LEAKS.removeprefix("leaks ")))
     out = docs
     for b in range(blocks):
         block = [(r["item_id"], r["item"]) for r in given.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == b).orderBy("item_id", "item").collect()]
@@ -136,7 +137,9 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "
         if b == 0:
             out = appended(out, LEAKS, start, text)
         else:
+            # Written out, so that tasks hold one pass's automaton, and the driver and the plan one pass's items.
+            out = checkpoint(out)
             more = fresh(out, "_leaks")
             out = appended(out, LEAKS.replace("leaks", more, 1), start, text)
-            out = out.withColumn("leaks", F.concat("leaks", more)).drop(more)
+            out = out.withColumn("leaks", F.array_sort(F.concat("leaks", more))).drop(more)
     return out
