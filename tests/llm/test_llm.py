@@ -253,11 +253,52 @@ def test_leaks_with_edits_are_found(spark):
     assert got[2] == got[3] == got[4] == []
 
 
+def test_leaks_against_all_edit_distances(spark, monkeypatch):
+    """Every text against every item by dynamic programming, in one pass and in several."""
+    r = random.Random(9)
+    say = lambda n: [r.choice(["alpha", "beta", "gamma", "delta", "rho", "pi", "tau", "mu", "psi"]) for _ in range(n)]
+
+    def edited(text):
+        t = list(text)
+        for _ in range(r.randrange(0, 9)):
+            t[r.randrange(len(t))] = r.choice(["", "x", "qq", " "])
+        return "".join(t)
+
+    def least(item, text):
+        row = [0] * (len(text) + 1)
+        for i, c in enumerate(item, 1):
+            new = [i]
+            for j, t in enumerate(text, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != t)))
+            row = new
+        return min(row)
+
+    items = {i: " ".join(say(12)) for i in range(8)} | {90: "pi", 91: " ".join(say(3))}
+    texts = {i: " ".join(say(25)) + " " + edited(items[i % 8]) + "! " + " ".join(say(15)).upper() for i in range(40)} | {50: " ".join(say(40)), 51: "", 52: items[1] * 3}
+    want = {i: set() for i in texts}
+    for i, t in texts.items():
+        body = decontamination.normal(t)
+        for k, x in items.items():
+            d = least(decontamination.normal(x), body)
+            if d <= int(decontamination.ERROR_RATE * len(decontamination.normal(x))):
+                want[i].add((k, d))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    table = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    for size in (2_000_000, 300):
+        monkeypatch.setattr(decontamination, "BLOCK_CHARS", size)
+        got = {x["doc_id"]: {(y["item_id"], y["distance"]) for y in x["leaks"]} for x in rows(decontamination.find(docs, table))}
+        assert got == want
+    assert sum(map(len, want.values())) > 40
+
+
 def test_decontamination_odd(spark, odd, none):
     items = spark.createDataFrame([(7, "some words of an item that is not there")], "item_id long, text string")
     assert all(r["leaks"] == [] for r in rows(decontamination.find(odd, items)))
     assert decontamination.find(none, items).count() == 0
     assert decontamination.find(odd, items.limit(0)).count() == len(ODD)
+    clash = odd.select("doc_id", "text", odd["key"].alias("Leaks"), odd["key"].alias("item_id"))
+    for given in (items, items.limit(0)):
+        assert decontamination.find(clash, given).columns == ["doc_id", "text", "item_id", "leaks"]
 
 
 # Fingerprints
@@ -271,7 +312,7 @@ def shingles(text):
 def test_fingerprints(spark, sf_dir, docs):
     got = {r["doc_id"]: r for r in rows(QUERIES["op5_fingerprints"](spark, sf_dir))}
     order = sorted(docs, key=lambda d: -d["doc_id"])
-    prints, off = defaultdict(set), []
+    prints, off, short = defaultdict(set), [], []
     for d, after in zip(order, order[1:] + order[:1]):
         text, other = d["text"] or "", after["text"] or ""
         n = len(text) // 3
@@ -280,10 +321,43 @@ def test_fingerprints(spark, sf_dir, docs):
         assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         prints[text].add(r["fingerprint"])
         a, b = shingles(text), shingles(edited)
-        if len(a | b) > 200:
-            off.append(abs(r["near_edited"] - len(a & b) / len(a | b)))
+        c = shingles(other)
+        for told, x, y in (("near_edited", b, edited), ("near_next", c, other)):
+            true = len(a & x) / len(a | x) if a | x else float(text == y)
+            if len(a | x) > 200:
+                off.append(abs(r[told] - true))
+            elif max(len(words_of(text)), len(words_of(y))) < fingerprints.FEW + 5:
+                short.append(abs(r[told] - true))
     assert all(len(v) == 1 for v in prints.values())
-    assert sum(off) / len(off) < 0.05
+    assert sum(off) / len(off) < 0.05 and short and sum(short) / len(short) < 0.01
+
+
+def test_sketches_of_unequal_texts(spark):
+    """Containment between a passage and a long text that holds it, and merged sketches, against whole shingle sets."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(8)
+    say = lambda n: [f"w{r.randrange(3000)}" for _ in range(n)]
+    long = say(6000)
+    texts = [long, long[1000:2500], long[:20], say(10), long[3000:3400] + say(400), [], ["one"]]
+    data = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rows_ = spark.createDataFrame(data, "id long, text string").withColumn("kept", fingerprints.sketch(F.col("text")))
+    kept = rows_.checkpoint()
+    pairs = kept.alias("x").join(kept.alias("y"), F.lit(True)).select(
+        F.col("x.id").alias("i"), F.col("y.id").alias("j"), fingerprints.containment(F.col("x.kept"), F.col("y.kept")).alias("c")
+    )
+    sets = [shingles(t) for _, t in data]
+    for x in rows(pairs):
+        a, b = sets[x["i"]], sets[x["j"]]
+        if x["c"] is None:
+            assert len(a) <= fingerprints.FEW
+        elif len(a) > 100 or max(len(a), len(b)) <= fingerprints.FEW:
+            assert abs(x["c"] - len(a & b) / len(a)) < 0.12, (x, len(a))
+    merged = rows(kept.agg(fingerprints.merge(F.col("kept")).alias("m")))[0]["m"]
+    whole = len(set().union(*sets))
+    assert merged == sorted(set(merged)) and abs(len(merged) * fingerprints.SCALE / whole - 1) < 0.1
+    both = kept.where("id in (0, 4)").agg(fingerprints.merge(F.col("kept")).alias("m")).crossJoin(kept.where("id = 4"))
+    assert rows(both.select(fingerprints.containment(F.col("kept"), F.col("m")).alias("c")))[0]["c"] == 1.0
 
 
 def test_fingerprints_odd(spark, odd, none):

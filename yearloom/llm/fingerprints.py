@@ -1,7 +1,9 @@
 """Document fingerprints: every word-shingle hash below a fixed share of the hash range is kept.
 
 Such sketches merge by union, and as both sides keep the same share of the same hash range, the share of one sketch that
-lies in another estimates containment however unequal the documents are.
+lies in another estimates containment however unequal the documents are.  A text of FEW shingles at most (repeated ones
+counted) keeps them all,
+as a share of so few tells little: two such sketches are compared whole, any others on the share that both keep.
 """
 
 from __future__ import annotations
@@ -11,8 +13,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import BLANK_RUN, ranked
 
 SHINGLE = 5
-#: One hash in SCALE is kept.
-SCALE = 4
+#: One hash in SCALE is kept, and every hash of a text of FEW shingles at most, repeated ones counted.
+SCALE, FEW = 4, 64
+
+
+def ceiling(scale: int = SCALE) -> Column:
+    """The hash below which all sketches keep."""
+    return F.lit(-(1 << 63) + (1 << 64) // scale)
 
 
 def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
@@ -21,12 +28,12 @@ def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
     A text with fewer words than a shingle has one shingle, the whole sequence; a text without words (or null) has none.
     """
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), BLANK_RUN), lambda w: w != "")
-    ceiling = -(1 << 63) + (1 << 64) // scale
 
     def kept(hashes: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(hashes) - (shingle - 1), F.lit(1)))
         shingles = F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, shingle)))
-        found = F.array_sort(F.array_distinct(F.filter(shingles, lambda h: h < F.lit(ceiling))))
+        few = F.size(hashes) < FEW + shingle
+        found = F.array_sort(F.array_distinct(F.filter(shingles, lambda h: few | (h < ceiling(scale)))))
         return F.when(F.size(hashes) > 0, found).otherwise(F.array().cast("array<bigint>"))
 
     # The outer transform binds the word hashes to a variable; as a plain expression they'd be made anew for each shingle.
@@ -39,20 +46,37 @@ def fingerprint(text: Column, kept: Column) -> Column:
     return F.lower(F.concat_ws(".", head, F.array_join(F.transform(kept, lambda h: F.hex(h)), ".")))
 
 
-def resemblance(a: Column, b: Column, same: Column) -> Column:
+def alike(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """A struct of a and b as they may be compared: whole if both are, else the share that both keep."""
+    whole = lambda x: F.size(x) > F.size(F.filter(x, lambda h: h < ceiling(scale)))
+    low = lambda x: F.filter(x, lambda h: h < ceiling(scale))
+    return F.when(whole(a) & whole(b), F.struct(a.alias("a"), b.alias("b"))).otherwise(F.struct(low(a).alias("a"), low(b).alias("b")))
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value) with value made once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def resemblance(a: Column, b: Column, same: Column, scale: int = SCALE) -> Column:
     """Jaccard similarity of two sketches; same says whether the texts are equal, which alone settles two empty ones."""
-    both, either = F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))
-    return F.when(same, 1.0).when(either == 0, 0.0).otherwise(both / either)
+
+    def told(x: Column) -> Column:
+        both, either = F.size(F.array_intersect(x["a"], x["b"])), F.size(F.array_union(x["a"], x["b"]))
+        return F.when(either == 0, 0.0).otherwise(both / either)
+
+    return F.when(same, 1.0).otherwise(_bound(alike(a, b, scale), told))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """The estimated share of a's shingles that b has too; null for an empty sketch a."""
-    return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a))
+def containment(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """The estimated share of a's shingles that b has too; null where the sketch of a tells nothing."""
+    return _bound(alike(a, b, scale), lambda x: F.when(F.size(x["a"]) > 0, F.size(F.array_intersect(x["a"], x["b"])) / F.size(x["a"])))
 
 
-def merge(sketches: Column) -> Column:
-    """An aggregate: the sketch of all the texts together."""
-    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(sketches))))
+def merge(sketches: Column, scale: int = SCALE) -> Column:
+    """An aggregate: the sketch of all the texts together, of the share that all sketches keep."""
+    low = F.filter(F.flatten(F.collect_list(sketches)), lambda h: h < ceiling(scale))
+    return F.array_sort(F.array_distinct(low))
 
 
 def with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scale: int = SCALE) -> DataFrame:
@@ -90,6 +114,6 @@ def with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sca
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(F.col("text"), F.col("kept")).alias("fingerprint"),
         fingerprint(F.col("edited"), F.col("edited_kept")).alias("edited_fingerprint"),
-        resemblance(F.col("kept"), F.col("edited_kept"), F.col("text") == F.col("edited")).alias("near_edited"),
-        resemblance(F.col("kept"), F.col("next_kept"), F.col("h") == F.col("next_h")).alias("near_next"),
+        resemblance(F.col("kept"), F.col("edited_kept"), F.col("text") == F.col("edited"), scale).alias("near_edited"),
+        resemblance(F.col("kept"), F.col("next_kept"), F.col("h") == F.col("next_h"), scale).alias("near_next"),
     )
