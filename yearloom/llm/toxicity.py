@@ -19,10 +19,9 @@ from .common import appended, lowest
 
 #: Labelled rows that a model learns from at most: those first by the hash of doc_id.
 MAX_LABELLED = 20_000
-#: Tokens that a model holds at most: those of highest z.
-MAX_TOKENS = 5_000
+#: A model holds the tokens whose log-odds are so many deviations from 0, toxic or clean; other tokens share the rest.
 #: PRIOR: tokens of prior for each labelled one.
-MIN_Z, PRIOR, E_VALUE = 3.0, 0.1, 0.01
+MIN_Z, PRIOR, E_VALUE = 2.5, 0.1, 0.01
 TOKEN = re.compile(r"[^\W\d_]+")
 EULER = 0.5772156649015329
 
@@ -116,7 +115,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     a1, a0 = F.col("y1") + prior, F.col("y0") + prior
     odds = F.log(a1 / (n1 + mass - a1)) - F.log(a0 / (n0 + mass - a0))
     counts = counts.select("token", "y1", "y0", odds.alias("w"), (odds / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
-    top = counts.where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "token").limit(MAX_TOKENS).collect()
+    # No more than the words of MAX_LABELLED rows.
+    top = counts.where(F.abs("z") >= MIN_Z).orderBy("token").collect()
     weights = {r["token"]: float(r["w"]) for r in top}
     share1, share0 = sum(r["y1"] for r in top) / n1, sum(r["y0"] for r in top) / n0
     rest = min(-1e-3, math.log((1 - share1 + 1e-9) / (1 - share0 + 1e-9)))
@@ -166,7 +166,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with toxic_score double (0 to 1) and toxic_passages: start and end in tokens, score and e_value of each.
 
-    A null or empty text has no passages and the score of such texts.  Columns of these names are replaced.
+    A null or empty text has no passages and the score of such texts.  Rows that come twice are scored twice, an empty table
+    gives an empty one, and a text may be of any length.  Columns of these names are replaced, others keep theirs.
     """
 
     def start():
