@@ -18,20 +18,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where it is unset, as in tests, a temporary one."""
+    """The folder that the cluster names in spark.checkpoint.dir; where it is unset and all runs on one machine, as in
+    tests, a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes what was written to the shared folder, whatever store it is in."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a copy in the shared folder.
 
-    Shuffle files and older copies that nothing refers to any more go as soon as the driver's garbage is collected, which
-    a driver under no memory pressure puts off; so it is asked here, else the rounds of an iteration pile up on disk.
+    Shuffle files that nothing refers to any more go as soon as the driver's garbage is collected (and older copies too,
+    on a cluster that sets spark.cleaner.referenceTracking.cleanCheckpoints), which a driver under no memory pressure puts
+    off; so it is asked here, else the rounds of an iteration pile up on disk.
     """
     shared_folder(df.sparkSession)
     copy = df.checkpoint(eager=True)

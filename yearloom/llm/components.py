@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import checkpoint
 
-MAX_ROUNDS = 60
-
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of edges(a, b) but those that are the least of theirs; label is the least reachable.
 
+    The rounds end: each lets a node point at a lesser one or changes nothing, and their number grows with the square of
+    the logarithm of the nodes.
     Only edges move, in joins and partial minima; each round's edges are checkpointed.  A node of many edges spreads as a
     skewed join does.
     """
     edges = checkpoint(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -29,4 +29,3 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
         seen = state
-    raise ValueError("components did not settle")
