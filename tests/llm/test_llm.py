@@ -446,7 +446,7 @@ def linked(texts):
 
     for i, a in enumerate(sets):
         for j in range(i):
-            if 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+            if a and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
                 p, q = top(i), top(j)
                 label[max(p, q)] = min(p, q)
     return [top(i) for i in range(len(texts))]
@@ -675,19 +675,3 @@ def test_substring_dedup_odd(odd, none):
     got = rows(out)
     assert len(got) == len(ODD) and [r["n_removed"] for r in got if r["doc_id"] == 4] == [3000, 3000]
     assert substring_dedup.dedup(none).count() == 0
-
-
-# The pipeline
-
-
-def test_pipeline(spark, sf_dir):
-    pipeline = pytest.importorskip("corpus_pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    sizes, kept = [docs.count()], docs
-    for name, stage in pipeline.STAGES[:-1]:
-        kept = stage(spark, kept, sf_dir)
-        assert kept.columns == docs.columns, name
-        sizes.append(kept.count())
-    assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0.5 * sizes[0]
-    texts = {r["doc_id"]: r["text"] for r in kept.collect()}
-    check_packing(rows(pipeline.run(spark, sf_dir)), texts)
