@@ -7,8 +7,8 @@ number of places of each state, is built where the shard lies, the stretches are
 whose match has two places or more form the spans to remove.
 
 A seed of over HOT places, a passage so common that its shard has no bound, is dealt on by all grams of a window instead
-of the least one: each shard is then one window, whose number of places is a count that Spark adds up before it shuffles.
-Both ways give the same windows, for any HOT.
+of the least one: each shard is then one window, whose number of places is a count that Spark adds up before it shuffles;
+stretches that are the same throughout are counted as one.  Both ways give the same windows, for any HOT.
 
 Documents with equal texts are settled by a count of texts; only one of them serves as reference.
 """
@@ -195,16 +195,15 @@ def spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, gram: int
 
         return tables(of(), ("route", "key", "start", "lead", "words"), (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()), 5000)
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def of() -> Iterator[tuple]:
             last, hashes = None, None
-            for k, words, s, _, a, b in wanted(batches, True):
+            for k, words, _, _, a, b in wanted(batches, True):
                 if last is not words:
                     last, hashes = words, _hashes(words, window).astype(np.int64)
-                for i in range(a, b + 1):
-                    yield int(hashes[i]) ^ s, k, i
+                yield k, a, hashes[a : b + 1]
 
-        return tables(of(), ("window", "key", "start"), (pa.int64(), pa.binary(), pa.int32()), 50_000)
+        return tables(of(), ("key", "start", "windows"), (pa.binary(), pa.int32(), pa.list_(pa.int64())), 5000)
 
     def dealt(only_hot: bool) -> DataFrame:
         of = lists.where(F.exists("seeds", lambda x: x["hot"] == F.lit(only_hot)))
@@ -243,9 +242,16 @@ def spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, gram: int
 
     told = shards.mapInArrow(matched, "key binary, a int, b int")
     if not shared.where("hot").isEmpty():
-        placed = checkpoint(dealt(True).mapInArrow(windows, "window long, key binary, start int"))
-        often = checkpoint(placed.groupBy("window").count().where("count > 1").select("window"))
-        told = told.union(placed.join(often, "window").select("key", F.col("start").alias("a"), (F.col("start") + window).alias("b")))
+        # Stretches that are the same throughout count at once; only the others are looked at window by window.
+        placed = dealt(True).mapInArrow(passages, "key binary, start int, windows array<long>").withColumn("same_run", F.xxhash64("windows"))
+        placed = checkpoint(placed)
+        kinds = checkpoint(placed.groupBy("same_run").agg(F.count(F.lit(1)).alias("n"), F.first("windows").alias("windows")))
+        often = kinds.select("n", F.explode("windows").alias("w")).groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w")
+        again = checkpoint(kinds.where("n > 1").select("same_run"))
+        whole = placed.join(again, "same_run").select("key", F.col("start").alias("a"), (F.col("start") + F.size("windows") - 1 + window).alias("b"))
+        lone = placed.join(again, "same_run", "left_anti").select("key", "start", F.posexplode("windows").alias("at", "w"))
+        found = lone.join(checkpoint(often), "w").select("key", (F.col("start") + F.col("at")).alias("a"), (F.col("start") + F.col("at") + window).alias("b"))
+        told = told.union(whole).union(found)
     told = told.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     return flags.select(F.col(key).alias("key"), "copied").join(told, "key", "left")
 
