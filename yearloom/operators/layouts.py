@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
 from yearloom.functions import text as X
+from yearloom.operators.pages import ANCHORS
 
 #: Section titles (fixed values).
 SECTIONS = [
@@ -34,6 +35,7 @@ class Layout:
     trim: bool = False  # lines are looked at without their indent
 
 
+# The line patterns of the layouts are fixed values.
 INLINE = r"^\s*([A-Z][\w\s\-,()/]+?):\s+(.+)"
 INDENTED = r"^([^\s:][^:]*):\s*(.*)"
 MIXED = r"^\s{0,2}([A-Z][\w\s\-,()/.]+?):\s*(.*)"
@@ -117,6 +119,17 @@ def text_rows(docs: DataFrame, doc: str, text: str, layout: str | Layout) -> Dat
     return kept.groupBy("doc", "place", "country", "category", "field").agg(F.array_join(parts, rules.joint).alias("content"))
 
 
+#: What makes a layout's one section of a text of fields.
+SHELLS = {"inline": ("old", "Country:  x\n- X\n"), "indented": ("colon", ":Xx Geography\n"), "mixed": ("atsign_bare", "@Xx\nGeography\n")}
+
+
+def field_rows(docs: DataFrame, doc: str, text: str, style: str) -> DataFrame:
+    """(doc, place, field, content) of texts that hold the fields of one section, in one of the styles of SHELLS."""
+    layout, shell = SHELLS[style]
+    whole = docs.select(F.col(doc).alias("doc"), F.concat(F.lit(shell), F.col(text)).alias("text"))
+    return text_rows(whole, "doc", "text", layout).select("doc", "place", "field", "content")
+
+
 def classic_html(pages: DataFrame, page: str, html: str) -> DataFrame:
     """(page, category, field, content): sections start at named anchors, fields at bold labels."""
     anchors = r"(?i)(?=<a\s+name=\"[^\"]+\"[^>]*>[^<]*</a>)"
@@ -125,7 +138,11 @@ def classic_html(pages: DataFrame, page: str, html: str) -> DataFrame:
     named = cut.where(F.col("body").rlike(anchor)).select(
         "page",
         "section",
-        F.coalesce(F.nullif(F.trim(F.regexp_extract("body", anchor, 2)), F.lit("")), F.regexp_extract("body", anchor, 1)).alias("category"),
+        F.coalesce(
+            F.nullif(F.trim(F.regexp_extract("body", anchor, 2)), F.lit("")),
+            F.try_element_at(F.create_map(*(F.lit(x) for pair in ANCHORS.items() for x in pair)), F.regexp_extract("body", anchor, 1)),
+            F.regexp_extract("body", anchor, 1),
+        ).alias("category"),
         F.regexp_replace(F.regexp_replace("body", anchor, ""), r"(?is)<p><center><table.*$", "").alias("body"),
     )
     fields = named.select("page", "section", "category", F.posexplode(F.split("body", r"(?i)(?=<b>[^<]+?:</b>)")).alias("place", "part"))
@@ -141,39 +158,29 @@ def classic_html(pages: DataFrame, page: str, html: str) -> DataFrame:
     return out.where("content <> ''")
 
 
-def labelled_html(pages: DataFrame, page: str, html: str, layout: str) -> DataFrame:
-    """(page, place, category, field, content) of the layouts that mark labels and values by classes.
+def page_name(html: Column) -> Column:
+    """The name of a page's subject: from the title, the last part between dashes or double colons that says anything, or
+    else what is left of it; then the element of class countryName, what follows :: in a category, and in a heading."""
 
-    The page is cut where a section or label opens; what a cut holds up to the next is the content.  A tag-based reading
-    without a document tree: good for pages whose labels and values don't nest.
-    """
-    section, label = {
-        "table": (r"<a\s+name=\"[^\"]+\"[^>]*>([^<]*)</a>", r"<td[^>]*class=\"?FieldLabel\"?[^>]*>(.*?)</td>"),
-        "collapsiblepanel": (r"<span[^>]*class=\"?category\"?[^>]*>([^<]*?)(?:::[^<]*)</span>", r"<tr[^>]*class=\"?\w*_light\"?[^>]*>(.*?)</tr>"),
-        "expandcollapse": (r"<h2[^>]*sectiontitle=['\"]([^'\"]+)['\"][^>]*>.*?</h2>", r"<div[^>]*id=['\"]field['\"][^>]*>(.*?)</div>"),
-        "modern": (r"<a[^>]*class=\"?tabHead\"?[^>]*>([^<]*?)\s*(?:::[^<]*)?</a>", r"<div[^>]*id=\"field-anchor-[^\"]*\"[^>]*>(.*?)</div>"),
-    }[layout]
-    head, name = f"(?is)^{section}", f"(?is)^{label}"
-    cut = pages.select(F.col(page).alias("page"), F.posexplode(F.split(html, f"(?is)(?={section})|(?={label})")).alias("place", "part"))
-    w = W.partitionBy("page").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
-    part = F.col("part")
-    cut = cut.withColumn("category", F.last(F.when(part.rlike(head), F.trim(F.regexp_extract(part, head, 1))), ignorenulls=True).over(w))
-    out = cut.where(part.rlike(name)).select(
-        "page",
-        "place",
-        F.coalesce(F.nullif("category", F.lit("")), F.lit("General")).alias("category"),
-        F.rtrim(X.html_to_pipe(F.regexp_extract(part, name, 1)), F.lit(":")).alias("field"),
-        X.html_to_pipe(F.regexp_replace(F.regexp_replace(part, name, ""), r"(?is)<a[^>]*>\s*<img[^>]*>\s*</a>", "")).alias("content"),
-    )
-    return out.where("field <> '' AND content <> ''")
+    def titled(title: Column) -> Column:
+        parts = F.split(title, "--|::| - ")
+        clean = F.transform(parts, lambda p: F.trim(F.regexp_replace(F.regexp_replace(p, "The World Factbook.*|Central Intelligence Agency", ""), r"^\s*CIA\s*$|^[\s-]+|[\s-]+$", "")))
+        told = F.get(F.reverse(F.filter(clean, lambda p: F.length(p) > 1)), F.lit(0))
+        rest = F.regexp_replace(title, r"CIA|Central Intelligence Agency|The World Factbook|\d{4}|-|::", " ")
+        return F.coalesce(F.when(F.size(parts) > 1, told), F.nullif(X.stripped(F.regexp_replace(rest, r"\s+", " ")), F.lit("")))
 
+    def inside(pattern: str) -> Column:
+        told = X.stripped(F.regexp_replace(F.regexp_extract(html, pattern, 1), "<[^>]+>", ""))
+        return F.nullif(told, F.lit(""))
 
-def page_name(html: Column) -> Column:
-    """The part of the page's title that names its subject: the last between dashes or double colons that says anything."""
     title = F.regexp_replace(X.stripped(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)), "[–—]", " - ")
-    parts = F.split(title, "--|::| - ")
-    clean = F.transform(parts, lambda p: F.trim(F.regexp_replace(F.regexp_replace(p, "The World Factbook.*|Central Intelligence Agency", ""), r"^\s*CIA\s*$|^[\s-]+|[\s-]+$", "")))
-    return F.coalesce(X.title_case(F.get(F.reverse(F.filter(clean, lambda p: F.length(p) > 1)), F.lit(0))), F.lit("Unknown"))
+    found = F.coalesce(
+        X.bound(title, titled),
+        inside(r"(?is)class=[\"']?countryName\b[^>]*>(.*?)</"),
+        inside(r"(?is)<(?:span|a)\b[^>]*class=[\"']?(?:category|tabHead)\b[^>]*>[^<]*::([^<]+)<"),
+        inside(r"(?is)<h2\b[^>]*sectiontitle=[^>]*>[^<]*::(.*?)</h2>"),
+    )
+    return F.coalesce(X.title_case(found), F.lit("Unknown"))
 
 
 def json_rows(editions: DataFrame) -> DataFrame:

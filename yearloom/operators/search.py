@@ -1,17 +1,24 @@
 """Full-text search over postings: (doc, term, pos) rows, joined and counted by Spark.
 
-Terms are lower-cased runs of letters and digits.  A query's terms are few, so postings are filtered to them first and
+Terms are lower-cased runs of letters and digits, without diacritics.  A query's terms are few, so postings are filtered to them first and
 only matching rows are shuffled.
 """
 
 from __future__ import annotations
 
+from unicodedata import normalize
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+#: Letters with diacritics and those that they are read as, of the Latin blocks; made from the letters' decompositions.
+MARKED, PLAIN = zip(*((c, d[0]) for c in map(chr, range(0xC0, 0x250)) if len(d := normalize("NFD", c)) > 1 and d[0].isascii()))
+
+
 def tokens(text: Column) -> Column:
     """The terms of a text in order."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), "".join(MARKED), "".join(PLAIN))
+    return F.filter(F.split(plain, r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
 def postings(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -35,6 +42,13 @@ def without(found: DataFrame, index: DataFrame, terms: list[str]) -> DataFrame:
     return found.join(with_any(index, terms), "doc", "left_anti")
 
 
+def with_and_without(index: DataFrame, terms: list[str], others: list[str]) -> DataFrame:
+    """Documents that have one of the terms and none of the others, in one pass over the index."""
+    hits = index.where(F.col("term").isin([*terms, *others])).groupBy("doc")
+    marked = hits.agg(F.max(F.col("term").isin(terms)).alias("has"), F.max(F.col("term").isin(others)).alias("hasnt"))
+    return marked.where("has AND NOT hasnt").select("doc")
+
+
 def with_prefix(index: DataFrame, prefix: str) -> DataFrame:
     return index.where(F.startswith("term", F.lit(prefix))).select("doc").distinct()
 
@@ -57,11 +71,12 @@ def bm25(docs: DataFrame, doc: str, text: str, terms: list[str], k1: float = 1.2
 
     each = F.array(*(F.struct(F.lit(t).alias("term"), times(t).alias("tf")) for t in sorted(set(terms))))
     counted = sized.select("doc", F.size("terms").alias("length"), each.alias("hits"))
-    totals = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))
-    hits = counted.select("doc", "length", F.explode("hits").alias("h")).select("doc", "length", "h.*").where("tf > 0")
-    spread = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    rows = hits.join(F.broadcast(spread), "term")  # a row a term of the query
-    rows = rows.withColumns({c: totals.select(c).scalar() for c in ("n", "mean")})
-    idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
-    weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))
-    return rows.groupBy("doc").agg(F.sum(weight).alias("score"))
+    df = [F.sum((F.col("hits")[i]["tf"] > 0).cast("long")) for i in range(len(set(terms)))]
+    totals = counted.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), F.array(*df).alias("df")).alias("t"))
+    # One subquery for all that is counted over the corpus.
+    rows = counted.withColumn("t", totals.scalar())
+    hits = rows.select("doc", "length", "t", F.posexplode("hits").alias("i", "h")).where("h.tf > 0")
+    tf, n, spread = F.col("h.tf"), F.col("t.n"), F.get("t.df", F.col("i"))
+    idf = F.log((n - spread + 0.5) / (spread + 0.5) + 1)
+    weight = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("length") / F.col("t.mean")))
+    return hits.groupBy("doc").agg(F.sum(weight).alias("score"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from yearloom.functions import text as X
 from yearloom.operators import dictionary as D, layouts
 
+from .extraction import DECODED, PIPED
 from .registry import query
 from .relational import over_archive
 
@@ -128,13 +129,13 @@ def page_select(spark, sf_dir):
     return kept.groupBy("code").agg(F.min("url").alias("url"))
 
 
-@query("json_explode", "SELECT conv_id::VARCHAR AS code, role AS category, turn::BIGINT AS place, 'text' AS field, text AS content FROM conversations WHERE text NOT LIKE '%<%' AND text NOT LIKE '%&%' AND text = trim(text) AND NOT regexp_matches(text, '\\s\\s|[\\n\\t\\r]')")
+@query("json_explode", "SELECT conv_id::VARCHAR AS code, role AS category, turn::BIGINT AS place, 'text' AS field, " + PIPED.format(DECODED) + """ AS content
+FROM (SELECT *, regexp_replace(regexp_replace(regexp_replace(text, '<br\\s*/?\\s*>\\s*(?:<br\\s*/?\\s*>)?', ' | ', 'gi'), '</p>\\s*<p[^>]*>', ' | ', 'gi'), '<[^>]+>', ' ', 'g') AS t FROM conversations)""")
 def json_explode(spark, sf_dir):
     """Nested objects to rows, over turns made nested."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    plain = turns.where(~F.col("text").like("%<%") & ~F.col("text").like("%&%") & (F.col("text") == F.trim("text")) & ~F.col("text").rlike(r"\s\s|[\n\t\r]"))
     field = F.struct(F.lit("text").alias("name"), F.col("text").alias("content"), F.lit(None).cast("string").alias("value"))
-    nested = plain.select(F.col("conv_id").cast("string").alias("code"), F.col("turn").cast("long").alias("turn"), F.array(F.struct(F.col("role").alias("title"), F.array(field).alias("fields"))).alias("categories"))
+    nested = turns.select(F.col("conv_id").cast("string").alias("code"), F.col("turn").cast("long").alias("turn"), F.array(F.struct(F.col("role").alias("title"), F.array(field).alias("fields"))).alias("categories"))
     return _with_turn(nested)
 
 

@@ -33,12 +33,23 @@ def html_to_pipe(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.trim(X.html_to_pipe(F.col("html"))).alias("text"))
 
 
-@query("strip_html")
+STRIPPED = r"""SELECT page_id, {0} AS text FROM (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '<br\s*/?\s*>\s*(?:<br\s*/?\s*>)?', ' | ', 'gi'), '</p>\s*<p[^>]*>', ' | ', 'gi'), '<[^>]+>', ' ', 'g') AS t FROM pages)"""
+DECODED = "t"
+for _entity, _letter in X.ENTITIES.items():
+    DECODED = f"replace({DECODED}, '{_entity}', '{_letter}')"
+PIPED = r"trim(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace({0}, '\s+', ' ', 'g')), '(\s*\|\s*)+', ' | ', 'g'), '^\s*\|\s*', ''), '\s*\|\s*$', ''))"
+
+
+@query("strip_html", STRIPPED.format(PIPED.format(DECODED)))
 def strip_html(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", X.strip_html(F.col("html")).alias("text"))
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.trim(X.strip_html(F.col("html"))).alias("text"))
 
 
-@query("page_title")
+@query("page_title", r"""WITH t AS (SELECT page_id, trim(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '–', ' - '), '—', ' - ')) AS t FROM pages),
+p AS (SELECT page_id, t, regexp_split_to_array(t, '--|::| - ') AS parts FROM t),
+n AS (SELECT page_id, CASE WHEN len(parts) > 1 THEN list_filter(list_transform(list_reverse(parts), lambda x: trim(regexp_replace(regexp_replace(x, 'The World Factbook.*|Central Intelligence Agency', '', 'g'), '^\s*CIA\s*$|^[\s-]+|[\s-]+$', '', 'g'))), lambda x: length(x) > 1)[1] END AS part,
+ nullif(trim(regexp_replace(regexp_replace(t, 'CIA|Central Intelligence Agency|The World Factbook|\d{4}|-|::', ' ', 'g'), '\s+', ' ', 'g')), '') AS rest FROM p)
+SELECT page_id, coalesce(part, rest, 'Unknown') AS name FROM n""")
 def page_title(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", layouts.page_name(F.col("html")).alias("name"))
 
@@ -73,15 +84,20 @@ def dash_normalize(a):
     return a.mappings.select("original", names.dash_normalized(F.col("original")).alias("dashed"))
 
 
-@over_archive("canonical_rules")
+@over_archive("canonical_rules", """, used AS (SELECT field_name AS original, min(year) AS first_year, max(year) AS last_year, count(*) AS use_count FROM fields LEFT JOIN countries USING (country_id) GROUP BY 1)
+SELECT original, first_year, last_year, use_count,
+ CASE original WHEN '1-URGENT' THEN 'Area' WHEN '2-HIGH' THEN 'Area' WHEN '4-NOT SPECIFIED' THEN '4-NOT SPECIFIED' ELSE original END AS canonical,
+ CASE original WHEN '1-URGENT' THEN 'rename' WHEN '2-HIGH' THEN 'dash_format' WHEN '3-MEDIUM' THEN 'identity' WHEN '4-NOT SPECIFIED' THEN 'country_specific' ELSE 'consolidation' END AS mapping_type,
+ CASE original WHEN '5-LOW' THEN 'Geography' END AS consolidated_to, 0 AS is_noise FROM used""")
 def canonical_rules(a):
-    """All rules, with names of the last edition as modern ones."""
+    """One name for each of five outcomes: a known rename, one once its dash is spelled out, a name of the last edition, an
+    entry that isn't a field, and a part of another field."""
     used = names.usage(a.fields, a.countries)
-    modern = a.fields.join(a.countries.where("year = 2001"), "country_id").select(F.col("field_name").alias("name")).distinct()
     lookup = lambda cols, rows: a.masters.sparkSession.createDataFrame(rows, cols)
     renames = lookup("name string, canonical string", [("1-URGENT", "Area"), ("2 - HIGH", "Area")])
     parents = lookup("name string, parent string", [("5-LOW", "Geography")])
-    return names.canonical(used, modern, renames, parents, lookup("name string", [("Notes",)]))
+    modern = lookup("name string", [("3-MEDIUM",), ("1-URGENT",)])
+    return names.canonical(used, modern, renames, parents, lookup("name string", [("4-NOT SPECIFIED",)]))
 
 
 @over_archive("backfill_mapping", "SELECT DISTINCT field_name AS original, field_name AS canonical, 'unmapped' AS mapping_type FROM fields WHERE field_name NOT IN (SELECT original FROM mappings)")
@@ -89,27 +105,48 @@ def backfill_mapping(a):
     return names.backfilled(a.fields, a.mappings)
 
 
-@over_archive("noise_flags")
+USED = """, used AS (SELECT original, min(year) AS first_year, max(year) AS last_year, count(*) AS use_count FROM (
+  SELECT title || CASE WHEN field_id % 7 = 0 THEN ' (' || field_id % 100 || ')' WHEN field_id % 7 = 1 THEN '.' WHEN field_id % 7 = 2 THEN ' parties' WHEN field_id % 7 = 3 THEN ', Senate' ELSE '' END AS original, year
+  FROM fields JOIN categories USING (category_id, country_id) JOIN countries USING (country_id)) GROUP BY 1)
+"""
+
+
+def used_names(a):
+    """Titles with endings, taken as names of fields, so that several rules have something to find."""
+    k = F.col("field_id")
+    ending = F.when(k % 7 == 0, F.concat(F.lit(" ("), (k % 100).cast("string"), F.lit(")"))).when(k % 7 == 1, ".").when(k % 7 == 2, " parties").when(k % 7 == 3, ", Senate").otherwise("")
+    titled = a.fields.join(a.categories.select("category_id", "title"), "category_id").select("country_id", F.concat("title", ending).alias("field_name"))
+    return names.usage(titled, a.countries)
+
+
+@over_archive("noise_flags", USED + r"""SELECT original, (
+  length(original) <= 2 AND regexp_matches(original, '^\p{L}+$') OR original LIKE '%.' AND length(original) <= 6
+  OR original = upper(original) AND regexp_matches(original, '\p{Lu}') AND length(original) <= 4 AND use_count <= 5 OR regexp_matches(original, '^\p{Ll}') AND (use_count <= 10 OR first_year <= 1998)
+  OR length(original) > 80 AND use_count <= 3 OR regexp_matches(original, '^with (run|permanent)|^Articles? [0-9]|^US(--| as )') OR contains(original, ',') AND use_count <= 3 AND length(original) > 40
+  OR last_year <= 2001 AND use_count <= 10 AND regexp_matches(lower(original), 'parties|bloc|rightist|leftist|populist|resistance forces|ruling coalition|umbrella group|africans|people''s army')
+  OR use_count <= 5 AND last_year <= 2001 AND length(original) < 40 OR contains(original, 'includes') AND use_count <= 5 OR original LIKE '%)' AND use_count <= 3 AND last_year <= 2001) AS noise,
+ last_year <= 2001 AND use_count <= 100 AND (contains(original, 'Assembly') OR contains(original, 'Senate')) AS body
+FROM used""")
 def noise_flags(a):
-    used = names.usage(a.fields, a.countries)
+    used = used_names(a)
     c = [F.col(x) for x in ("original", "use_count", "first_year", "last_year")]
     return used.select("original", names.is_noise(*c).alias("noise"), names.is_body(c[0], c[1], c[3]).alias("body"))
 
 
-@over_archive("headwords")
+@over_archive("headwords", """, own AS (SELECT iso2 AS o, name AS owner FROM masters WHERE iso2 IS NOT NULL)
+SELECT c.country_id, c.name, c.master_id, list_filter([c.name, CASE WHEN own.owner = c.name THEN e.iso2 END, CASE WHEN e.code IS DISTINCT FROM e.iso2 AND e.code NOT IN (SELECT o FROM own) THEN e.code END], lambda x: x IS NOT NULL) AS codes
+FROM countries c JOIN masters e USING (master_id) LEFT JOIN own ON own.o = e.iso2""")
 def headwords(a):
     return entities.headwords(a.countries.select("country_id", "name", "master_id"), a.masters)
 
 
-@over_archive("name_mismatch", "SELECT country_id FROM countries JOIN masters e USING (master_id) WHERE NOT contains(lower(countries.name), lower(e.name))")
-def name_mismatch(a):
-    m = a.masters.select("master_id", F.col("name").alias("known"))
-    return a.countries.join(m, "master_id").where(~entities.name_fits(F.col("name"), F.col("known"))).select("country_id")
-
-
-@over_archive("dup_keys", "SELECT year, name, count(*) AS n FROM countries GROUP BY 1, 2 HAVING count(*) > 1")
-def dup_keys(a):
-    return a.countries.groupBy("year", "name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+@query("dup_keys", "SELECT (1990 + c_custkey % 36)::INTEGER AS year, n_name AS name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2 HAVING count(*) > 1")
+def dup_keys(spark, sf_dir):
+    """Years and names that stand more than once, over customers taken as editions."""
+    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    editions = read("customer").join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    year = (F.lit(1990) + F.col("c_custkey") % 36).cast("int").alias("year")
+    return editions.groupBy(year, F.col("n_name").alias("name")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 @over_archive("dq_iso_coverage", "SELECT count(*) AS sovereigns, count(iso2) AS with_iso FROM masters WHERE entity_type = 'sovereign'")
@@ -139,7 +176,7 @@ def mapping_coverage(a):
     return used.agg(F.count("field_name").alias("names"), F.count("original").alias("mapped"))
 
 
-TERMS = r"WITH d AS (SELECT doc_id AS doc, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS t FROM documents) "
+TERMS = r"WITH d AS (SELECT doc_id AS doc, list_filter(string_split_regex(strip_accents(lower(coalesce(text, ''))), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS t FROM documents) "
 
 
 def index(spark, sf_dir):
@@ -156,10 +193,10 @@ def fts_or(spark, sf_dir):
     return search.with_any(index(spark, sf_dir), ["license", "copyright"])
 
 
-@query("fts_not", TERMS + "SELECT doc FROM d WHERE list_contains(t, 'license') AND NOT list_contains(t, 'the')")
+@query("fts_not", TERMS + "SELECT doc FROM d WHERE list_contains(t, 'the') AND NOT list_contains(t, 'license')")
 def fts_not(spark, sf_dir):
     terms = index(spark, sf_dir)
-    return search.without(search.with_any(terms, ["license"]), terms, ["the"])
+    return search.with_and_without(terms, ["the"], ["license"])
 
 
 @query("fts_prefix", TERMS + "SELECT doc FROM d WHERE len(list_filter(t, lambda x: starts_with(x, 'licen'))) > 0")
@@ -172,7 +209,17 @@ def fts_phrase(spark, sf_dir):
     return search.with_phrase(index(spark, sf_dir), ["under", "the"])
 
 
-@query("fts_bm25")
+@query("fts_tokens", TERMS + "SELECT term, count(*) AS times, count(DISTINCT doc) AS docs FROM (SELECT doc, unnest(t) AS term FROM d) GROUP BY 1")
+def fts_tokens(spark, sf_dir):
+    """The terms of the index and how often they stand."""
+    each = index(spark, sf_dir).groupBy("doc", "term").agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy("term").agg(F.sum("n").alias("times"), F.count(F.lit(1)).alias("docs"))
+
+
+@query("fts_bm25", TERMS + """, s AS (SELECT doc, len(t) AS n, len(list_filter(t, lambda x: x = 'license')) AS a, len(list_filter(t, lambda x: x = 'copyright')) AS b FROM d),
+g AS (SELECT count(*) AS docs, avg(n) AS mean, count(*) FILTER (a > 0) AS da, count(*) FILTER (b > 0) AS db FROM s)
+SELECT doc, round(CASE WHEN a > 0 THEN ln((docs - da + 0.5) / (da + 0.5) + 1) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * n / mean)) ELSE 0 END
+ + CASE WHEN b > 0 THEN ln((docs - db + 0.5) / (db + 0.5) + 1) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * n / mean)) ELSE 0 END, 6) AS score FROM s, g WHERE a > 0 OR b > 0""")
 def fts_bm25(spark, sf_dir):
     scored = search.bm25(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text", ["license", "copyright"])
-    return scored.select("doc", F.round("score", 9).alias("score"))
+    return scored.select("doc", F.round("score", 6).alias("score"))
