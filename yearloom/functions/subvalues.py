@@ -5,6 +5,8 @@ row for each match (many()).  Rules that stand in otherwise() count only where t
 
 A pattern that matches something which isn't a number spoils its field: the field then has one text row, its content.
 Nothing is shuffled, and a field meets only the parser of its name.
+
+Patterns, labels, names of sub-fields and units, and the names in PARSERS are fixed values: other ones would find other rows.
 """
 
 from __future__ import annotations

@@ -154,10 +154,35 @@ def dq_iso_coverage(a):
     return a.masters.where("entity_type = 'sovereign'").agg(F.count(F.lit(1)).alias("sovereigns"), F.count("iso2").alias("with_iso"))
 
 
-@over_archive("dq_structure", "SELECT c.year, count(*) AS fields, count(DISTINCT c.country_id) AS countries FROM fields f JOIN countries c USING (country_id) GROUP BY 1")
+@over_archive("dq_structure", """, f AS (SELECT country_id, count(*) AS n FROM fields GROUP BY 1), g AS (SELECT country_id, count(*) AS n FROM categories GROUP BY 1)
+SELECT c.year, count(*) AS countries, sum(g.n)::BIGINT AS categories, sum(f.n)::BIGINT AS fields, round(sum(f.n) / count(*), 4)::DOUBLE AS fields_each, round(sum(g.n) / count(*), 4)::DOUBLE AS categories_each, sum(f.n) / count(*) < 30 AS thin
+FROM countries c JOIN f USING (country_id) JOIN g USING (country_id) GROUP BY 1""")
 def dq_structure(a):
-    n = a.fields.groupBy("country_id").agg(F.count(F.lit(1)).alias("n")).join(a.countries, "country_id")
-    return n.groupBy("year").agg(F.sum("n").alias("fields"), F.count(F.lit(1)).alias("countries"))
+    """Per edition: entities, categories, fields, both for each entity, and whether it is thin."""
+    n = a.fields.groupBy("country_id").agg(F.count(F.lit(1)).alias("f")).join(a.categories.groupBy("country_id").agg(F.count(F.lit(1)).alias("g")), "country_id")
+    told = n.join(a.countries, "country_id").groupBy("year").agg(F.count(F.lit(1)).alias("countries"), F.sum("g").alias("categories"), F.sum("f").alias("fields"))
+    each = lambda c: F.col(c) / F.greatest(F.col("countries"), F.lit(1))
+    return told.select("*", F.round(each("fields"), 4).alias("fields_each"), F.round(each("categories"), 4).alias("categories_each"), (each("fields") < 30).alias("thin"))
+
+
+@over_archive("fv_checks", """, n AS (SELECT (SELECT count(*) FROM vals) AS v, (SELECT count(*) FROM fields) AS f, (SELECT count(DISTINCT field_id) FROM vals) AS parsed, (SELECT count(numeric_val) FROM vals) AS num,
+ (SELECT count(source_fragment) FROM vals) AS frag, (SELECT count(*) FROM vals WHERE is_computed = 1) AS comp, (SELECT count(*) FROM fields JOIN mappings ON field_name = original WHERE canonical = 'Area') AS registered)
+SELECT 'expansion' AS "check", round(v / f, 6) AS observed, v / f > 1 AS ok FROM n UNION ALL SELECT 'coverage', round(parsed / f, 6), parsed / f >= 0.95 FROM n
+UNION ALL SELECT 'numeric', round(num / v, 6), num / v >= 0.2 FROM n UNION ALL SELECT 'fragments', round(frag / v, 6), frag / v >= 0.95 FROM n
+UNION ALL SELECT 'computed', round(comp / v, 6), comp < v FROM n UNION ALL SELECT 'registered', round(registered / f, 6), registered > 0 FROM n""")
+def fv_checks(a):
+    """Sub-values held against thresholds: a row for each check.  Registered fields have a parser of their own."""
+    of = a.fields.join(a.mappings.select(F.col("original").alias("field_name"), "canonical"), "field_name", "left")
+    named = F.count_if(F.col("canonical").isin(list(subvalues.PARSERS)))
+    f = of.agg(F.count(F.lit(1)).alias("f"), named.alias("registered"))
+    v = a.values.agg(F.count(F.lit(1)).alias("v"), F.count_distinct("field_id").alias("parsed"), F.count("numeric_val").alias("num"), F.count("source_fragment").alias("frag"), F.count_if(F.col("is_computed") == 1).alias("comp"))
+    share = lambda x, y: F.col(x) / F.col(y)
+    told = [
+        ("expansion", share("v", "f"), share("v", "f") > 1), ("coverage", share("parsed", "f"), share("parsed", "f") >= 0.95), ("numeric", share("num", "v"), share("num", "v") >= 0.2),
+        ("fragments", share("frag", "v"), share("frag", "v") >= 0.95), ("computed", share("comp", "v"), F.col("comp") < F.col("v")), ("registered", share("registered", "f"), F.col("registered") > 0),
+    ]
+    rows = F.array(*(F.struct(F.lit(n).alias("check"), F.round(x, 6).alias("observed"), ok.alias("ok")) for n, x, ok in told))
+    return f.crossJoin(v).select(F.inline(rows))  # one row each
 
 
 @over_archive("fv_coverage", "SELECT count(*) AS vals, count(DISTINCT field_id) AS fields, count(numeric_val) AS with_number, count(source_fragment) AS with_fragment FROM vals")
@@ -170,10 +195,42 @@ def fv_top_subfields(a):
     return a.values.groupBy("sub_field").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "sub_field").limit(20)
 
 
-@over_archive("mapping_coverage", "SELECT count(DISTINCT field_name) AS names, count(DISTINCT m.original) AS mapped FROM fields LEFT JOIN mappings m ON field_name = m.original")
+@over_archive("mapping_coverage", """, used AS (SELECT field_name, count(*) AS n FROM fields GROUP BY 1)
+SELECT 'mapped' AS "check", 'all' AS key, count(*) FILTER (m.original IS NOT NULL) AS observed, count(*) AS expected FROM used LEFT JOIN mappings m ON field_name = m.original
+UNION ALL SELECT 'unmapped', field_name, n, 0 FROM used WHERE field_name NOT IN (SELECT original FROM mappings)
+UNION ALL SELECT 'case_variant', field_name, n, 0 FROM used WHERE field_name NOT IN (SELECT original FROM mappings) AND lower(field_name) IN (SELECT lower(original) FROM mappings)
+UNION ALL SELECT 'nameless', 'all', count(*) FILTER (trim(coalesce(field_name, '')) = ''), 0 FROM fields
+UNION ALL SELECT 'doubled', 'all', count(*) - count(DISTINCT original), 0 FROM mappings
+UNION ALL SELECT 'rows', 'all', count(*), 4 FROM mappings
+UNION ALL SELECT 'years', 'NATION_8', count(DISTINCT c.year), 7 FROM fields f JOIN mappings m ON f.field_name = m.original JOIN countries c USING (country_id) JOIN masters e USING (master_id) WHERE e.name = 'NATION_8' AND m.canonical = 'Area'
+UNION ALL SELECT 'type', mapping_type, count(*), NULL FROM mappings GROUP BY 2""")
 def mapping_coverage(a):
-    used = a.fields.select("field_name").distinct().join(a.mappings.select("original"), F.col("field_name") == F.col("original"), "left")
-    return used.agg(F.count("field_name").alias("names"), F.count("original").alias("mapped"))
+    """The checks of the name mapping: what is mapped, what isn't, names that differ in case only, nameless fields, doubled
+    and all rows, the years that one entity's field is found in, and rows by type."""
+    n, all_ = F.count(F.lit(1)), F.lit("all")
+    used = a.fields.groupBy("field_name").agg(n.alias("n"))
+    known = a.mappings.select(F.col("original").alias("field_name"), F.lit(True).alias("known"))
+    told = lambda df, check, key, observed, expected: df.select(F.lit(check).alias("check"), key.alias("key"), observed.alias("observed"), F.lit(expected).cast("long").alias("expected"))
+    mapped = used.join(known, "field_name", "left").agg(F.count("known").alias("o"), n.alias("e"))
+    missing = used.join(known, "field_name", "left_anti")
+    variants = missing.join(a.mappings.select(F.lower("original").alias("low")).distinct(), F.lower("field_name") == F.col("low"), "left_semi")
+    from .relational import star
+
+    years = star(a).where("name = 'NATION_8' AND canonical = 'Area'").agg(F.count_distinct("year").alias("o"))
+    parts = [
+        mapped.select(F.lit("mapped").alias("check"), all_.alias("key"), F.col("o").alias("observed"), F.col("e").alias("expected")),
+        told(missing, "unmapped", F.col("field_name"), F.col("n"), 0),
+        told(variants, "case_variant", F.col("field_name"), F.col("n"), 0),
+        told(a.fields.agg(F.count_if(F.trim(F.coalesce("field_name", F.lit(""))) == "").alias("o")), "nameless", all_, F.col("o"), 0),
+        told(a.mappings.agg((n - F.count_distinct("original")).alias("o")), "doubled", all_, F.col("o"), 0),
+        told(a.mappings.agg(n.alias("o")), "rows", all_, F.col("o"), 4),
+        told(years, "years", F.lit("NATION_8"), F.col("o"), 7),
+        told(a.mappings.groupBy("mapping_type").agg(n.alias("o")), "type", F.col("mapping_type"), F.col("o"), None),
+    ]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.union(x)
+    return out
 
 
 TERMS = r"WITH d AS (SELECT doc_id AS doc, list_filter(string_split_regex(strip_accents(lower(coalesce(text, ''))), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS t FROM documents) "

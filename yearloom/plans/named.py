@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
+from yearloom.operators import keys
+from yearloom.sources.archive import Archive
+
+from . import made
 from .registry import query
 from .relational import STAR, over_archive, star
 
@@ -27,9 +31,9 @@ def bi_entity_span(a):
     return a.masters.join(c, "master_id", "left").groupBy("code", "name", "entity_type", "iso2").agg(F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.count_distinct("year").alias("years"))
 
 
-@over_archive("bi_type_summary", "SELECT entity_type, count(*) AS n, count(iso2) AS with_iso FROM masters GROUP BY 1 ORDER BY n DESC, entity_type")
+@over_archive("bi_type_summary", "SELECT entity_type, count(*) AS n, count(iso2) AS with_iso, string_agg(name, ', ' ORDER BY name) AS names FROM masters GROUP BY 1 ORDER BY n DESC, entity_type")
 def bi_type_summary(a):
-    return a.masters.groupBy("entity_type").agg(F.count(F.lit(1)).alias("n"), F.count("iso2").alias("with_iso")).orderBy(F.desc("n"), "entity_type")
+    return a.masters.groupBy("entity_type").agg(F.count(F.lit(1)).alias("n"), F.count("iso2").alias("with_iso"), F.expr("listagg(name, ', ') WITHIN GROUP (ORDER BY name)").alias("names")).orderBy(F.desc("n"), "entity_type")
 
 
 @over_archive("bi_consolidated", "SELECT c.year, e.name AS country, m.canonical AS sub_field, m.consolidated_to AS parent, f.field_id" + STAR + "WHERE m.consolidated_to = 'Geography' AND e.name = 'NATION_8' AND m.is_noise = 0")
@@ -160,11 +164,36 @@ def resolve(masters: DataFrame, asked: list[str]) -> DataFrame:
     return hits.select("q", "best.master_id", "best.tier")
 
 
-@over_archive("cli_country", ", who AS (SELECT country_id, year FROM countries WHERE code = 'N06' AND year = (SELECT max(year) FROM countries WHERE code = 'N06')) SELECT g.title, f.field_name, f.field_id FROM who JOIN fields f USING (country_id) JOIN categories g USING (category_id)")
+ASKED = ["xb", "N06", "nation_7", "n99", "tion_12", "nowhere"]
+ASKED_SQL = """, asked AS (SELECT unnest(['xb', 'N06', 'nation_7', 'n99', 'tion_12', 'nowhere']) AS q),
+hits AS (SELECT q, e.master_id, CASE WHEN upper(q) = e.iso2 THEN 1 WHEN upper(q) = e.code THEN 2 WHEN contains(lower(e.name), lower(q)) THEN 3 END AS tier FROM asked, masters e),
+best AS (SELECT q, (min({'t': tier, 'm': master_id}) FILTER (tier IS NOT NULL))['m'] AS master_id FROM hits GROUP BY 1),
+found AS (SELECT q, 1 AS step, c.year, c.country_id FROM best JOIN countries c ON c.master_id = best.master_id
+ UNION ALL SELECT q, 2, c.year, c.country_id FROM best JOIN countries c ON best.master_id IS NULL AND c.code IN (lower(q), upper(q))
+ UNION ALL SELECT q, 3, c.year, c.country_id FROM asked JOIN countries c ON contains(lower(c.name), lower(q))),
+who AS (SELECT q, arg_min(country_id, {'s': step, 'y': -year, 'c': country_id}) AS country_id FROM found GROUP BY 1)"""
+
+
+def edition_of(a: Archive, asked: list[str], year: int | None = None) -> DataFrame:
+    """(q, country_id): the edition that a question means.  An entity by ISO code, code or name, in the year asked for or
+    its latest; for what names no entity, an edition by its own code; at last one by its name."""
+    words = a.masters.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, asked))).alias("q"))
+    editions = a.countries if year is None else a.countries.where(F.col("year") == year)
+    editions = editions.select("country_id", "year", "code", "name", "master_id")
+    known = resolve(a.masters, asked).select("q", "master_id")
+    by_entity = known.join(editions, "master_id").select("q", F.lit(1).alias("step"), "year", "country_id")
+    rest = words.join(known, "q", "left_anti")
+    by_code = rest.join(editions, F.col("code").isin(F.lower("q"), F.upper("q"))).select("q", F.lit(2), "year", "country_id")
+    # Questions are few, and their list is what is broadcast.
+    by_name = a.countries.join(F.broadcast(words), F.contains(F.lower("name"), F.lower("q"))).select("q", F.lit(3), "year", "country_id")
+    return by_entity.union(by_code).union(by_name).groupBy("q").agg(F.min_by("country_id", F.struct("step", -F.col("year"), "country_id")).alias("country_id"))
+
+
+@over_archive("cli_country", ASKED_SQL + " SELECT q, g.title, f.field_name, f.field_id FROM who JOIN fields f USING (country_id) JOIN categories g USING (category_id)")
 def cli_country(a):
-    """The latest edition of one entity, field by field."""
-    who = a.countries.where("code = 'N06'").groupBy("code").agg(F.max_by("country_id", "year").alias("country_id"))
-    return who.join(a.fields, "country_id").join(a.categories.select("category_id", "title"), "category_id").select("title", "field_name", "field_id")
+    """The edition that each of several questions means, field by field."""
+    rows = edition_of(a, ASKED).join(a.fields, "country_id").join(a.categories.select("category_id", "title"), "category_id")
+    return rows.select("q", "title", "field_name", "field_id")
 
 
 @over_archive("cli_compare", "SELECT c.year, c.name, f.field_name, f.field_id FROM fields f JOIN countries c USING (country_id) WHERE c.code ILIKE 'n05' AND f.field_name ILIKE '%high%'")
@@ -191,10 +220,20 @@ def browse_years(a):
     return a.countries.groupBy("year").agg(F.count(F.lit(1)).alias("countries"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
 
 
-@over_archive("client_extract", "SELECT field_id, TRY_CAST(replace(regexp_extract(content, 'total: ([0-9,]+)', 1), ',', '') AS DOUBLE) AS total, nullif(regexp_extract(content, 'order ([0-9]+)', 1), '') AS order_no FROM fields WHERE content IS NOT NULL")
-def client_extract(a):
-    total = F.replace(F.regexp_extract("content", r"total: ([\d,]+)", 1), F.lit(","), F.lit("")).try_cast("double")
-    return a.fields.where("content IS NOT NULL").select("field_id", total.alias("total"), F.nullif(F.regexp_extract("content", r"order (\d+)", 1), F.lit("")).alias("order_no"))
+#: What clients take out of a content with one pattern each (fixed values): name -> pattern with one group.
+CLIENT = {
+    "population": r"([\d,]{5,})", "per_capita": r"\$([\d,]+)", "life_expectancy": r"total population:\s*([\d.]+)", "growth": r"(-?[\d.]+)%",
+    "military": r"([\d.]+)%\s*of\s*G[DN]P", "area": r"total\s*:?\s*([\d,]+)\s*sq\s*km", "rate": r"([\d.]+)\s*(?:births|deaths)\s*/\s*1,000",
+}
+CLIENT_TEXT = "total: {b},{t} sq km | ${a},{t} | total population: {x} years | -{x}% | {c}.4% of GDP | {c}.5 births/1,000"
+
+
+@query("client_extract", f"{made.BASE} SELECT k, (b * 1000 + t)::DOUBLE AS population, (a * 1000 + t)::DOUBLE AS per_capita, x AS life_expectancy, -x AS growth, CAST(c || '.4' AS DOUBLE) AS military, (b * 1000 + t)::DOUBLE AS area, CAST(c || '.5' AS DOUBLE) AS rate FROM base")
+def client_extract(spark, sf_dir):
+    """Seven values by one pattern each; a first run of five digits and commas is the population, whatever it counts."""
+    rows = made.texts(spark, sf_dir, CLIENT_TEXT)
+    found = {n: F.replace(F.regexp_extract("text", p, 1), F.lit(","), F.lit("")).try_cast("double").alias(n) for n, p in CLIENT.items()}
+    return rows.select("k", *found.values())
 
 
 @over_archive("provenance", "SELECT sub_field, CASE WHEN is_computed = 1 THEN 'computed' ELSE 'extracted' END AS origin, count(*) AS n FROM vals GROUP BY 1, 2")
@@ -248,10 +287,11 @@ def link_restore(a):
     return a.countries.join(saved, "code", "left").select("country_id", F.coalesce("master_id", "saved").alias("master_id"))
 
 
-@over_archive("surrogate_keys", "SELECT title, row_number() OVER (ORDER BY title) AS title_id FROM (SELECT DISTINCT title FROM categories)")
+@over_archive("surrogate_keys", "SELECT field_id, row_number() OVER (ORDER BY country_id, category_id, field_id) AS row_id FROM fields")
 def surrogate_keys(a):
-    """Gapless keys for a small dimension in its natural order."""
-    return a.categories.select("title").distinct().withColumn("title_id", F.row_number().over(W.orderBy("title")))
+    """Gapless keys for the fact table in its natural order."""
+    order = ["country_id", "category_id", "field_id"]
+    return keys.numbered(a.fields.select(*order), order, "row_id").select("field_id", "row_id")
 
 
 @over_archive("sql_literal", "SELECT master_id, '(' || master_id || ', N''' || replace(replace(name, '_', ''''), '''', '''''') || ''', ' || coalesce('N''' || iso2 || '''', 'NULL') || ')' AS line FROM masters")

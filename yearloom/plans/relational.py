@@ -127,11 +127,17 @@ def self_join_admin(a):
     return out.select(F.col("t.name").alias("territory"), "t.entity_type", F.col("s.name").alias("administered_by"), F.col("s.entity_type").alias("admin_type"))
 
 
-@over_archive("code_collision", "SELECT x.master_id AS a, y.master_id AS b FROM masters x JOIN masters y ON substr(x.code, 3, 1) = substr(y.code, 2, 1) AND x.master_id <> y.master_id")
+@over_archive("code_collision", """, m AS (SELECT master_id, name, chr(65 + master_id % 13) || chr(65 + master_id % 5) AS fips, CASE WHEN iso2 IS NOT NULL THEN chr(65 + master_id % 5) || chr(65 + master_id % 7) END AS iso FROM masters)
+SELECT x.fips AS shared_code, x.name AS fips_name, y.name AS iso_name, (SELECT count(*) FROM m WHERE iso <> fips) AS differing FROM m x JOIN m y ON x.fips = y.iso AND x.master_id <> y.master_id""")
 def code_collision(a):
-    x, y = a.masters.alias("x"), a.masters.alias("y")
-    same = (F.substring("x.code", 3, 1) == F.substring("y.code", 2, 1)) & (F.col("x.master_id") != F.col("y.master_id"))
-    return x.join(y, same).select(F.col("x.master_id").alias("a"), F.col("y.master_id").alias("b"))
+    """Codes of one system that are another entity's in the other system, over codes of two letters made from the keys."""
+    key = F.col("master_id")
+    letters = lambda p, q: F.concat(F.chr(65 + key % p), F.chr(65 + key % q))
+    m = a.masters.select("master_id", "name", letters(13, 5).alias("fips"), F.when(F.col("iso2").isNotNull(), letters(5, 7)).alias("iso"))
+    x, y = m.alias("x"), m.alias("y")
+    hits = x.join(y, (F.col("x.fips") == F.col("y.iso")) & (F.col("x.master_id") != F.col("y.master_id")))
+    rows = hits.select(F.col("x.fips").alias("shared_code"), F.col("x.name").alias("fips_name"), F.col("y.name").alias("iso_name"))
+    return rows.withColumn("differing", m.where("iso <> fips").agg(F.count(F.lit(1))).scalar())
 
 
 @over_archive("anti_unmapped", "SELECT DISTINCT field_name FROM fields f WHERE NOT EXISTS (SELECT 1 FROM mappings m WHERE m.original = f.field_name)")
