@@ -410,6 +410,22 @@ def test_packing_odd(spark, none):
     assert packing.pack_documents(none, tokenizer_path()).count() == 0
 
 
+def test_packing_of_nameless_and_repeated_rows(spark):
+    df = spark.createDataFrame([(None, "some words", 1), (None, "some words", 1), (7, "more " * 3000, 2), (7, "more " * 3000, 2)], "doc_id long, text string, sequence_id int")
+    got = rows(packing.pack_documents(df, tokenizer_path()))
+    nameless = [r for r in got if r["doc_id"] is None]
+    assert len(nameless) == 2 and {r["doc_tokens"] for r in nameless} == {3}
+    assert sum(r["length"] for r in got if r["doc_id"] == 7) == 2 * 3001
+    by_sequence = defaultdict(list)
+    for r in got:
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    for spans in by_sequence.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+
+
 # MinHash near-dedup
 
 
@@ -502,6 +518,15 @@ def test_url_filter(spark, sf_dir):
     assert {r["verdict"] for r in rows(url_filter.judge(df, "url", []))} == {"allow"}
 
 
+def test_url_filter_odd(spark):
+    urls = ["http://a.example.com/en/7" + "x" * 200_000, "http://" + "a." * 50_000 + "net/de/", "http://example.net/de/8", "http://example.net/de/8", None]
+    df = spark.createDataFrame([(i, u, "h", 1, 2.0, True) for i, u in enumerate(urls)], "page_id long, url string, Host string, path int, RULE double, verdict boolean")
+    out = url_filter.judge(df, "url", URL_RULES)
+    assert sorted(c.lower() for c in out.columns) == ["host", "page_id", "path", "rule", "url", "verdict"]
+    got = {r["page_id"]: r for r in rows(out)}
+    assert len(got) == 5 and all((got[i]["host"], got[i]["path"], got[i]["rule"], got[i]["verdict"]) == judged(u) for i, u in enumerate(urls))
+
+
 # PII
 
 

@@ -31,7 +31,7 @@ from .components import components
 
 SHINGLE, PERCENT = 5, 75
 TREES, DEPTH, MIN_DEPTH, REACH, CLOSE, NEAREST = 16, 8, 3, 2, 0.6, 3
-WORDS_KEPT = 500_000
+WORDS_KEPT = 50_000
 #: Nodes of a block, and counters of shingles by which rare ones are told from common ones (any order of them is exact).
 BLOCK, COUNTERS = 256, 1 << 20
 #: Pairs that a task gathers before it passes them on.
@@ -291,8 +291,9 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """(doc_id, n_shingles, component_id, kept) for each row of docs.
 
     A text of fewer words than a shingle has one shingle, the whole sequence; one without words (or null) has none and is
-    linked with nothing.  Rows that share a doc_id may be linked through either's text.  A row with a null doc_id keeps a
-    null component and is kept.
+    linked with nothing.  Rows that share a doc_id, repeated ones among them, may be linked through either's text.  A row
+    with a null doc_id keeps a null component and is kept.  A text may be of any length, an empty table gives an empty one.
+    Other columns of docs are left out.
     """
     rows = checkpoint(_signed(docs, doc_id, text))
     usable = rows.where("doc_id IS NOT NULL AND same IS NOT NULL")

@@ -146,8 +146,9 @@ def pack(sizes: list[int], capacity: int = SEQUENCE) -> list[tuple[int, int, int
 def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece of every document: where its ids lie in which sequence.
 
-    A document is its ids and the id 1; a null or empty text is that id alone.  Equal rows are packed as often as they
-    come.  Each id lies in exactly one piece; pieces of a sequence follow one another from offset 0.
+    A document is its ids and the id 1; a null or empty text is that id alone, and a null doc_id stays null.  Equal rows are
+    packed as often as they come; a text may be of any length, an empty table has no pieces.  Each id lies in exactly one
+    piece; pieces of a sequence follow one another from offset 0.  Other columns of docs are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,6 +30,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of recurring templates."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_dropped", "text")
 
@@ -40,6 +41,7 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every whole text, by a model of the labels that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
     predicted = (F.col("toxic_score") >= 0.5).cast("int")
@@ -47,12 +49,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test item that occurs in a document, with its distance and place."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.find(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot under law rows."""
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
     keys = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
@@ -61,23 +65,28 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likenesses."""
     return fingerprints.with_edited(table(spark, sf_dir, "documents"))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 2048 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component under links of three quarters."""
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, "url", URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's spans of personal data: those of the patterns and those that the tagger adds."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.learn(docs))
 
@@ -94,6 +103,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows of 35 words that start anywhere else."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
     return substring_dedup.dedup(docs).select("doc_id", "n_words", "n_removed", kept)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import appended, checkpoint, named_back, numbered, place
 
 WINDOW, GRAM, HOT = 35, 18, 1000
-WORDS_KEPT = 500_000
+WORDS_KEPT = 50_000
 _U = np.uint64
 _RANDOM = np.random.default_rng(20240502)
 _PLACES = (_RANDOM.integers(0, 1 << 63, WINDOW, dtype=_U) << _U(1)) | _U(1)
