@@ -40,4 +40,15 @@ def test_merged_and_checks(spark):
     entries = spark.createDataFrame(rows, "place struct<country_id: long>, headwords array<string>, body string")
     got = {r["headwords"][0]: (r["headwords"], r["body"]) for r in D.merged(entries).collect()}
     assert got["A"] == (["A", "b", "c"], "one\ntwo") and len(got) == 2
-    assert dict(map(tuple, D.checks(entries).collect())) == {"entries": 3, "short": 2, "no_category": 2, "spoilt": 1, "doubled": 1}
+    want = {"entries": 3, "short": 2, "no_category": 2, "no_name": 3, "unbalanced": 0, "spoilt": 1, "no_headword": 0, "characters": 52, "doubled": 1}
+    assert dict(map(tuple, D.checks(entries).collect())) == want
+    apart = dict(map(tuple, D.checks(entries, book=entries["place.country_id"]).collect()))
+    assert apart == {**want, "doubled": 0}
+    assert dict(map(tuple, D.checks(entries.limit(0)).collect())) == {k: 0 for k in want}
+
+
+def test_all_editions(spark):
+    countries, categories, fields, masters = tables(spark)
+    more = spark.createDataFrame([(30, 3, "Geo")], categories.schema), spark.createDataFrame([(300, 30, 3, "Area", "4")], fields.schema)
+    got = D.general(countries, categories.union(more[0]), fields.union(more[1]), masters).groupBy("place.country_id").count().collect()
+    assert {r["country_id"]: r["count"] for r in got} == {1: 2, 2: 1, 3: 1}

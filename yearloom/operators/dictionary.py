@@ -1,4 +1,4 @@
-"""Dictionary entries of an edition: (place, headwords, body), one entry for each field of each country.
+"""Dictionary entries of editions: (place, headwords, body), one entry for each field of each country of an edition.
 
 place orders entries as the edition does; headwords are those of the country joined to the field's name, and a country's
 first entry also has its bare names, ahead of the others.
@@ -16,8 +16,10 @@ from .entities import headwords
 LONGEST = 500
 
 
-def _edition(countries: DataFrame, masters: DataFrame, year: int) -> DataFrame:
-    return headwords(countries.where(F.col("year") == year).select("country_id", "name", "master_id"), masters)
+def _edition(countries: DataFrame, masters: DataFrame, year: int | None) -> DataFrame:
+    """One edition, or all."""
+    asked = countries if year is None else countries.where(F.col("year") == year)
+    return headwords(asked.select("country_id", "name", "master_id"), masters)
 
 
 def _entries(grouped: DataFrame, body: Column) -> DataFrame:
@@ -32,7 +34,7 @@ def _head(category: Column) -> list[Column]:
     return [F.concat(F.lit("<i>"), X.escaped(F.col("name")), F.lit("</i><br>")), F.concat(F.lit("<small>"), X.escaped(category), F.lit("</small><br><br>"))]
 
 
-def general(countries: DataFrame, categories: DataFrame, fields: DataFrame, masters: DataFrame, year: int) -> DataFrame:
+def general(countries: DataFrame, categories: DataFrame, fields: DataFrame, masters: DataFrame, year: int | None = None) -> DataFrame:
     """Entries with whole contents.  A field that a country has twice is one entry under its first category; blank contents
     have none."""
     edition = _edition(countries, masters, year)
@@ -45,7 +47,7 @@ def general(countries: DataFrame, categories: DataFrame, fields: DataFrame, mast
     return _entries(grouped, F.concat_ws("\n", *_head(F.col("title")), X.escaped(F.col("content"))))
 
 
-def structured(countries: DataFrame, categories: DataFrame, fields: DataFrame, values: DataFrame, masters: DataFrame, year: int) -> DataFrame:
+def structured(countries: DataFrame, categories: DataFrame, fields: DataFrame, values: DataFrame, masters: DataFrame, year: int | None = None) -> DataFrame:
     """Entries with a line for each sub-value that says anything, under the field's last category.
 
     values(field_id, sub_field, numeric_val, units) may have text_val, of which LONGEST characters are shown.  Sub-values
@@ -79,16 +81,19 @@ def merged(entries: DataFrame) -> DataFrame:
     )
 
 
-def checks(entries: DataFrame, shortest: int = 30) -> DataFrame:
-    """(check, observed): entries, doubled primary headwords, short bodies, bodies without a category, spoilt characters."""
+def checks(entries: DataFrame, shortest: int = 30, book: Column | None = None) -> DataFrame:
+    """(check, observed): entries, primary headwords that a book has more than once, short bodies, bodies without a name or
+    category, with tags left open, spoilt characters, entries without headwords, and characters in all."""
     body = F.col("body")
-    primary = entries.groupBy(F.get("headwords", F.lit(0)).alias("primary")).agg(F.count(F.lit(1)).alias("n"))
-    doubled = primary.agg(F.sum(F.when(F.col("n") > 1, F.col("n") - 1).otherwise(0)).alias("observed")).select(F.lit("doubled").alias("check"), F.coalesce("observed", F.lit(0)).alias("observed"))
-    count = lambda c: F.count_if(c)
-    told = entries.agg(
-        F.count(F.lit(1)).alias("entries"),
-        count(F.octet_length(body) < shortest).alias("short"),
-        count(~body.contains("<small>")).alias("no_category"),
-        count(body.contains("�")).alias("spoilt"),
-    )
-    return told.unpivot([], ["entries", "short", "no_category", "spoilt"], "check", "observed").union(doubled)
+    primary = entries.groupBy((F.lit(0) if book is None else book).alias("book"), F.get("headwords", F.lit(0)).alias("primary")).agg(F.count(F.lit(1)).alias("n"))
+    doubled = primary.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("observed")).select(F.lit("doubled").alias("check"), "observed")
+    times = lambda x: F.length(body) - F.length(F.replace(body, F.lit(x), F.lit("")))
+    unbalanced = F.lit(False)
+    for tag in ("i", "b", "small"):
+        unbalanced |= times(f"<{tag}>") / (len(tag) + 2) != times(f"</{tag}>") / (len(tag) + 3)
+    told = {
+        "entries": F.count(F.lit(1)), "short": F.count_if(F.octet_length(body) < shortest), "no_category": F.count_if(~body.contains("<small>")), "no_name": F.count_if(~body.contains("<i>")),
+        "unbalanced": F.count_if(unbalanced), "spoilt": F.count_if(body.contains("\ufffd")), "no_headword": F.count_if(F.size("headwords") < 1), "characters": F.coalesce(F.sum(F.length(body).cast("long")), F.lit(0)),
+    }
+    one = entries.agg(*(c.alias(n) for n, c in told.items()))
+    return one.unpivot([], list(told), "check", "observed").union(doubled)

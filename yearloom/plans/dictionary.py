@@ -12,27 +12,29 @@ from .registry import query
 from .relational import over_archive
 
 EDITION = """, named AS (SELECT c.country_id, c.name, list_filter([c.name, e.iso2, e.code], lambda x: x IS NOT NULL) AS codes
- FROM countries c JOIN masters e USING (master_id) WHERE c.year = 1997)"""
+ FROM countries c JOIN masters e USING (master_id))"""
 GENERAL = EDITION + """, g AS (SELECT country_id, field_name, any_value(name) AS name, any_value(codes) AS codes, arg_min(title, category_id) AS title,
  string_agg(content, chr(10) ORDER BY category_id, field_id) AS content, min({'c': category_id, 'f': field_id}) AS place
  FROM fields JOIN named USING (country_id) JOIN categories USING (category_id, country_id) WHERE trim(content) <> '' GROUP BY 1, 2),
 entries AS (SELECT name || ' - ' || field_name AS entry, CASE WHEN row_number() OVER (PARTITION BY country_id ORDER BY place) = 1 THEN array_to_string(codes, ';') || ';' ELSE '' END
  || array_to_string(list_transform(codes, lambda x: x || ' - ' || field_name), ';') AS headwords,
- '<i>' || name || '</i><br>' || chr(10) || '<small>' || title || '</small><br><br>' || chr(10) || content AS body FROM g)
+ '<i>' || name || '</i><br>' || chr(10) || '<small>' || title || '</small><br><br>' || chr(10) || content AS body, country_id, place FROM g)
 """
 
 
 def shown(entries):
-    """Entries by the headword that joins name and field, the headwords as one text."""
+    """Entries by edition and the headword that joins name and field, the headwords as one text."""
     words = F.col("headwords")
-    return entries.select(F.get(F.filter(words, lambda w: w.contains(" - ")), F.lit(0)).alias("entry"), F.array_join(words, ";").alias("headwords"), "body")
+    return entries.select("place.country_id", F.get(F.filter(words, lambda w: w.contains(" - ")), F.lit(0)).alias("entry"), F.array_join(words, ";").alias("headwords"), "body")
 
 
-def general(a):
-    return D.general(a.countries, a.categories, a.fields, a.masters, 1997)
+def general(a, *years):
+    """Entries of all editions, or of those named."""
+    countries = a.countries.where(F.col("year").isin(*years)) if years else a.countries
+    return D.general(countries, a.categories, a.fields, a.masters)
 
 
-@over_archive("dict_general", GENERAL + "SELECT entry, headwords, body FROM entries")
+@over_archive("dict_general", GENERAL + "SELECT country_id, entry, headwords, body FROM entries")
 def dict_general(a):
     return shown(general(a))
 
@@ -40,25 +42,25 @@ def dict_general(a):
 @over_archive("dict_structured", EDITION + """, v AS (SELECT field_id, string_agg('<b>' || sub_field || '</b>: ' || format('{:,}', numeric_val::BIGINT) || ' ' || units || '<br>', chr(10) ORDER BY sub_field) AS lines FROM vals GROUP BY 1),
 g AS (SELECT country_id, field_name, any_value(name) AS name, arg_max(title, category_id) AS title, string_agg(lines, chr(10) ORDER BY category_id, field_id) AS lines
  FROM fields JOIN named USING (country_id) JOIN categories USING (category_id, country_id) JOIN v USING (field_id) GROUP BY 1, 2)
-SELECT name || ' - ' || field_name AS entry, '<i>' || name || '</i><br>' || chr(10) || '<small>' || title || '</small><br><br>' || chr(10) || lines AS body FROM g""")
+SELECT name || ' - ' || field_name AS entry, '<i>' || name || '</i><br>' || chr(10) || '<small>' || title || '</small><br><br>' || chr(10) || lines AS body, country_id FROM g""")
 def dict_structured(a):
-    return shown(D.structured(a.countries, a.categories, a.fields, a.values, a.masters, 1997)).drop("headwords")
+    return shown(D.structured(a.countries, a.categories, a.fields, a.values, a.masters)).drop("headwords")
 
 
-@over_archive("dict_dedup", GENERAL.replace("c.year = 1997", "c.year IN (1996, 1997)").replace("content AS body FROM g", "content AS body, country_id, place FROM g")
- + """, u AS (SELECT split_part(headwords, ';', 1) AS main, unnest(string_split(headwords, ';')) AS word FROM entries), w AS (SELECT main, count(DISTINCT word) AS words FROM u GROUP BY 1)
+@over_archive("dict_dedup", GENERAL + """, u AS (SELECT split_part(headwords, ';', 1) AS main, unnest(string_split(headwords, ';')) AS word FROM entries), w AS (SELECT main, count(DISTINCT word) AS words FROM u GROUP BY 1)
 SELECT main, words, string_agg(body, chr(10) ORDER BY country_id, place) AS body FROM entries JOIN w ON main = split_part(headwords, ';', 1) GROUP BY 1, 2""")
 def dict_dedup(a):
-    """Two editions in one dictionary: what has the same primary headword becomes one entry."""
-    both = general(a).union(D.general(a.countries, a.categories, a.fields, a.masters, 1996))
-    return D.merged(both).select(F.get("headwords", F.lit(0)).alias("main"), F.size("headwords").cast("long").alias("words"), "body")
+    """All editions in one dictionary: what has the same primary headword becomes one entry."""
+    return D.merged(general(a)).select(F.get("headwords", F.lit(0)).alias("main"), F.size("headwords").cast("long").alias("words"), "body")
 
 
-@over_archive("dict_checks", GENERAL + """SELECT 'entries' AS "check", count(*) AS observed FROM entries UNION ALL SELECT 'short', count(*) FILTER (strlen(body) < 30) FROM entries
-UNION ALL SELECT 'no_category', count(*) FILTER (NOT contains(body, '<small>')) FROM entries UNION ALL SELECT 'spoilt', count(*) FILTER (contains(body, chr(65533))) FROM entries
-UNION ALL SELECT 'doubled', count(*) - count(DISTINCT split_part(headwords, ';', 1)) FROM entries""")
+@over_archive("dict_checks", GENERAL + """SELECT unnest(['entries', 'short', 'no_category', 'no_name', 'unbalanced', 'spoilt', 'no_headword', 'characters', 'doubled']) AS "check",
+ unnest([count(*), count(*) FILTER (strlen(body) < 30), count(*) FILTER (NOT contains(body, '<small>')), count(*) FILTER (NOT contains(body, '<i>')),
+  count(*) FILTER (len(regexp_extract_all(body, '<(i|b|small)>')) <> len(regexp_extract_all(body, '</(i|b|small)>'))), count(*) FILTER (contains(body, chr(65533))), count(*) FILTER (headwords = ''),
+  sum(length(body))::BIGINT, count(*) - count(DISTINCT (country_id % 10000) || split_part(headwords, ';', 1))]) AS observed FROM entries""")
 def dict_checks(a):
-    return D.checks(general(a))
+    """The checks of the dictionaries of all editions; a book is an edition, whose year ends the key of its countries."""
+    return D.checks(general(a), book=F.col("place.country_id") % 10000)
 
 
 @query("format_numeric", "SELECT o_orderkey, CASE WHEN o_totalprice = floor(o_totalprice) THEN format('{:,}', o_totalprice::BIGINT) ELSE regexp_replace(format('{:,.4f}', o_totalprice), '\\.?0+$', '') END || ' sq km' AS shown FROM orders")
