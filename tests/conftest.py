@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         "spark.ui.showConsoleProgress": "false",
         "spark.local.dir": str(folder),
         "spark.checkpoint.dir": str(folder / "shared"),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.warehouse.dir": str(folder / "warehouse"),
     }
     session = SparkSession.builder.config(map=conf).getOrCreate()

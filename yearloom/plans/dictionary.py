@@ -9,7 +9,7 @@ from yearloom.operators import dictionary as D, layouts
 
 from .extraction import DECODED, PIPED
 from .registry import query
-from .relational import over_archive
+from .relational import over_archive, star
 
 EDITION = """, named AS (SELECT c.country_id, c.name, list_filter([c.name, e.iso2, e.code], lambda x: x IS NOT NULL) AS codes
  FROM countries c JOIN masters e USING (master_id))"""
@@ -118,6 +118,33 @@ def spot_checks(a):
     return got.select("field_id", "sub_field", F.col("numeric_val").alias("observed"), ok.alias("ok"))
 
 
+@over_archive("dq_samples", """, a AS (SELECT c.year, arg_min(f.content, f.field_id) AS content FROM fields f JOIN mappings m ON f.field_name = m.original JOIN countries c USING (country_id) JOIN masters e USING (master_id)
+ WHERE m.canonical = 'Area' AND e.code = 'N08' AND trim(f.content) <> '' GROUP BY 1), n AS (SELECT year, TRY_CAST(replace(regexp_extract(content, '([0-9][0-9,]*)', 1), ',', '') AS DOUBLE) AS observed FROM a)
+SELECT year, observed, coalesce(abs(observed - 200000) <= 190000, false) AS ok FROM n""")
+def dq_samples(a):
+    """One entity's first content of a field in each edition, its first number held against a range."""
+    rows = star(a).where("canonical = 'Area' AND code = 'N08' AND trim(content) <> ''").groupBy("year").agg(F.min_by("content", "field_id").alias("content"))
+    observed = F.replace(F.regexp_extract("content", "([0-9][0-9,]*)", 1), F.lit(","), F.lit("")).try_cast("double")
+    return rows.select("year", observed.alias("observed")).withColumn("ok", F.coalesce(F.abs(F.col("observed") - 200000) <= 190000, F.lit(False)))
+
+
+NEEDLES = [(1, "total: "), (2, "sq km"), (3, "nothing of the sort"), (-1, "x")]
+
+
+@over_archive("substring_checks", ", t(field_id, needle) AS (VALUES (1, 'total: '), (2, 'sq km'), (3, 'nothing of the sort'), (-1, 'x')) SELECT t.field_id, needle, coalesce(contains(content, needle), false) AS ok FROM t LEFT JOIN fields f ON f.field_id = t.field_id")
+def substring_checks(a):
+    """Whether single contents hold what a repair should have put there; a missing field fails."""
+    asked = a.fields.sparkSession.createDataFrame(NEEDLES, "field_id long, needle string")
+    return asked.join(a.fields.select("field_id", "content"), "field_id", "left").select("field_id", "needle", F.coalesce(F.contains("content", F.col("needle")), F.lit(False)).alias("ok"))
+
+
+@over_archive("set_entity_type", ", t(code, kind) AS (VALUES ('N03', 'special'), ('N08', 'antarctic'), ('N99', 'none')) SELECT master_id, coalesce(kind, entity_type) AS entity_type FROM masters LEFT JOIN t USING (code)")
+def set_entity_type(a):
+    """Kinds of entities set by code; a code that nobody has changes nothing."""
+    told = a.masters.sparkSession.createDataFrame([("N03", "special"), ("N08", "antarctic"), ("N99", "none")], "code string, kind string")
+    return a.masters.join(told, "code", "left").select("master_id", F.coalesce("kind", "entity_type").alias("entity_type"))
+
+
 SKIPPED = ["template", "print", "summary", "notes", "appendix", "index", "wfb"]
 
 

@@ -19,7 +19,8 @@ BY_YEAR = ("fields", "values")
 
 
 def write_archive(archive: Archive, folder: str) -> None:
-    """The tables as Archive.from_parquet reads them; fields and values by year, so that a filter on it prunes files."""
+    """The tables as Archive.from_parquet reads them; fields and values by year, so that a filter on it prunes files.
+    Entities also say when they were written."""
     years = archive.countries.select("country_id", "year")
     keys = archive.fields.select("field_id", "country_id").join(years, "country_id").select("field_id", "year")
     for name in Archive.TABLES:
@@ -28,6 +29,8 @@ def write_archive(archive: Archive, folder: str) -> None:
             table = table.join(years, "country_id")
         elif name == "values":
             table = table.join(keys, "field_id")
+        elif name == "masters":
+            table = table.withColumn("created", F.current_timestamp())
         if name in BY_YEAR:
             table.repartition("year").write.mode("overwrite").partitionBy("year").parquet(f"{folder}/{name}")
         else:
