@@ -49,7 +49,9 @@ def strip_html(spark, sf_dir):
 p AS (SELECT page_id, t, regexp_split_to_array(t, '--|::| - ') AS parts FROM t),
 n AS (SELECT page_id, CASE WHEN len(parts) > 1 THEN list_filter(list_transform(list_reverse(parts), lambda x: trim(regexp_replace(regexp_replace(x, 'The World Factbook.*|Central Intelligence Agency', '', 'g'), '^\s*CIA\s*$|^[\s-]+|[\s-]+$', '', 'g'))), lambda x: length(x) > 1)[1] END AS part,
  nullif(trim(regexp_replace(regexp_replace(t, 'CIA|Central Intelligence Agency|The World Factbook|\d{4}|-|::', ' ', 'g'), '\s+', ' ', 'g')), '') AS rest FROM p)
-SELECT page_id, coalesce(part, rest, 'Unknown') AS name FROM n""")
+SELECT page_id, CASE WHEN name = upper(name) AND regexp_matches(name, '\p{L}')
+ THEN array_to_string(list_transform(regexp_extract_all(name, '\p{L}+|[^\p{L}]+'), lambda x: upper(left(x, 1)) || lower(substr(x, 2))), '') ELSE name END AS name
+FROM (SELECT page_id, coalesce(part, rest, 'Unknown') AS name FROM n)""")
 def page_title(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", layouts.page_name(F.col("html")).alias("name"))
 
@@ -134,10 +136,10 @@ def noise_flags(a):
 
 
 @over_archive("headwords", """, own AS (SELECT iso2 AS o, name AS owner FROM masters WHERE iso2 IS NOT NULL)
-SELECT c.country_id, c.name, c.master_id, list_filter([c.name, CASE WHEN own.owner = c.name THEN e.iso2 END, CASE WHEN e.code IS DISTINCT FROM e.iso2 AND e.code NOT IN (SELECT o FROM own) THEN e.code END], lambda x: x IS NOT NULL) AS codes
+SELECT c.country_id, c.name, c.master_id, array_to_string(list_filter([c.name, CASE WHEN own.owner = c.name THEN e.iso2 END, CASE WHEN e.code IS DISTINCT FROM e.iso2 AND e.code NOT IN (SELECT o FROM own) THEN e.code END], lambda x: x IS NOT NULL), ';') AS codes
 FROM countries c JOIN masters e USING (master_id) LEFT JOIN own ON own.o = e.iso2""")
 def headwords(a):
-    return entities.headwords(a.countries.select("country_id", "name", "master_id"), a.masters)
+    return entities.headwords(a.countries.select("country_id", "name", "master_id"), a.masters).withColumn("codes", F.array_join("codes", ";"))
 
 
 @query("dup_keys", "SELECT (1990 + c_custkey % 36)::INTEGER AS year, n_name AS name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2 HAVING count(*) > 1")
