@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from yearloom.functions import text as X
 from yearloom.operators import entities, layouts as L, names, pages as P
@@ -10,7 +10,6 @@ from yearloom.operators import entities, layouts as L, names, pages as P
 from . import made
 from .registry import query
 
-TITLE = '<title>CIA -- The World Factbook {y} -- Land {a}</title>'
 #: name -> (layout, document, [(country, category, field, content)]) of plain text.
 TEXTS: dict[str, tuple[str, str, list[tuple[str, str, str, str]]]] = {
     "text_old": ("old", "\nCountry:  Land {a}\n- Geography\nTotal area: {b},{t} km2\n  of land\n- People\nPopulation: {c}", [
@@ -106,18 +105,23 @@ def mixed_fields(spark, sf_dir):
 NAMES = {0: "Senate of {a}", 1: "House of {b} or so", 2: "Exports", 3: "Council {c}"}
 
 
-def _by_four(templates: dict[int, str]) -> tuple:
-    """A column and SQL that take one of four templates by key."""
+def _one_of_four(templates: dict[int, str]) -> Column:
+    """One of four templates by key."""
     col = F.when(F.lit(False), F.lit(""))
     for i, t in templates.items():
         col = col.when(F.col("k") % 4 == i, made.column(t))
-    return col, "CASE k % 4 " + " ".join(f"WHEN {i} THEN {made.sql(t)}" for i, t in templates.items()) + " END"
+    return col
 
 
-@query("gov_body", f"{made.BASE} SELECT k, {_by_four(NAMES)[1]} AS name, (k % 4 <> 2 AND 1995 + k % 13 <= 2001 AND k % 180 <= 100) AS body FROM base")
+def _sql_of_four(templates: dict[int, str]) -> str:
+    """The SQL of `_one_of_four`; columns need a session, which there is none of when this module is imported."""
+    return "CASE k % 4 " + " ".join(f"WHEN {i} THEN {made.sql(t)}" for i, t in templates.items()) + " END"
+
+
+@query("gov_body", f"{made.BASE} SELECT k, {_sql_of_four(NAMES)} AS name, (k % 4 <> 2 AND 1995 + k % 13 <= 2001 AND k % 180 <= 100) AS body FROM base")
 def gov_body(spark, sf_dir):
     """Legislative bodies among the field names of old editions."""
-    rows = made.texts(spark, sf_dir, "").select("k", _by_four(NAMES)[0].alias("name"))
+    rows = made.texts(spark, sf_dir, "").select("k", _one_of_four(NAMES).alias("name"))
     return rows.select("k", "name", names.is_body(F.col("name"), F.col("k") % 180, 1995 + F.col("k") % 13).alias("body"))
 
 
@@ -128,17 +132,17 @@ STATES = {0: "republic", 1: "", 2: "kingdom {c}", 3: " "}
 @query("classify_entity", f"{made.BASE} SELECT k, CASE WHEN k % 11 = 0 THEN 'disputed' WHEN k % 4 = 0 THEN 'territory' WHEN k % 4 = 1 THEN 'freely_associated' WHEN k % 4 = 2 THEN 'sovereign' ELSE 'unknown' END AS kind FROM base")
 def classify_entity(spark, sf_dir):
     """Overrides before dependency status before government."""
-    rows = made.texts(spark, sf_dir, "").select("k", _by_four(STATUS)[0].alias("dep"), _by_four(STATES)[0].alias("gov"), F.when(F.col("k") % 11 == 0, "disputed").alias("o"))
+    rows = made.texts(spark, sf_dir, "").select("k", _one_of_four(STATUS).alias("dep"), _one_of_four(STATES).alias("gov"), F.when(F.col("k") % 11 == 0, "disputed").alias("o"))
     return rows.select("k", entities.classified(F.col("dep"), F.col("gov"), F.col("o")).alias("kind"))
 
 
 CALLED = {0: "The Land of {a}", 1: "Land", 2: "Republic of Landia", 3: "Elsewhere {b}"}
 
 
-@query("name_mismatch", f"{made.BASE} SELECT k, {_by_four(CALLED)[1]} AS name FROM base WHERE k % 4 = 3 OR k % 4 = 2 AND k % 3 = 0")
+@query("name_mismatch", f"{made.BASE} SELECT k, {_sql_of_four(CALLED)} AS name FROM base WHERE k % 4 = 3 OR k % 4 = 2 AND k % 3 = 0")
 def name_mismatch(spark, sf_dir):
     """Names that don't fit the entity they are linked to: neither equal nor inside one another, with other first words."""
-    rows = made.texts(spark, sf_dir, "").select("k", _by_four(CALLED)[0].alias("name"), F.when(F.col("k") % 3 == 0, "Land of Isles").otherwise("Landia").alias("known"))
+    rows = made.texts(spark, sf_dir, "").select("k", _one_of_four(CALLED).alias("name"), F.when(F.col("k") % 3 == 0, "Land of Isles").otherwise("Landia").alias("known"))
     rows = rows.withColumn("known", F.when(F.col("k") % 4 == 1, "Landia").when(F.col("k") % 4 == 0, "land").otherwise(F.col("known")))
     return rows.where(~entities.name_fits(F.col("name"), F.col("known"))).select("k", "name")
 
@@ -146,7 +150,7 @@ def name_mismatch(spark, sf_dir):
 @query("make_code", f"{made.BASE} SELECT k, CASE k % 4 WHEN 0 THEN 'se' WHEN 1 THEN 'ho' WHEN 2 THEN 'ex' ELSE 'co' END AS code FROM base")
 def make_code(spark, sf_dir):
     """Two letters of a name."""
-    return made.texts(spark, sf_dir, "").select("k", X.short_code(_by_four(NAMES)[0]).alias("code"))
+    return made.texts(spark, sf_dir, "").select("k", X.short_code(_one_of_four(NAMES)).alias("code"))
 
 
 CDX = '[["urlkey","timestamp","original","mimetype","statuscode","digest","length"],["x","{y}0101","u","t","404","d","{a}0000000"],["x","{y}0202","u","t","200","d","{a}"],["x","{y}0303","u","t","200","d","{a}0000"],["x","{y}0404","u","t","200","d","{a}00000"]]'
