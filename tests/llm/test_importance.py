@@ -69,24 +69,21 @@ def test_small_parts_walks_and_tries(spark, sf_dir, monkeypatch):
             data = x.encode()
             assert [w for p in importance.words_of(data, part) for w in p] == [w.encode() for w in features(x)[0]]
     for most in (1, 3, 1000):
-        trie, sums = importance.Trie(97), Counter()
-        found = importance.walks(((i, x.encode()) for i, x in enumerate(texts)), most)
-        for words, docs, last in found:
-            own, pairs, at = trie.walk(words, docs, last)
-            trie.count(own)
-            if len(pairs):
-                trie.count(pairs)
+        trie, counted = importance.Trie(), 0
+        for words, docs, last in importance.walks(((i, x.encode()) for i, x in enumerate(texts)), most):
+            own, children, where, _ = trie.walk(words, docs, last)
+            counted = counted + trie.counts(own, children, where, 97)
         sums = Counter(bucket(f, 97) for x in texts for f in features(x)[1])
-        assert trie.totals().tolist() == [sums[b] for b in range(97)]
+        assert counted.tolist() == [sums[b] for b in range(97)]
 
 
 def test_tries_that_start_anew(spark):
     texts = [(i, " ".join(f"w{(i * k) % 61}" for k in range(40))) for i in range(60)]
     df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
     whole = {r["bucket"]: r["n"] for r in importance.bucket_totals(df, "text", 101).collect()}
-    assert {r["bucket"]: r["n"] for r in importance.bucket_totals(df, "text", 101, nodes=10).collect()} == whole
+    assert {r["bucket"]: r["n"] for r in importance.bucket_totals(df, "text", 101, most=10).collect()} == whole
     gain = importance.gains(importance.bucket_totals(df, "text", 101), importance.bucket_totals(df.limit(3), "text", 101), 101)
-    small, large = (sorted(map(tuple, importance.weighed(df, "text", gain, nodes).collect())) for nodes in (10, 1 << 19))
+    small, large = (sorted(map(tuple, importance.weighed(df, "text", gain, most).collect())) for most in (10, 1 << 19))
     assert small == large
 
 

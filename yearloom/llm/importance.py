@@ -1,11 +1,11 @@
 """Importance resampling towards a target distribution by hashed word features.
 
 A task keeps a trie of the words it meets: a node of depth one is a word, its children are the words that follow it.  A
-node holds how often it was walked and the CRC of its words so far, from which that of a child follows without spelling
-the parent again.  When a trie has NODES nodes, or its partition ends, its counts go to the totals of their buckets and
-the trie starts anew; partitions' totals are merged by Spark.  What reaches the driver is a count for each bucket.  The
-second pass walks the same paths with a gain attached to each node, and a document's weight is the floored mean of the
-gains along its paths.
+node holds how often it was walked and the CRC of its words so far; that of a child follows from its parent's, since
+appending n bytes is a linear map of the state that depends on n alone.  Children are laid out as arrays sorted by path
+and given up after a walk of some WALK words, words when there are WORDS of them; counts go to the totals of their
+buckets, and partitions' totals are merged by Spark.  What reaches the driver is a count for each bucket.  The second pass
+walks the same paths with a gain attached to each node, and a document's weight is the floored mean along its paths.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import fresh, ranked
+from .common import checkpoint, fresh, ranked
 
 BUCKETS, LEAST_WORDS, PERCENT, SEED = 10_000, 20, 25, 7
-#: Nodes of a trie, words of one walk, and bytes of a text that are parted at a time.
-NODES, WALK, PART = 1 << 19, 1 << 16, 1 << 18
+#: Words that a trie keeps, words of one walk, and bytes of a text that are parted at a time.
+WORDS, WALK, PART = 1 << 19, 1 << 17, 1 << 18
 #: Bytes of words: digits, a-z (A-Z are lower-cased) and all beyond ASCII; others part words.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -45,35 +45,47 @@ def words_of(text: bytes, part: int = PART) -> Iterator[list[bytes]]:
         at = end
 
 
+def _appending() -> np.ndarray:
+    """For k = 0, 1, ... what appending 2**k bytes of zero makes of each byte of a state."""
+    states = np.arange(256, dtype=np.int64)[None] << 8 * np.arange(4)[:, None]
+    table = np.array([[zlib.crc32(b"\0", x) ^ zlib.crc32(b"\0", 0) for x in row] for row in states.tolist()])
+    tables = [table]
+    for _ in range(31):
+        tables.append(_mapped(tables[-1], tables[-1]))
+    return np.array(tables)
+
+
+def _mapped(table: np.ndarray, states: np.ndarray) -> np.ndarray:
+    return table[0][states & 255] ^ table[1][states >> 8 & 255] ^ table[2][states >> 16 & 255] ^ table[3][states >> 24]
+
+
 class Trie:
-    """Words and pairs of words; nodes are numbered from 0 as they are made."""
+    """Words, numbered as they come, and the pairs of a walk."""
 
-    def __init__(self, buckets: int):
+    def __init__(self):
         trie = self
 
         class Roots(dict):
             def __missing__(self, word: bytes) -> int:
-                self[word] = node = trie.made(zlib.crc32(word), word)
-                return node
-
-        class Children(dict):
-            def __missing__(self, path: int) -> int:
-                self[path] = node = trie.made(zlib.crc32(b" " + trie.words[path & 0xFFFFFFFF], trie.states[path >> 32]), b"")
-                return node
-
-        self.buckets, self.roots, self.children = buckets, Roots(), Children()
-        self.states: list[int] = []
-        self.words: list[bytes] = []
-        self.counts = np.zeros(1024, np.int64)
-
-    def made(self, state: int, word: bytes) -> int:
-        self.states.append(state)
-        self.words.append(word)
-        return len(self.states) - 1
-
-    def walk(self, words: list[bytes], docs: np.ndarray, last: tuple[bytes, int] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Nodes of the words, nodes of the pairs, and the places of the pairs' second words; docs has each word's document,
-        last the word before these and its document."""
+                self[word] = number = len(self)
+                trie.new.append((zlib.crc32(word), zlib.crc32(b" " + word), len(word) + 1))
+                return number
+
+        self.roots, self.appending = Roots(), _appending()
+        self.new: list[tuple[int, int, int]] = []
+        #: Of each word the CRC, that of a blank and the word, and the bytes of these.
+        self.state, self.spaced, self.size = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _kept(self) -> None:
+        if self.new:
+            new = np.array(self.new, np.int64).T
+            self.state, self.spaced, self.size = (np.concatenate([a, b]) for a, b in zip((self.state, self.spaced, self.size), new))
+            self.new = []
+
+    def walk(self, words: list[bytes], docs: np.ndarray, last: tuple[bytes, int] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(own, children, where, at): the numbers of the words, the states of the distinct pairs, and for each pair of the
+        walk which of these it is and the place of its second word.  docs has each word's document, last the word before
+        these and its document."""
         own = np.fromiter(map(self.roots.__getitem__, words), np.int64, len(words))
         before = np.empty_like(own)
         before[1:] = own[:-1]
@@ -81,23 +93,21 @@ class Trie:
         same[1:] = docs[1:] == docs[:-1]
         if last is not None and last[1] == docs[0]:
             before[0], same[0] = self.roots[last[0]], True
+        self._kept()
         at = np.flatnonzero(same)
         paths, where = np.unique(before[at] << 32 | own[at], return_inverse=True)
-        pairs = np.fromiter(map(self.children.__getitem__, paths.tolist()), np.int64, len(paths))
-        return own, pairs[where], at
-
-    def count(self, nodes: np.ndarray) -> None:
-        if len(self.states) > len(self.counts):
-            self.counts = np.concatenate([self.counts, np.zeros(2 * len(self.states) - len(self.counts), np.int64)])
-        found = np.bincount(nodes)
-        self.counts[: len(found)] += found
-
-    def bucket(self, start: int = 0) -> np.ndarray:
-        return np.array(self.states[start:], np.int64) % self.buckets
-
-    def totals(self) -> np.ndarray:
-        out = np.zeros(self.buckets, np.int64)
-        np.add.at(out, self.bucket(), self.counts[: len(self.states)])
+        parents, ends = paths >> 32, paths & 0xFFFFFFFF
+        children, size = self.state[parents], self.size[ends]
+        for k in range(int(size.max(initial=0)).bit_length()):
+            due = size >> k & 1 == 1
+            children[due] = _mapped(self.appending[k], children[due])
+        return own, children ^ self.spaced[ends], where, at
+
+    def counts(self, own: np.ndarray, children: np.ndarray, where: np.ndarray, buckets: int) -> np.ndarray:
+        """How often nodes of each bucket were walked."""
+        out = np.zeros(buckets, np.int64)
+        np.add.at(out, self.state % buckets, np.bincount(own, minlength=len(self.state)))
+        np.add.at(out, children % buckets, np.bincount(where, minlength=len(children)))
         return out
 
 
@@ -117,21 +127,17 @@ def walks(texts: Iterator[tuple[int, bytes]], most: int = WALK) -> Iterator[tupl
         yield words, np.concatenate(docs), last
 
 
-def bucket_totals(df: DataFrame, text: str, buckets: int = BUCKETS, nodes: int = NODES) -> DataFrame:
+def bucket_totals(df: DataFrame, text: str, buckets: int = BUCKETS, most: int = WORDS) -> DataFrame:
     """(bucket, n): how many features of all texts fall in a bucket, buckets without any left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, sums = Trie(buckets), np.zeros(buckets, np.int64)
+        trie, sums = Trie(), np.zeros(buckets, np.int64)
         for batch in batches:
             for words, docs, last in walks(enumerate(batch.column(0).to_pylist())):
-                own, pairs, _ = trie.walk(words, docs, last)
-                trie.count(own)
-                if len(pairs):
-                    trie.count(pairs)
-                if len(trie.states) >= nodes:
-                    sums += trie.totals()
-                    trie = Trie(buckets)
-        sums += trie.totals()
+                own, children, where, _ = trie.walk(words, docs, last)
+                sums += trie.counts(own, children, where, buckets)
+                if len(trie.roots) >= most:
+                    trie = Trie()
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["bucket", "n"])
 
@@ -153,28 +159,27 @@ def gains(source: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> np.nd
     return np.array([math.floor(1000 * math.log((float(b + 1) * all_s) / (float(a + 1) * all_t))) for a, b in zip(s.tolist(), t.tolist())], np.int64)
 
 
-def weighed(df: DataFrame, text: str, gain: np.ndarray, nodes: int = NODES) -> DataFrame:
+def weighed(df: DataFrame, text: str, gain: np.ndarray, most: int = WORDS) -> DataFrame:
     """df, its text left out, with n_words, n_features and weight."""
     buckets = len(gain)
     kept = [c for c in df.columns if c != text]
     spot = fresh(df, "_bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, worth = Trie(buckets), np.zeros(0, np.int64)
+        trie = Trie()
         for batch in batches:
             n = batch.num_rows
             n_words, total = np.zeros(n, np.int64), np.zeros(n, np.int64)
             texts = ((i, t) for i, t in enumerate(batch.column(len(kept)).to_pylist()) if t)
             for words, docs, last in walks(texts):
-                own, pairs, at = trie.walk(words, docs, last)
-                worth = np.concatenate([worth, gain[trie.bucket(len(worth))]])
-                along = worth[own]
-                along[at] += worth[pairs]
+                own, children, where, at = trie.walk(words, docs, last)
+                along = gain[trie.state % buckets][own]
+                along[at] += gain[children % buckets][where]
                 starts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
                 total[docs[starts]] += np.add.reduceat(along, starts)
                 n_words[docs[starts]] += np.diff(np.r_[starts, len(docs)])
-                if len(trie.states) >= nodes:
-                    trie, worth = Trie(buckets), np.zeros(0, np.int64)
+                if len(trie.roots) >= most:
+                    trie = Trie()
             features = np.maximum(2 * n_words - 1, 0)
             weight = total // np.maximum(features, 1)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(n_words), pa.array(features), pa.array(weight)], names=[*kept, "n_words", "n_features", "weight"])
@@ -202,7 +207,8 @@ def resample(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: s
     gain = gains(bucket_totals(docs, text, buckets), bucket_totals(target, target_text, buckets), buckets)
     rows = weighed(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", gain)
     noise = F.floor(-1000 * F.log(-F.log((draw_key("doc_id", seed) + 0.5) / 4294967296)))
-    rows = rows.withColumn("score", F.col("weight") + noise)
+    # Ranges are sampled, so the texts are walked before the rows are placed.
+    rows = checkpoint(rows.withColumn("score", F.col("weight") + noise))
     able = (F.col("n_words") >= least_words) & F.col("doc_id").isNotNull()
     placed, _ = ranked(rows, [able.desc(), F.col("score").desc(), F.col("doc_id"), F.col("n_features"), F.col("n_words")], "rank")
     drawn = placed.where(able).count() * percent // 100
