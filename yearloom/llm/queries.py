@@ -126,7 +126,8 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one that says control strings, formatted; the digests are read back from the output."""
     said = "</s>[INST] ok [/INST]"
-    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(said).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     made = chat.conversations(rows.withColumn("content", chat.text_part(F.col("text"))), "conv_id", "turn", "role", "content")
 
