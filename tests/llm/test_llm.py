@@ -411,7 +411,7 @@ def test_packing_odd(spark, none):
 
 
 def test_packing_of_nameless_and_repeated_rows(spark):
-    df = spark.createDataFrame([(None, "some words", 1), (None, "some words", 1), (7, "more " * 3000, 2), (7, "more " * 3000, 2)], "doc_id long, text string, sequence_id int")
+    df = spark.createDataFrame([(None, "some words", 1), (None, "some words", 1), (7, "more " * 3000, 2), (7, "more " * 3000, 2)], "doc_id long, text string, sequence_id int").coalesce(1)
     got = rows(packing.pack_documents(df, tokenizer_path()))
     nameless = [r for r in got if r["doc_id"] is None]
     assert len(nameless) == 2 and {r["doc_tokens"] for r in nameless} == {3}
@@ -426,6 +426,22 @@ def test_packing_of_nameless_and_repeated_rows(spark):
             at += length
 
 
+def test_slack_keeps_documents_whole():
+    r = random.Random(9)
+    sizes = [min(8000, int(r.lognormvariate(6.2, 0.9)) + 1) for _ in range(1500)]
+    cut, padding = [], []
+    for slack in (0.0, 0.02, 0.06):
+        pieces = packing.pack(sizes, slack=slack)
+        parts, filled, covered = Counter(d for d, *_ in pieces), Counter(), Counter()
+        for d, _, n, q, _ in pieces:
+            filled[q] += n
+            covered[d] += n
+        assert [covered[d] for d in range(len(sizes))] == sizes and max(filled.values()) <= packing.SEQUENCE
+        cut.append(sum(parts[d] > 1 for d, n in enumerate(sizes) if n <= packing.SEQUENCE))
+        padding.append(sum(packing.SEQUENCE - n for n in filled.values() if n & (n - 1)) / sum(sizes))
+    assert cut[0] > cut[1] > cut[2] and padding[0] == 0 and padding[2] < 0.07
+
+
 # MinHash near-dedup
 
 

@@ -94,10 +94,12 @@ def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     return lambda texts: [encoded(t) for t in texts]
 
 
-def pack(sizes: list[int], capacity: int = SEQUENCE) -> list[tuple[int, int, int, int, int]]:
+def pack(sizes: list[int], capacity: int = SEQUENCE, slack: float = 0.0) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of each piece, for documents of these many tokens.
 
-    Every sequence but the block's tail is filled to capacity.  Ties go to the earlier document and the earlier sequence.
+    Without slack every sequence but the block's tail is filled to capacity, and what fits nowhere whole is cut.  With it
+    the block has so many more sequences, as a share, which leaves room (and padding) for documents to stay whole.  Ties go
+    to the earlier document and the earlier sequence.
     """
     pieces: list[tuple[int, int, int, int, int]] = []
     rests: list[tuple[int, int, int]] = []
@@ -111,7 +113,7 @@ def pack(sizes: list[int], capacity: int = SEQUENCE) -> list[tuple[int, int, int
     rests.sort()
     total = -sum(r[0] for r in rests)
     # The room to fill: full sequences, then the binary digits of what remains.
-    room = [capacity] * (total // capacity) + [1 << b for b in range(capacity.bit_length())[::-1] if (total % capacity) >> b & 1]
+    room = [capacity] * (total // capacity + int(total // capacity * slack)) + [1 << b for b in range(capacity.bit_length())[::-1] if (total % capacity) >> b & 1]
     size, cost = room[:], [0.0] * len(room)
     order = [(0.0, k) for k in range(len(room))]
     heapq.heapify(order)
@@ -143,9 +145,12 @@ def pack(sizes: list[int], capacity: int = SEQUENCE) -> list[tuple[int, int, int
     return pieces
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", slack: float = 0.0) -> DataFrame:
     """One row per piece of every document: where its ids lie in which sequence.
 
+    Each partition of docs is packed by itself: its last block ends in sequences of powers of two, into which documents
+    are cut, however few they are.  slack is that of pack().
+
     A document is its ids and the id 1; a null or empty text is that id alone, and a null doc_id stays null.  Equal rows are
     packed as often as they come; a text may be of any length, an empty table has no pieces.  Each id lies in exactly one
     piece; pieces of a sequence follow one another from offset 0.  Other columns of docs are left out.
@@ -160,7 +165,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text
 
         def flush() -> pa.RecordBatch:
             nonlocal sequences, held, ids, tokens
-            rows = pack([len(t) for t in tokens])
+            rows = pack([len(t) for t in tokens], slack=slack)
             out = [
                 (ids[d], s, n, zlib.crc32(tokens[d][s : s + n].tobytes()), len(tokens[d]), first + sequences + q, o) for d, s, n, q, o in rows
             ]
