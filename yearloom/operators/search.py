@@ -1,15 +1,10 @@
-"""Full-text search over postings: (doc, term, pos) rows, joined and counted by Spark.
-
-Terms are lower-cased runs of letters and digits, without diacritics.  A query's terms are few, so postings are filtered to them first and
-only matching rows are shuffled.
-"""
+"""The terms of full-text search: lower-cased runs of letters and digits, without diacritics."""
 
 from __future__ import annotations
 
 from unicodedata import normalize
 
-from pyspark.sql import Column, DataFrame, functions as F
-
+from pyspark.sql import Column, functions as F
 
 #: Letters with diacritics and those that they are read as, of the Latin blocks; made from the letters' decompositions.
 MARKED, PLAIN = zip(*((c, d[0]) for c in map(chr, range(0xC0, 0x250)) if len(d := normalize("NFD", c)) > 1 and d[0].isascii()))
@@ -19,64 +14,3 @@ def tokens(text: Column) -> Column:
     """The terms of a text in order."""
     plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), "".join(MARKED), "".join(PLAIN))
     return F.filter(F.split(plain, r"[^\p{L}\p{N}]+"), lambda t: t != "")
-
-
-def postings(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, pos, term) of every term of every text."""
-    return docs.select(F.col(doc).alias("doc"), F.posexplode(tokens(F.col(text))).alias("pos", "term"))
-
-
-def with_all(index: DataFrame, terms: list[str]) -> DataFrame:
-    """Documents that have every term."""
-    wanted = sorted(set(terms))
-    hits = index.where(F.col("term").isin(wanted)).groupBy("doc").agg(F.count_distinct("term").alias("n"))
-    return hits.where(F.col("n") == len(wanted)).select("doc")
-
-
-def with_any(index: DataFrame, terms: list[str]) -> DataFrame:
-    return index.where(F.col("term").isin(terms)).select("doc").distinct()
-
-
-def without(found: DataFrame, index: DataFrame, terms: list[str]) -> DataFrame:
-    """Those found documents that have none of the terms."""
-    return found.join(with_any(index, terms), "doc", "left_anti")
-
-
-def with_and_without(index: DataFrame, terms: list[str], others: list[str]) -> DataFrame:
-    """Documents that have one of the terms and none of the others, in one pass over the index."""
-    hits = index.where(F.col("term").isin([*terms, *others])).groupBy("doc")
-    marked = hits.agg(F.max(F.col("term").isin(terms)).alias("has"), F.max(F.col("term").isin(others)).alias("hasnt"))
-    return marked.where("has AND NOT hasnt").select("doc")
-
-
-def with_prefix(index: DataFrame, prefix: str) -> DataFrame:
-    return index.where(F.startswith("term", F.lit(prefix))).select("doc").distinct()
-
-
-def with_phrase(index: DataFrame, terms: list[str]) -> DataFrame:
-    """Documents where the terms follow one another: each hit is moved back to the place of the first term, and a place
-    that has a hit of every term starts the phrase.  One shuffle, whatever the length of the phrase."""
-    spots = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(i).alias("i")) for i, t in enumerate(terms)))
-    at = index.where(F.col("term").isin(terms)).withColumn("s", F.explode(F.filter(spots, lambda x: x["t"] == F.col("term"))))
-    starts = at.groupBy("doc", (F.col("pos") - F.col("s.i")).alias("start")).agg(F.count_distinct("s.i").alias("n"))
-    return starts.where(F.col("n") == len(terms)).select("doc").distinct()
-
-
-def bm25(docs: DataFrame, doc: str, text: str, terms: list[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(doc, score) of the documents with any of the terms."""
-    sized = docs.select(F.col(doc).alias("doc"), tokens(F.col(text)).alias("terms"))
-
-    def times(term: str) -> Column:
-        return F.size(F.filter("terms", lambda x: x == F.lit(term)))
-
-    each = F.array(*(F.struct(F.lit(t).alias("term"), times(t).alias("tf")) for t in sorted(set(terms))))
-    counted = sized.select("doc", F.size("terms").alias("length"), each.alias("hits"))
-    df = [F.sum((F.col("hits")[i]["tf"] > 0).cast("long")) for i in range(len(set(terms)))]
-    totals = counted.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), F.array(*df).alias("df")).alias("t"))
-    # One subquery for all that is counted over the corpus.
-    rows = counted.withColumn("t", totals.scalar())
-    hits = rows.select("doc", "length", "t", F.posexplode("hits").alias("i", "h")).where("h.tf > 0")
-    tf, n, spread = F.col("h.tf"), F.col("t.n"), F.get("t.df", F.col("i"))
-    idf = F.log((n - spread + 0.5) / (spread + 0.5) + 1)
-    weight = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("length") / F.col("t.mean")))
-    return hits.groupBy("doc").agg(F.sum(weight).alias("score"))

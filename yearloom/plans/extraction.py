@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from yearloom.functions import subvalues, text as X
-from yearloom.operators import entities, layouts, names, search
+from yearloom.operators import entities, inverted, layouts, names
+from yearloom.operators.inverted import All, Any, Not, Phrase, Prefix, Term
 
 from .registry import query
 from .relational import over_archive
@@ -239,40 +240,47 @@ TERMS = r"WITH d AS (SELECT doc_id AS doc, list_filter(string_split_regex(strip_
 
 
 def index(spark, sf_dir):
-    return search.postings(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
+    """The stored index of documents, built once in a session."""
+    return inverted.of_table(spark, f"{sf_dir}/documents.parquet", "doc_id", "text")
 
 
 @query("fts_and", TERMS + "SELECT doc FROM d WHERE list_has_all(t, ['license', 'the'])")
 def fts_and(spark, sf_dir):
-    return search.with_all(index(spark, sf_dir), ["license", "the"])
+    return index(spark, sf_dir).search(All((Term("license"), Term("the"))))
 
 
 @query("fts_or", TERMS + "SELECT doc FROM d WHERE list_has_any(t, ['license', 'copyright'])")
 def fts_or(spark, sf_dir):
-    return search.with_any(index(spark, sf_dir), ["license", "copyright"])
+    return index(spark, sf_dir).search(Any((Term("license"), Term("copyright"))))
 
 
 @query("fts_not", TERMS + "SELECT doc FROM d WHERE list_contains(t, 'the') AND NOT list_contains(t, 'license')")
 def fts_not(spark, sf_dir):
-    terms = index(spark, sf_dir)
-    return search.with_and_without(terms, ["the"], ["license"])
+    return index(spark, sf_dir).search(All((Term("the"), Not(Term("license")))))
 
 
 @query("fts_prefix", TERMS + "SELECT doc FROM d WHERE len(list_filter(t, lambda x: starts_with(x, 'licen'))) > 0")
 def fts_prefix(spark, sf_dir):
-    return search.with_prefix(index(spark, sf_dir), "licen")
+    return index(spark, sf_dir).search(Prefix("licen"))
 
 
 @query("fts_phrase", TERMS + "SELECT doc FROM d WHERE contains(' ' || array_to_string(t, ' ') || ' ', ' under the ')")
 def fts_phrase(spark, sf_dir):
-    return search.with_phrase(index(spark, sf_dir), ["under", "the"])
+    return index(spark, sf_dir).search(Phrase(("under", "the")))
+
+
+@query("fts_grammar", TERMS + """SELECT doc FROM d WHERE (contains(' ' || array_to_string(t, ' ') || ' ', ' under the ') OR len(list_filter(t, lambda x: starts_with(x, 'copyr'))) > 0)
+ AND list_contains(t, 'license') AND NOT (list_contains(t, 'und') OR contains(' ' || array_to_string(t, ' ') || ' ', ' of the '))""")
+def fts_grammar(spark, sf_dir):
+    """Words, phrases and beginnings under and, or and not, in one pass over their postings."""
+    either = Any((Phrase(("under", "the")), Prefix("copyr")))
+    return index(spark, sf_dir).search(All((either, Term("license"), Not(Any((Term("und"), Phrase(("of", "the"))))))))
 
 
 @query("fts_tokens", TERMS + "SELECT term, count(*) AS times, count(DISTINCT doc) AS docs FROM (SELECT doc, unnest(t) AS term FROM d) GROUP BY 1")
 def fts_tokens(spark, sf_dir):
     """The terms of the index and how often they stand."""
-    each = index(spark, sf_dir).groupBy("doc", "term").agg(F.count(F.lit(1)).alias("n"))
-    return each.groupBy("term").agg(F.sum("n").alias("times"), F.count(F.lit(1)).alias("docs"))
+    return index(spark, sf_dir).terms()
 
 
 @query("fts_bm25", TERMS + """, s AS (SELECT doc, len(t) AS n, len(list_filter(t, lambda x: x = 'license')) AS a, len(list_filter(t, lambda x: x = 'copyright')) AS b FROM d),
@@ -280,5 +288,4 @@ g AS (SELECT count(*) AS docs, avg(n) AS mean, count(*) FILTER (a > 0) AS da, co
 SELECT doc, round(CASE WHEN a > 0 THEN ln((docs - da + 0.5) / (da + 0.5) + 1) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * n / mean)) ELSE 0 END
  + CASE WHEN b > 0 THEN ln((docs - db + 0.5) / (db + 0.5) + 1) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * n / mean)) ELSE 0 END, 6) AS score FROM s, g WHERE a > 0 OR b > 0""")
 def fts_bm25(spark, sf_dir):
-    scored = search.bm25(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text", ["license", "copyright"])
-    return scored.select("doc", F.round("score", 6).alias("score"))
+    return index(spark, sf_dir).bm25(["license", "copyright"]).select("doc", F.round("score", 6).alias("score"))
