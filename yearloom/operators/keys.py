@@ -1,25 +1,94 @@
-"""Surrogate keys."""
+"""Surrogate keys and ranks over a whole table, without a window over all of it.
+
+Rows are dealt to tasks by ranges of the order and sorted there; only a few figures of each range (how many rows, which
+values at its ends) meet in one place.  What was dealt is written to the shared folder first, since ranges are sampled and
+a task that ran again could get other ones.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
+from yearloom.sources import storage
+
+RANGE, PLACE = "_range", "_place"
+
+
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that df doesn't have, whatever case it is written in."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem = "_" + stem
+    return stem
+
+
+def dealt(df: DataFrame, order: list[Column]) -> DataFrame:
+    """df in ranges of the order: with _range, and _place from 0 on in it."""
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(PLACE, F.monotonically_increasing_id())
+    placed = placed.withColumns({RANGE: F.shiftright(PLACE, 33).cast("int"), PLACE: F.col(PLACE).bitwiseAND((1 << 33) - 1)})
+    folder = storage.new_folder(df.sparkSession, "dealt")
+    placed.write.parquet(folder)
+    return df.sparkSession.read.schema(placed.schema).parquet(folder)
+
+
+def _before(ranges: DataFrame, n: str, out: str) -> DataFrame:
+    """ranges(_range, ...) with the sum of n over those before; a row for each task of a shuffle."""
+    w = W.orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)
+    return ranges.withColumn(out, F.coalesce(F.sum(n).over(w), F.lit(0)))
+
+
+def numbered(df: DataFrame, order: list[str | Column], out: str) -> DataFrame:
+    """df with out, gapless from 1 in the given order (nulls first); keys may be of any type that sorts.
+
+    Rows equal in the order stand in any order.  A column of df named out is replaced.
+    """
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    placed = dealt(df, keys)
+    counts = _before(placed.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_n")), "_n", "_before").select(RANGE, "_before")
+    # A row for each range.
+    numbers = placed.join(F.broadcast(counts), RANGE).withColumn(out, F.col("_before") + F.col(PLACE) + 1)
+    return numbers.select(*(c for c in df.columns if c.lower() != out.lower()), out)
+
 
-def numbered(df: DataFrame, order: list[str], out: str, buckets: int = 1_000) -> DataFrame:
-    """df with out, gapless from 1 in the given order, which must tell rows apart.
+def ranked(df: DataFrame, by: Column, tiles: int = 4, ascending: bool = True) -> DataFrame:
+    """df with rank, dense_rank and tile of a whole table by one value, ties and all; nulls come first, last if not ascending.
 
-    Rows are dealt to buckets by ranges of the first key's approximate quantiles, so that no task numbers more than a
-    bucket; a bucket's first number is the count of the buckets before it, of which there are buckets at most.  Rows of
-    one value of the first key are one bucket.
+    A value that many rows share may lie in several ranges: the first of them to have it tells its rank, and every range
+    takes over what the one before ended with.  Tiles are those of ntile: of n rows the first n % tiles tiles get one more.
+    Rows of equal value go to tiles in any order.
     """
-    first = F.col(order[0])
-    cuts = sorted(set(df.approxQuantile(order[0], [i / buckets for i in range(1, buckets)], 1 / buckets / 2)))
-    if not cuts:
-        return df.withColumn(out, F.lit(1).cast("long")).limit(0)
-    at = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < first.cast("double")))
-    placed = df.withColumn("_bucket", at)
-    counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.withColumn("_before", F.sum("_n").over(W.orderBy("_bucket")) - F.col("_n")).select("_bucket", "_before")
-    own = F.row_number().over(W.partitionBy("_bucket").orderBy(*order))
-    return placed.withColumn("_own", own).join(before, "_bucket").withColumn(out, (F.col("_before") + F.col("_own")).cast("long")).drop("_bucket", "_own", "_before")
+    key = fresh(df, "_key")
+    placed = dealt(df.withColumn(key, by), [F.col(key) if ascending else F.col(key).desc()])
+    # In a range values are sorted, so a value's first place in it and the number of values before it are local figures.
+    inside = W.partitionBy(RANGE).orderBy(PLACE).rowsBetween(W.unboundedPreceding, 0)
+    began = F.lag(F.struct(key)).over(W.partitionBy(RANGE).orderBy(PLACE))
+    new = began.isNull() | ~F.coalesce(began[key].eqNullSafe(F.col(key)), F.lit(False))
+    placed = placed.withColumn("_new", new).withColumns(
+        {"_first": F.max(F.when(F.col("_new"), F.col(PLACE))).over(inside), "_values": F.sum(F.col("_new").cast("long")).over(inside)}
+    )
+    ends = placed.groupBy(RANGE).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_values").alias("_v"), F.min_by(F.struct(key), PLACE).alias("_lo"), F.max_by(F.struct(key), PLACE).alias("_hi"), F.max("_first").alias("_hi_at")
+    )
+    ends = _before(ends, "_n", "_before")
+    order = W.orderBy(RANGE)
+    # Whether the first value of a range is the last one of the range before: then it counts once, and its rank is older.
+    ends = ends.withColumn("_on", F.coalesce(F.lag("_hi").over(order)[key].eqNullSafe(F.col("_lo")[key]) & F.lag(F.lit(1)).over(order).isNotNull(), F.lit(False)))
+    own = F.col("_v") - F.col("_on").cast("long")
+    ends = ends.withColumn("_seen", F.coalesce(F.sum(own).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) - F.col("_on").cast("long"))
+    # Where the last value of a range began: in it, unless the range has no other value and goes on with an older one.
+    began_at = F.when((F.col("_v") > 1) | ~F.col("_on"), F.col("_before") + F.col("_hi_at"))
+    ends = ends.withColumn("_since", F.last(began_at, ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1)))
+    total = ends.agg(F.sum("_n").alias("n"))
+    tasks = F.broadcast(ends.select(RANGE, "_before", "_on", "_seen", "_since"))
+    rows = placed.join(tasks, RANGE).withColumn("_total", F.coalesce(total.scalar(), F.lit(0)))
+    older = F.col("_on") & (F.col("_values") == 1)
+    at, large, small = F.col("_before") + F.col(PLACE), F.floor(F.col("_total") / tiles) + 1, F.floor(F.col("_total") / tiles)
+    over = F.col("_total") % tiles
+    tile = F.when(at < over * large, F.floor(at / large)).otherwise(over + F.floor((at - over * large) / F.greatest(small, F.lit(1))))
+    return rows.select(
+        *(c for c in df.columns if c.lower() not in ("rank", "dense_rank", "tile")),
+        (F.when(older, F.col("_since")).otherwise(F.col("_before") + F.col("_first")) + 1).alias("rank"),
+        (F.col("_seen") + F.col("_values")).alias("dense_rank"),
+        (tile + 1).cast("int").alias("tile"),
+    )

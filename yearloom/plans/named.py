@@ -294,6 +294,19 @@ def surrogate_keys(a):
     return keys.numbered(a.fields.select(*order), order, "row_id").select("field_id", "row_id")
 
 
+@query("global_ranks", "SELECT l_orderkey, l_linenumber, rank() OVER (ORDER BY l_returnflag DESC) AS rank, dense_rank() OVER (ORDER BY l_returnflag DESC) AS dense_rank FROM lineitem")
+def global_ranks(spark, sf_dir):
+    """Ranks over a whole table by a value that half of its rows share."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return keys.ranked(rows, F.col("l_returnflag"), ascending=False).select("l_orderkey", "l_linenumber", "rank", "dense_rank")
+
+
+@over_archive("value_ranks", "SELECT field_id, sub_field, rank() OVER (ORDER BY numeric_val) AS rank, dense_rank() OVER (ORDER BY numeric_val) AS dense_rank FROM vals")
+def value_ranks(a):
+    """Where a sub-value stands among all of them."""
+    return keys.ranked(a.values.select("field_id", "sub_field", "numeric_val"), F.col("numeric_val")).select("field_id", "sub_field", "rank", "dense_rank")
+
+
 @over_archive("sql_literal", "SELECT master_id, '(' || master_id || ', N''' || replace(replace(name, '_', ''''), '''', '''''') || ''', ' || coalesce('N''' || iso2 || '''', 'NULL') || ')' AS line FROM masters")
 def sql_literal(a):
     """A row as a VALUES tuple: quotes doubled, nulls named."""

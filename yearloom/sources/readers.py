@@ -71,17 +71,50 @@ def capture(index: Column, least: int = LEAST_CAPTURE) -> Column:
 
 def dumped(spark: SparkSession, path: str) -> DataFrame:
     """(path, table, values) of INSERT statements in SQL dumps, a row for each tuple; values is an array of texts, NULL as
-    null.  A tuple stands on a line of its own, as sinks.sql_dump writes it; text in quotes may hold anything but line
-    breaks."""
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), "value")
-    w = W.partitionBy("path").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
-    head = r"^INSERT INTO (\w+)"
-    table = F.last(F.nullif(F.regexp_extract("value", head, 1), F.lit("")), ignorenulls=True).over(w)
-    tuples = lines.withColumn("table", table).where(F.col("value").rlike(r"^\("))
-    item = r"\G[(,]\s*(N?'(?:[^']|'')*'|[^',()]+)"
-    raw = F.regexp_extract_all("value", F.lit(item), F.lit(1))
-    plain = lambda x: F.when(x == "NULL", None).when(x.rlike("^N?'"), F.replace(F.regexp_replace(x, "^N?'|'$", ""), F.lit("''"), F.lit("'"))).otherwise(x)
-    return tuples.select("path", "table", F.transform(raw, plain).alias("values"))
+    null.  A tuple begins on a line of its own, as sinks.sql_dump writes it; text in quotes may hold anything, line breaks
+    and lines that look like tuples among it.
+
+    A file is read in as many splits as Spark gives it.  Whether a line begins inside quotes follows from the parity of the
+    quotes before it: each split counts its own, a running sum over the splits says how each begins, and lines are cut
+    into units (a line that begins outside quotes, and those inside quotes after it).  Only the first and last unit of a
+    split may be in parts, so no other moves again; the name of the last statement's table is carried over likewise.
+    """
+    order = W.partitionBy("path").orderBy("block")
+    before = order.rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("path", "block").orderBy("at")
+    so_far = inside.rowsBetween(W.unboundedPreceding, 0)
+
+    text = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+    place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")]
+    lines = text.select(*place, "value").withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit("'"), F.lit(""))))
+    # A row for each split, as the driver's plan has.
+    splits = lines.groupBy("path", "block").agg(F.sum("quotes").alias("quotes"))
+    splits = splits.select("path", "block", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2).alias("open"))
+    lines = lines.join(splits, ["path", "block"]).withColumn("past", F.col("open") + F.sum("quotes").over(so_far) - F.col("quotes"))
+    lines = lines.withColumn("unit", F.sum((F.col("past") % 2 == 0).cast("int")).over(so_far))
+
+    pieces = lines.groupBy("path", "block", "unit").agg(
+        F.min("at").alias("at"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]), "\n").alias("text")
+    )
+    pieces = pieces.withColumn("named", F.nullif(F.regexp_extract("text", r"^INSERT INTO (\w+)", 1), F.lit(""))).withColumn("named", F.when(F.col("unit") > 0, F.col("named")))
+    pieces = pieces.withColumn("table", F.last("named", ignorenulls=True).over(so_far))
+    ends = pieces.groupBy("path", "block").agg(F.max("unit").alias("last"), F.max_by("table", "at").alias("name"))
+    # The split that has the beginning of what this one goes on with, and the table named last before it.
+    owner = F.last(F.when(F.col("last") > 0, F.struct("block", "last")), ignorenulls=True).over(before)
+    ends = ends.select("path", "block", "last", owner.alias("owner"), F.last("name", ignorenulls=True).over(before).alias("carried"))
+    pieces = pieces.join(ends, ["path", "block"]).withColumn("table", F.coalesce("table", "carried"))
+    whole = (F.col("unit") > 0) & (F.col("unit") < F.col("last"))
+    parts = pieces.where(~whole).withColumn("key", F.when(F.col("unit") > 0, F.struct("block", "unit")).otherwise(F.col("owner").cast("struct<block:bigint,unit:bigint>")))
+    parts = parts.groupBy("path", "key").agg(
+        F.min_by("table", F.struct("block", "at")).alias("table"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "text"))), lambda x: x["text"]), "\n").alias("text"),
+    )
+    units = pieces.where(whole).select("path", "table", "text").unionByName(parts.select("path", "table", "text"))
+    # Runs of text without quotes are taken whole, so that long values don't nest the matcher.
+    item = r"\G[(,]\s*(N?'[^']*+(?:''[^']*+)*+'|[^',()]+)"
+    raw = F.regexp_extract_all("text", F.lit(item), F.lit(1))
+    plain = lambda x: F.when(F.trim(x) == "NULL", None).when(x.rlike("^N?'"), F.replace(F.regexp_replace(x, r"^N?'|'$", ""), F.lit("''"), F.lit("'"))).otherwise(F.trim(x))
+    return units.where(F.startswith("text", F.lit("("))).select("path", "table", F.transform(raw, plain).alias("values"))
 
 
 def dictionary(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window as W
 
 from .archive import Archive
 
@@ -31,8 +30,8 @@ def write_archive(archive: Archive, folder: str) -> None:
             table = table.join(keys, "field_id")
         elif name == "masters":
             table = table.withColumn("created", F.current_timestamp())
-        if name in BY_YEAR:
-            table.repartition("year").write.mode("overwrite").partitionBy("year").parquet(f"{folder}/{name}")
+        if name in BY_YEAR:  # a large year is split over tasks by its size
+            table.hint("rebalance", "year").write.mode("overwrite").partitionBy("year").parquet(f"{folder}/{name}")
         else:
             table.write.mode("overwrite").parquet(f"{folder}/{name}")
 
@@ -47,21 +46,45 @@ def literal(column: str, kind: str) -> Column:
     return F.coalesce(said, F.lit("NULL"))
 
 
-def statements(df: DataFrame, table: str, order: str, by: list[str]) -> DataFrame:
-    """(*by, batch, text): INSERT statements of BATCH tuples at most, in the order of a key, a tuple a line."""
-    columns = [c for c in df.columns if c not in by]
+def statements(df: DataFrame, table: str, by: str) -> DataFrame:
+    """(by, first, text): INSERT statements of BATCH tuples at most, a tuple a line, of rows sorted by by in each task;
+    first is the place in its task of a statement's first tuple."""
+    import pyarrow as pa
+
+    columns, batch = [c for c in df.columns if c != by], BATCH
     tuples = F.concat(F.lit("("), F.concat_ws(", ", *(literal(c, dict(df.dtypes)[c]) for c in columns)), F.lit(")"))
-    numbered = df.withColumns({"_tuple": tuples, "_n": F.row_number().over(W.partitionBy(*by).orderBy(order)) - 1})
-    batches = numbered.groupBy(*by, F.floor(F.col("_n") / BATCH).alias("batch"))
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("_n", "_tuple"))), lambda x: x["_tuple"])
     head = f"INSERT INTO {table} ({', '.join(columns)}) VALUES\n"
-    return batches.agg(F.concat(F.lit(head), F.array_join(lines, ",\n"), F.lit(";")).alias("text"))
-
 
-def sql_dump(df: DataFrame, table: str, order: str, folder: str, year: str = "year") -> None:
-    """A dump by year, each compressed: folder/year=Y/part-*.gz.  A year's statements stand in the order of the key."""
-    made = statements(df, table, order, [year])
-    made.repartition(year).sortWithinPartitions(year, "batch").select(year, "text").write.mode("overwrite").partitionBy(year).option("compression", "gzip").text(folder)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, value, first, n = [], None, 0, 0
+
+        def said() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([value], kind), pa.array([first]), pa.array([head + ",\n".join(held) + ";"])], names=[by, "first", "text"])
+
+        for part in batches:
+            kind = part.schema.field(0).type
+            for v, line in zip(*(c.to_pylist() for c in part.columns)):
+                if held and (v != value or len(held) == batch):
+                    yield said()
+                    held = []
+                if not held:
+                    value, first = v, n
+                held.append(line)
+                n += 1
+        if held:
+            yield said()
+
+    kind = dict(df.dtypes)[by]
+    return df.select(by, tuples.alias("tuple")).mapInArrow(run, f"{by} {kind}, first long, text string")
+
+
+def sql_dump(df: DataFrame, table: str, order: str, folder: str, year: str = "year", rows_per_file: int = 1_000_000) -> None:
+    """A dump by year, compressed: folder/year=Y/part-*.gz, of some rows_per_file rows each.  A year's statements stand in
+    the order of the key, over its files by their names.  Rows are dealt by ranges of year and key, so a year may be the
+    work of many tasks."""
+    dealt = df.repartitionByRange(df.count() // rows_per_file + 1, year, order).sortWithinPartitions(year, order)
+    made = statements(dealt, table, year).sortWithinPartitions(year, "first").select(year, "text")
+    made.write.mode("overwrite").partitionBy(year).option("compression", "gzip").text(folder)
 
 
 def browse_feed(entities: DataFrame, years: DataFrame) -> DataFrame:
