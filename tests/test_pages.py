@@ -59,3 +59,22 @@ def test_classic(spark):
 def test_page_name(spark, html, want):
     df = spark.createDataFrame([(html,)], "html string")
     assert df.select(L.page_name(df["html"]).alias("n")).first()["n"] == want
+
+
+@pytest.mark.parametrize("layout", P.LAYOUTS)
+def test_one_pass(spark, layout):
+    """No row moves, and each page is read once, also where pages repeat."""
+    html = dict((name, page) for name, page, _ in CASES)[layout]
+    df = spark.createDataFrame([(1, html), (1, html), (None, html)], "id long, html string")
+    rows = P.page_rows(df, "id", "html", layout)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and plan.count("MapInArrow") == 1
+    got = sorted((str(r["page"]), r["place"], r["field"], r["content"]) for r in rows.collect())
+    assert len(got) == 9 and got[0:6:2] == got[1:6:2]
+
+
+def test_links_with_pictures_and_open_ends(spark):
+    html = '<td class="FieldLabel">A:</td><td>one<a href=x>two<img src=y></a>three<a href=x>four<a href=z>five</td><td class="FieldLabel">B:</td><td>six<script>no</script><a>seven'
+    df = spark.createDataFrame([(1, f"<table><tr>{html}")], "id long, html string")
+    got = [(r["field"], r["content"]) for r in P.page_rows(df, "id", "html", "table").orderBy("place").collect()]
+    assert got == [("A", "one three four five"), ("B", "six seven")]

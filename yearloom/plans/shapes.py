@@ -29,7 +29,7 @@ TEXTS: dict[str, tuple[str, str, list[tuple[str, str, str, str]]]] = {
     "text_repair": ("repair", "01/02/97  CIA  Page {a}\n                         Landia\n            Geography\n    Location:  Asia {b}\n      and more\n    Area:  {c} km", [
         ("Landia", "Geography", "Location", "Asia {b} and more"), ("Landia", "Geography", "Area", "{c} km")]),
 }
-#: name -> (layout, page, [(category, field, content)]).
+#: name -> (layout, page, [(category, field, content)]), the pages of every third key.
 PAGES: dict[str, tuple[str, str, list[tuple[str, str, str]]]] = {
     "html_table": ("table", '<a name="Geo">x</a><table><tr><td class="FieldLabel"><div>Area:</div></td><td>total: {b},{t} sq km<br>land: {a} sq km</td></tr></table><a name="Econ"></a><table><tr><td class="FieldLabel">Budget:</td><td>${c} million</td></tr></table>', [
         ("Geography", "Area", "total: {b},{t} sq km | land: {a} sq km"), ("Economy", "Budget", "${c} million")]),
@@ -42,8 +42,28 @@ PAGES: dict[str, tuple[str, str, list[tuple[str, str, str]]]] = {
 }
 
 
+#: name -> the same for the next keys: nested tables, sections without fields, fields before a section, without a label or
+#: without a value.
+NESTED: dict[str, tuple[str, list[tuple[str, str, str]]]] = {
+    "html_table": ('<a name="Top">x</a><table><tr><td class="FieldLabel">Early:</td><td>{e} km</td></tr><tr><td><a name="Geo">Geo graphy</a></td></tr><tr><td class="FieldLabel" width=20><div align="right">Area:</div></td><td bgcolor=w>total: <i>{a}</i> sq km<br>land: {b} sq km<a href=x><img src=y> map</a></td></tr><tr><td class="FieldLabel">Coast:</td><td><table><tr><td>{c}</td><td>km</td></tr></table></td></tr><tr><td class="FieldLabel">:</td><td>nameless</td></tr><tr><td class="FieldLabel">Empty:</td><td> </td></tr><tr><td><a name="Econ"></a></td></tr><tr><td class=FieldLabel>Budget:</td><td>${t} &amp; more</td></tr></table>', [
+        ("General", "Early", "{e} km"), ("Geography", "Area", "total: {a} sq km | land: {b} sq km"), ("Geography", "Coast", "{c} km"), ("Economy", "Budget", "${t} & more")]),
+    "html_panels": ('<div class="CollapsiblePanel"><table><tr><td class="CollapsiblePanelTab"><span class="category">Geography::Land</span></td></tr></table><table class="CollapsiblePanelContent"><tr class="na_light"><td><div class="category"><a href=x>Area</a>:</div></td></tr><tr><td><div class="category">total: <span class="category_data">{a} sq km</span></div><div class="category">land: <span class="category_data">{b} sq km</span></div></td></tr><tr class="noa_light"><td><div class="category"><a href=x>Empty:</a></div></td></tr><tr><td></td></tr></table></div><div class="CollapsiblePanel"><h2 class="question" sectiontitle="x">Economy</h2><table class="CollapsiblePanelContent"><tr class="na_light"><td>Budget:</td></tr><tr><td><span class="category_data">${c}</span></td></tr></table></div>', [
+        ("Geography", "Area", "total: | {a} sq km | land: | {b} sq km"), ("Economy", "Budget", "${c}")]),
+    "html_expand": ("<ul><li><h2 class='question' sectiontitle='Geography'>Geography :: LAND</h2><div id='field' class='category noa_light'><a href='x'>Area:</a></div><div><span class=category>total: </span><span class=category_data>{a} sq km</span></div><div id='field' class='category noa_light'><a>Coast:</a></div><div class=category_data>{b} km</div><div id='field' class='category'>Empty:</div></li><li><h2 class='question' sectiontitle='People'>People :: LAND</h2></li><li><h2 class='question' sectiontitle='Economy'>Economy :: LAND</h2><div id='field' class='category'>Budget:</div><div class=category_data>${c}</div></li></ul>", [
+        ("Geography", "Area", "total: {a} sq km"), ("Geography", "Coast", "{b} km"), ("Economy", "Budget", "${c}")]),
+    "html_modern": ('<ul><div id="field-anchor-early"><a>Early</a></div><div id="field-early"><div class="category_data subfield">{e}</div></div><li><a class="tabHead">Geography ::Land</a></li><div class="category" id="field-anchor-geography-area"><a>Area:</a></div><div id="field-area"><div class="category_data subfield"><span>total:</span> <span>{a} sq km</span></div><div class="category_data subfield">land: {b} sq km</div><div class="category_data"><a href="../rank.html">comparison: {e}</a></div></div><div id="field-anchor-geography-none"><a>None</a></div><div id="field-none"></div><li><a class="tabHead">Economy ::Land</a></li><div id="field-anchor-economy-budget"><a>Budget</a></div><div id="field-budget"><div class="category_data subfield">${c}</div></div></ul>', [
+        ("General", "Early", "{e}"), ("Geography", "Area", "total: {a} sq km | land: {b} sq km"), ("Economy", "Budget", "${c}")]),
+}
+#: A page without fields, for the keys that are left, and its row.
+BARE = ("<p>no fields {a}</p><script>x</script><p>at  all", [("Full Content", "Text", "no fields {a}\nat  all")])
+
+
+def _selects(rows: list[tuple], columns: tuple[str, ...], where: str = "") -> list[str]:
+    return ["SELECT k, " + ", ".join(f"{made.sql(v)} AS {c}" for v, c in zip(r, columns)) + f" FROM base{where}" for r in rows]
+
+
 def _union(rows: list[tuple], columns: tuple[str, ...]) -> str:
-    return f"{made.BASE} " + " UNION ALL ".join("SELECT k, " + ", ".join(f"{made.sql(v)} AS {c}" for v, c in zip(r, columns)) + " FROM base" for r in rows)
+    return f"{made.BASE} " + " UNION ALL ".join(_selects(rows, columns))
 
 
 def _text(name: str, layout: str, document: str, rows: list[tuple]) -> None:
@@ -53,9 +73,14 @@ def _text(name: str, layout: str, document: str, rows: list[tuple]) -> None:
 
 
 def _page(name: str, layout: str, page: str, rows: list[tuple]) -> None:
-    @query(name, _union(rows, ("category", "field", "content")))
+    kinds = [(page, rows), NESTED[name], BARE]
+    columns = ("category", "field", "content")
+
+    @query(name, f"{made.BASE} " + " UNION ALL ".join(x for i, (_, r) in enumerate(kinds) for x in _selects(r, columns, f" WHERE k % 3 = {i}")))
     def run(spark, sf_dir):
-        return P.page_rows(made.texts(spark, sf_dir, page), "k", "text", layout).select(F.col("page").alias("k"), "category", "field", "content")
+        texts = F.when(F.col("k") % 3 == 0, made.column(kinds[0][0])).when(F.col("k") % 3 == 1, made.column(kinds[1][0])).otherwise(made.column(kinds[2][0]))
+        pages = made.texts(spark, sf_dir, "").select("k", texts.alias("text"))
+        return P.page_rows(pages, "k", "text", layout).select(F.col("page").alias("k"), *columns)
 
 
 for _name, _case in TEXTS.items():
