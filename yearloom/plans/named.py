@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
-from yearloom.operators import keys
+from yearloom.operators import keys, matching
 from yearloom.sources.archive import Archive
 
 from . import made
@@ -159,8 +159,11 @@ def resolve(masters: DataFrame, asked: list[str]) -> DataFrame:
     """(q, master_id, tier) for each of the asked strings that names an entity."""
     words = masters.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, asked))).alias("q"))
     up = F.upper("q")
-    tier = F.when(up == F.col("iso2"), 1).when(up == F.col("code"), 2).when(F.contains(F.lower("name"), F.lower("q")), 3)
-    hits = masters.join(F.broadcast(words), tier.isNotNull()).groupBy("q").agg(F.min(F.struct(tier.alias("tier"), "master_id")).alias("best"))
+    keys = masters.select("master_id", F.explode(F.array(F.struct(F.col("iso2").alias("key"), F.lit(1).alias("tier")), F.struct(F.col("code").alias("key"), F.lit(2).alias("tier")))).alias("k"))
+    by_key = words.join(keys, up == F.col("k.key")).select("q", "k.tier", "master_id")
+    lower = words.withColumn("asked", F.lower("q"))
+    by_name = matching.containing(masters.select("master_id", F.lower("name").alias("name")), "name", lower, "asked", both=False).select("q", F.lit(3).alias("tier"), "master_id")
+    hits = by_key.union(by_name).groupBy("q").agg(F.min(F.struct("tier", "master_id")).alias("best"))
     return hits.select("q", "best.master_id", "best.tier")
 
 
@@ -183,9 +186,10 @@ def edition_of(a: Archive, asked: list[str], year: int | None = None) -> DataFra
     known = resolve(a.masters, asked).select("q", "master_id")
     by_entity = known.join(editions, "master_id").select("q", F.lit(1).alias("step"), "year", "country_id")
     rest = words.join(known, "q", "left_anti")
-    by_code = rest.join(editions, F.col("code").isin(F.lower("q"), F.upper("q"))).select("q", F.lit(2), "year", "country_id")
-    # Questions are few, and their list is what is broadcast.
-    by_name = a.countries.join(F.broadcast(words), F.contains(F.lower("name"), F.lower("q"))).select("q", F.lit(3), "year", "country_id")
+    either = rest.select("q", F.explode(F.array_distinct(F.array(F.lower("q"), F.upper("q")))).alias("code"))
+    by_code = either.join(editions, "code").select("q", F.lit(2), "year", "country_id")
+    called = a.countries.select("year", "country_id", F.lower("name").alias("name"))
+    by_name = matching.containing(called, "name", words.withColumn("asked", F.lower("q")), "asked", both=False).select("q", F.lit(3), "year", "country_id")
     return by_entity.union(by_code).union(by_name).groupBy("q").agg(F.min_by("country_id", F.struct("step", -F.col("year"), "country_id")).alias("country_id"))
 
 

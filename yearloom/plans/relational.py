@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window as W
 
+from yearloom.operators import matching
 from yearloom.sources.archive import VIEWS as V, Archive
 
 from .registry import query
@@ -218,11 +219,11 @@ def lookup_join(a):
 @over_archive("fuzzy_contains", """, keys(key, id) AS (VALUES ('NATION_1', 1), ('ION_2', 2), ('NATION_24 (FORMER)', 3))
 SELECT e.master_id, k.key FROM masters e JOIN keys k ON contains(k.key, e.name) OR contains(e.name, k.key) QUALIFY row_number() OVER (PARTITION BY e.master_id ORDER BY k.id) = 1""")
 def fuzzy_contains(a):
-    """Names that hold one another; the key of least id wins.  The keys are a fixed list, so each name meets every key."""
+    """Names that hold one another; the key of least id wins."""
     spark = a.masters.sparkSession
     keys = spark.range(1).select(F.inline(F.array(*(F.struct(F.lit(k).alias("key"), F.lit(i).alias("id")) for i, k in enumerate(["NATION_1", "ION_2", "NATION_24 (FORMER)"], 1)))))
-    hit = F.contains("key", "name") | F.contains("name", "key")
-    return a.masters.join(F.broadcast(keys), hit).groupBy("master_id").agg(F.min_by("key", "id").alias("key"))
+    hits = matching.containing(a.masters.select("master_id", "name"), "name", keys, "key")
+    return hits.groupBy("master_id").agg(F.min_by("key", "id").alias("key"))
 
 
 @over_archive("tiered_match", """, asked(q) AS (VALUES ('NATION_3'), ('the NATION_4'), ('NATION_7 Republic'), ('nowhere')), hits AS (
@@ -233,10 +234,26 @@ def tiered_match(a):
     """Exact name, then without its article, then containment; within a tier the least id."""
     spark = a.masters.sparkSession
     asked = spark.range(1).select(F.explode(F.array(*map(F.lit, ["NATION_3", "the NATION_4", "NATION_7 Republic", "nowhere"]))).alias("q"))
-    bare = F.regexp_replace("q", "^the ", "")
-    tier = F.when(F.col("q") == F.col("name"), 1).when(bare == F.col("name"), 2).when(F.contains("q", "name") | F.contains("name", "q"), 3)
-    hits = a.masters.join(F.broadcast(asked), tier.isNotNull()).select("q", F.struct(tier.alias("tier"), "master_id").alias("best"))
-    return hits.groupBy("q").agg(F.min("best").alias("best")).select("q", "best.master_id", "best.tier")
+    return matching.best(asked, "q", a.masters)
+
+
+@query("alias_match", """WITH named AS (SELECT n_name AS called, n_nationkey AS master_id FROM nation UNION ALL SELECT 'Land ' || chr((65 + n_nationkey)::INTEGER), n_nationkey FROM nation), asked AS (
+  SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN n_name WHEN 1 THEN 'the ' || n_name WHEN 2 THEN 'Land ' || chr((65 + c_nationkey)::INTEGER) WHEN 3 THEN 'former Land ' || chr((65 + c_nationkey)::INTEGER) || ' and isles'
+   WHEN 4 THEN 'ION_' || (c_custkey % 3) ELSE 'nowhere ' || c_custkey END AS q FROM customer JOIN nation ON n_nationkey = c_nationkey
+), hits AS (
+  SELECT c_custkey, master_id, CASE WHEN q = called THEN 1 WHEN regexp_replace(q, '^the ', '') = called THEN 2 ELSE 3 END AS tier FROM asked, named WHERE contains(q, called) OR contains(called, q))
+SELECT c_custkey, master_id, tier FROM hits QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY tier, master_id) = 1""")
+def alias_match(spark, sf_dir):
+    """What every customer calls its nation, matched to names and aliases in both directions."""
+    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    masters = read("nation").select(F.col("n_nationkey").alias("master_id"), F.col("n_name").alias("name"))
+    aliases = masters.select(F.concat(F.lit("Land "), F.chr(65 + F.col("master_id"))).alias("alias"), "master_id")
+    k, land = F.col("c_custkey"), F.concat(F.lit("Land "), F.chr(65 + F.col("c_nationkey")))
+    said = F.when(k % 6 == 0, F.col("name")).when(k % 6 == 1, F.concat(F.lit("the "), "name")).when(k % 6 == 2, land)
+    said = said.when(k % 6 == 3, F.concat(F.lit("former "), land, F.lit(" and isles"))).when(k % 6 == 4, F.concat(F.lit("ION_"), (k % 3).cast("string"))).otherwise(F.concat(F.lit("nowhere "), k.cast("string")))
+    asked = read("customer").join(masters, F.col("c_nationkey") == F.col("master_id")).select("c_custkey", said.alias("q"))
+    return asked.join(matching.best(asked, "q", masters, aliases), "q").select("c_custkey", "master_id", "tier")
+
 
 
 @over_archive("agg_count", "SELECT count(*) AS n, count(content) AS with_content FROM fields")
