@@ -138,16 +138,3 @@ def test_browse_feed(spark):
     years = spark.createDataFrame([(1991, 4), (1990, 5)], "year int, countries int")
     feed = json.loads(sinks.browse_feed(entities, years).first()["feed"])
     assert feed == {"entities": [{"name": "a"}, {"name": "b", "n": 2}], "years": [{"year": 1990, "countries": 5}, {"year": 1991, "countries": 4}]}
-
-
-def test_dictionary_round_trip(spark, tmp_path):
-    books = [("de1990", ["Zebra", "zz"], "one\nline"), ("de1990", ["apple", "Äpfel", "AA"], "two é"), ("en1990", ["only"], ""), ("en1990", ["beta", "only too"], "x" * 5000), ("en1990", [], "lost")]
-    df = spark.createDataFrame(books, "book string, headwords array<string>, body string")
-    told = {r["book"]: r["entries"] for r in sinks.dictionary(df, str(tmp_path)).collect()}
-    assert told == {"de1990": 2, "en1990": 2}
-    got = {(r["book"], r["headwords"][0], frozenset(r["headwords"][1:]), r["body"]) for r in readers.dictionary(spark, str(tmp_path)).collect()}
-    assert got == {(b, w[0], frozenset(w[1:]), t) for b, w, t in books if w}
-    expected = spark.createDataFrame([("de1990",), ("en1990",), ("fr1990",)], "book string")
-    assert [r["book"] for r in sinks.missing_books(expected, str(tmp_path)).collect()] == ["fr1990"]
-    index = spark.read.parquet(str(tmp_path)).where("book = 'de1990' AND part = 'idx'").select(F.hex("content").alias("h")).first()["h"]
-    assert bytes.fromhex(index).startswith(b"apple\0")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from yearloom.functions import text as X
 from yearloom.operators import dictionary as D, layouts
+from yearloom.sources import stardict, storage
 
 from .extraction import DECODED, PIPED
 from .registry import query
@@ -39,6 +40,16 @@ def dict_general(a):
     return shown(general(a))
 
 
+@over_archive("dict_files", GENERAL + "SELECT 'general ' || (country_id % 10000) AS book, array_to_string(list_sort(string_split(headwords, ';')), ';') AS headwords, body FROM entries")
+def dict_files(a):
+    """The dictionaries of all editions, a book each, written to files and read back from them."""
+    spark = a.fields.sparkSession
+    books = general(a).select(F.concat(F.lit("general "), (F.col("place.country_id") % 10000).cast("string")).alias("book"), "headwords", "body")
+    folder = storage.new_folder(spark, "books")
+    stardict.write(books, folder)
+    return stardict.read(spark, folder).select("book", F.array_join(F.array_sort("headwords"), ";").alias("headwords"), "body")
+
+
 @over_archive("dict_structured", EDITION + """, v AS (SELECT field_id, string_agg('<b>' || sub_field || '</b>: ' || format('{:,}', numeric_val::BIGINT) || ' ' || units || '<br>', chr(10) ORDER BY sub_field) AS lines FROM vals GROUP BY 1),
 g AS (SELECT country_id, field_name, any_value(name) AS name, arg_max(title, category_id) AS title, string_agg(lines, chr(10) ORDER BY category_id, field_id) AS lines
  FROM fields JOIN named USING (country_id) JOIN categories USING (category_id, country_id) JOIN v USING (field_id) GROUP BY 1, 2)

@@ -115,33 +115,3 @@ def dumped(spark: SparkSession, path: str) -> DataFrame:
     raw = F.regexp_extract_all("text", F.lit(item), F.lit(1))
     plain = lambda x: F.when(F.trim(x) == "NULL", None).when(x.rlike("^N?'"), F.replace(F.regexp_replace(x, r"^N?'|'$", ""), F.lit("''"), F.lit("'"))).otherwise(F.trim(x))
     return units.where(F.startswith("text", F.lit("("))).select("path", "table", F.transform(raw, plain).alias("values"))
-
-
-def dictionary(spark: SparkSession, folder: str) -> DataFrame:
-    """(book, headwords, body) of dictionaries as sinks.dictionary writes them: index, synonyms and bodies of each book.
-
-    The three parts of a book meet in one task, as an index points into its bodies by offset.
-    """
-    import pyarrow as pa
-
-    parts = spark.read.parquet(folder).select(F.col("book").cast("string"), "part", "content")
-    books = parts.groupBy("book").pivot("part", ["idx", "syn", "dict"]).agg(F.first("content"))
-
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for book, idx, syn, bodies in zip(*(c.to_pylist() for c in batch.columns)):
-                words, out, at = [], [], 0
-                while at < len(idx or b""):
-                    end = idx.index(b"\0", at)
-                    start, size = int.from_bytes(idx[end + 1 : end + 5]), int.from_bytes(idx[end + 5 : end + 9])
-                    words.append([idx[at:end].decode()])
-                    out.append(bodies[start : start + size].decode())
-                    at = end + 9
-                at = 0
-                while at < len(syn or b""):
-                    end = syn.index(b"\0", at)
-                    words[int.from_bytes(syn[end + 1 : end + 5])].append(syn[at:end].decode())
-                    at = end + 5
-                yield pa.RecordBatch.from_pydict({"book": [book] * len(out), "headwords": pa.array(words, pa.list_(pa.string())), "body": pa.array(out, pa.string())})
-
-    return books.mapInArrow(entries, "book string, headwords array<string>, body string")

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import stardict
 from .archive import Archive
 
 #: Tuples of one INSERT statement (a fixed value).
@@ -98,48 +99,12 @@ def browse_feed(entities: DataFrame, years: DataFrame) -> DataFrame:
 
 
 def dictionary(entries: DataFrame, folder: str, book: str = "book") -> DataFrame:
-    """Writes dictionaries of entries(book, headwords, body) and gives (book, entries, bytes), a row each.
-
-    A book is three binary files under folder/book: bodies, an index of first headwords with the offset and size of each
-    body, and synonyms that point into the index.  Words are in the byte order of their lower-cased form.  A book is made
-    in one task, since an index needs the offsets of all bodies before; books are spread over tasks.  The files are written
-    by Spark as rows of (part, content) and read back by readers.dictionary.
-    """
-    import pyarrow as pa
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def book_of(name: str, rows: list[tuple[list[str], str]]) -> pa.RecordBatch:
-            rows.sort(key=lambda r: (r[0][0].lower().encode(), r[0][0].encode()))
-            idx, syn, bodies, at = [], [], [], 0
-            for n, (words, body) in enumerate(rows):
-                data = body.encode()
-                idx.append(words[0].encode() + b"\0" + at.to_bytes(4) + len(data).to_bytes(4))
-                syn += [(w.lower().encode(), w.encode() + b"\0" + n.to_bytes(4)) for w in words[1:]]
-                bodies.append(data)
-                at += len(data)
-            files = {"idx": b"".join(idx), "syn": b"".join(x for _, x in sorted(syn)), "dict": b"".join(bodies)}
-            return pa.RecordBatch.from_pydict({"book": [name] * 3, "part": list(files), "entries": [len(rows)] * 3, "content": pa.array(files.values(), pa.binary())})
-
-        name, rows = None, []
-        for batch in batches:
-            for b, words, body in zip(*(c.to_pylist() for c in batch.columns)):
-                if b != name and rows:
-                    yield book_of(name, rows)
-                    rows = []
-                name = b
-                rows.append((words, body or ""))
-        if rows:
-            yield book_of(name, rows)
-
-    usable = entries.where(F.size("headwords") > 0).select(F.col(book).alias("book"), "headwords", "body")
-    parts = usable.repartition("book").sortWithinPartitions("book").mapInArrow(made, "book string, part string, entries long, content binary")
-    parts.write.mode("overwrite").partitionBy("book").parquet(folder)
-    written = entries.sparkSession.read.parquet(folder)
-    return written.groupBy("book").agg(F.max("entries").alias("entries"), F.sum(F.octet_length("content")).alias("bytes"))
+    """Writes dictionaries of entries(book, headwords, body) as files and gives (book, entries, bytes), a row each."""
+    stardict.write(entries, folder, book)
+    return stardict.books(entries.sparkSession, folder).select("book", "entries", "bytes")
 
 
 def missing_books(expected: DataFrame, folder: str) -> DataFrame:
     """expected(book) of which a file is absent or empty, with what is there."""
-    found = expected.sparkSession.read.parquet(folder).where(F.octet_length("content") > 0).where("part <> 'syn'")
-    there = found.groupBy("book").agg(F.array_sort(F.collect_set("part")).alias("parts"))
-    return expected.join(there, "book", "left").where(F.coalesce(F.size("parts"), F.lit(0)) < 2)
+    there = stardict.books(expected.sparkSession, folder).select("book", "parts")
+    return expected.join(there, "book", "left").where(F.coalesce(F.size("parts"), F.lit(0)) < len(stardict.PARTS))
