@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
 from yearloom.operators import keys, matching
+from yearloom.sources import storage
 from yearloom.sources.archive import Archive
+from yearloom.sources.versions import Versioned
 
 from . import made
 from .registry import query
@@ -267,6 +269,26 @@ def replace_partition(a):
     return a.fields.join(old, "country_id", "left_anti").select("field_id", "content").unionByName(new)
 
 
+@over_archive("versioned_changes", """, f AS (SELECT field_id, f.country_id, field_name, year, master_id FROM fields f JOIN countries USING (country_id))
+SELECT field_id, year, CASE WHEN year = 1996 THEN upper(field_name) ELSE field_name END AS field_name, CASE WHEN master_id = 3 THEN 2 ELSE master_id END AS master_id FROM f WHERE year <> 1994""")
+def versioned_changes(a):
+    """A stored table after a year was deleted, another replaced, and an entity merged into another."""
+    rows = a.fields.join(a.countries.select("country_id", "year", "master_id"), "country_id").select("field_id", "year", "field_name", "master_id")
+    table = Versioned.create(rows, storage.new_folder(rows.sparkSession, "versions"))
+    table.delete([1994])
+    table.replace(table.read().where("year = 1996").withColumn("field_name", F.upper("field_name")))
+    table.update(F.col("master_id") == 3, {"master_id": F.lit(2).cast(dict(rows.dtypes)["master_id"])})
+    return table.read()
+
+
+@over_archive("scan_year_folder", "SELECT f.field_id, f.field_name FROM fields f JOIN countries c USING (country_id) WHERE c.year = 1997")
+def scan_year_folder(a):
+    """One year of an archive that is stored by year; only its folder is read."""
+    rows = a.fields.join(a.countries.select("country_id", "year"), "country_id").select("field_id", "field_name", "year")
+    table = Versioned.create(rows, storage.new_folder(rows.sparkSession, "years"))
+    return table.read().where("year = 1997").select("field_id", "field_name")
+
+
 @over_archive("merge_duplicate", """, src AS (SELECT f.*, g.title FROM fields f JOIN categories g USING (category_id) JOIN countries c ON c.country_id = f.country_id WHERE c.code = 'N03'),
 tgt AS (SELECT f.*, g.title, c.year FROM fields f JOIN categories g USING (category_id) JOIN countries c ON c.country_id = f.country_id WHERE c.code = 'N04')
 SELECT s.field_id, t.country_id FROM src s JOIN countries sc ON sc.country_id = s.country_id JOIN countries t ON t.code = 'N04' AND t.year = sc.year
