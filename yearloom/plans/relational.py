@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window as W
 
-from yearloom.operators import matching
+from yearloom.operators import correlation, matching
 from yearloom.sources.archive import VIEWS as V, Archive
 
 from .registry import query
@@ -490,3 +490,15 @@ def assignment_diff(a):
 def missing_years(a):
     expected = a.masters.select("code", "master_id", F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("year"))
     return expected.join(a.countries, ["master_id", "year"], "left_anti").select("code", "year")
+
+
+@query("correlations", """WITH a AS (SELECT l_partkey AS o, l_returnflag || m AS v, avg(CASE WHEN m = ' size' THEN l_quantity ELSE l_discount END) AS a FROM lineitem, (VALUES (' size'), (' cut')) t(m) GROUP BY 1, 2)
+SELECT x.v AS x, y.v AS y, count(*) AS n, round(corr(y.a, x.a), 6) AS corr, round(regr_slope(y.a, x.a), 6) AS slope, round(regr_intercept(y.a, x.a), 4) AS intercept
+FROM a x JOIN a y ON x.o = y.o AND x.v < y.v GROUP BY 1, 2""")
+def correlations(spark, sf_dir):
+    """How the measures of one kind of return go with those of another, over the parts that have both."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    each = F.array(*(F.struct(F.lit(m).alias("m"), F.col(c).cast("double").alias("a")) for m, c in ((" size", "l_quantity"), (" cut", "l_discount"))))
+    told = rows.select("l_partkey", "l_returnflag", F.inline(each)).select("l_partkey", F.concat("l_returnflag", "m").alias("v"), "a")
+    found = correlation.pairwise(told, "l_partkey", "v", "a", block=8)
+    return found.select("x", "y", "n", F.round("corr", 6).alias("corr"), F.round("slope", 6).alias("slope"), F.round("intercept", 4).alias("intercept"))
