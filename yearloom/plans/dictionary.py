@@ -51,11 +51,12 @@ def dict_files(a):
 
 
 @over_archive("dict_structured", EDITION + """, v AS (SELECT field_id, string_agg('<b>' || sub_field || '</b>: ' || format('{:,}', numeric_val::BIGINT) || ' ' || units || '<br>', chr(10) ORDER BY sub_field) AS lines FROM vals GROUP BY 1),
-g AS (SELECT country_id, field_name, any_value(name) AS name, arg_max(title, category_id) AS title, string_agg(lines, chr(10) ORDER BY category_id, field_id) AS lines
+g AS (SELECT country_id, field_name, any_value(name) AS name, any_value(codes) AS codes, arg_max(title, category_id) AS title, string_agg(lines, chr(10) ORDER BY category_id, field_id) AS lines, min({'c': category_id, 'f': field_id}) AS place
  FROM fields JOIN named USING (country_id) JOIN categories USING (category_id, country_id) JOIN v USING (field_id) GROUP BY 1, 2)
-SELECT name || ' - ' || field_name AS entry, '<i>' || name || '</i><br>' || chr(10) || '<small>' || title || '</small><br><br>' || chr(10) || lines AS body, country_id FROM g""")
+SELECT country_id, name || ' - ' || field_name AS entry, CASE WHEN row_number() OVER (PARTITION BY country_id ORDER BY place) = 1 THEN array_to_string(codes, ';') || ';' ELSE '' END
+ || array_to_string(list_transform(codes, lambda x: x || ' - ' || field_name), ';') AS headwords, '<i>' || name || '</i><br>' || chr(10) || '<small>' || title || '</small><br><br>' || chr(10) || lines AS body FROM g""")
 def dict_structured(a):
-    return shown(D.structured(a.countries, a.categories, a.fields, a.values, a.masters)).drop("headwords")
+    return shown(D.structured(a.countries, a.categories, a.fields, a.values, a.masters))
 
 
 @over_archive("dict_dedup", GENERAL + """, u AS (SELECT split_part(headwords, ';', 1) AS main, unnest(string_split(headwords, ';')) AS word FROM entries), w AS (SELECT main, count(DISTINCT word) AS words FROM u GROUP BY 1)

@@ -8,6 +8,7 @@ from yearloom.functions import subvalues, text as X
 from yearloom.operators import entities, inverted, layouts, names
 from yearloom.operators.inverted import All, Any, Not, Phrase, Prefix, Term
 
+from . import made
 from .registry import query
 from .relational import over_archive
 
@@ -62,6 +63,13 @@ def layout_dispatch(a):
     return a.countries.select("year", layouts.html_layout(F.col("year")).alias("layout")).distinct()
 
 
+@query("layout_years", f"{made.BASE} SELECT y AS year, CASE WHEN y < 2001 OR y > 2020 THEN 'classic' WHEN y <= 2008 THEN 'table' WHEN y <= 2014 THEN 'collapsiblepanel' WHEN y <= 2017 THEN 'expandcollapse' ELSE 'modern' END AS layout, count(*) AS n FROM base GROUP BY 1, 2")
+def layout_years(spark, sf_dir):
+    """The layout of pages of all years that an archive may have."""
+    years = made.texts(spark, sf_dir, "").select((1990 + F.col("k") % 36).cast("int").alias("year"))
+    return years.groupBy("year", layouts.html_layout(F.col("year")).alias("layout")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @over_archive("extract_area", r""", c AS (SELECT field_id, content, nullif(regexp_extract(content, '\((\d{4} est\.)\)', 1), '') AS d FROM fields WHERE content LIKE '%total%')
 SELECT field_id, 'total' AS sub_field, replace(regexp_extract(content, 'total: ([0-9,]+)', 1), ',', '')::DOUBLE AS numeric_val, NULL AS text_val, d AS date_est,
  TRY_CAST(nullif(regexp_extract(content, 'to the world: (\d+)', 1), '') AS INTEGER) AS rank FROM c

@@ -105,3 +105,27 @@ def _register(name: str, parser, content: str, found: list[tuple]) -> None:
 
 for _name, _case in CASES.items():
     _register(_name, *_case)
+
+
+def _canonical(parser) -> str:
+    """A field name that picks the parser; the generic one has none of its own."""
+    return next((n for n, p in S.PARSERS.items() if p is parser), "Field without a parser")
+
+
+_MIXED = " UNION ALL ".join(
+    f"SELECT k AS field_id, '{_canonical(parser)}' AS canonical, {_said(s)} AS sub_field, {_number(v)} AS numeric_val, {_said(u)} AS units, {_said(t)} AS text_val, {_said(d)} AS date_est, CAST({r or 'NULL'} AS INTEGER) AS rank FROM base WHERE k % {len(CASES)} = {i}"
+    for i, (parser, _, found) in enumerate(CASES.values())
+    for s, v, u, t, d, r in found
+)
+
+
+@query("extract_mixed", f"{made.BASE} {_MIXED}")
+def extract_mixed(spark, sf_dir):
+    """Fields of all parsers in one table, each by the parser of its name in one pass."""
+    i = F.col("k") % len(CASES)
+    name = F.get(F.array(*(F.lit(_canonical(p)) for p, *_ in CASES.values())), i.cast("int"))
+    content = F.lit(None).cast("string")
+    for at, (_, text, _) in enumerate(CASES.values()):
+        content = F.when(i == at, made.column(text)).otherwise(content)
+    fields = made.texts(spark, sf_dir, "").select(F.col("k").alias("field_id"), name.alias("canonical"), content.alias("content"))
+    return S.extract(fields, "canonical", "content").select("field_id", "canonical", "sub_field", "numeric_val", "units", "text_val", "date_est", "rank")
