@@ -207,13 +207,15 @@ def test_maximal_segments_against_brute_force():
 
 
 def test_toxicity_held_out(spark):
-    sf_dir = "/root/testdata/sf0.01"
+    """Most toxic documents that were held out are caught, and few others; saying "never" would be right for nine in ten."""
+    sf_dir = "/root/testdata/sf0.1"
     got = {r["doc_id"]: r for r in rows(QUERIES["op3_toxicity"](spark, sf_dir))}
     labels = {r["doc_id"]: r["toxic"] for r in load(spark, sf_dir, "labels")}
     for i, r in got.items():
         assert r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
     held = [(got[i]["predicted"], t) for i, t in labels.items() if got[i]["held_out"]]
-    assert sum(p == t for p, t in held) / len(held) > 0.9
+    caught, toxic, said = (sum(x) for x in zip(*((p & t, t, p) for p, t in held)))
+    assert toxic > 50 and caught / toxic > 0.85 and caught / said > 0.85
 
 
 def test_toxicity_odd(odd, none):
@@ -534,6 +536,18 @@ def test_url_filter(spark, sf_dir):
     assert {r["verdict"] for r in rows(url_filter.judge(df, "url", []))} == {"allow"}
 
 
+def test_url_filter_in_parts(spark, sf_dir, monkeypatch):
+    """More listed keys than one cascade holds are dealt to several, with the same verdicts."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    hosts = [f"h{i}.example{i % 7}.com" for i in range(40)] + ["com", "net", "org"]
+    rules = [url_filter.Rule("block" if i % 3 else "allow", h, "/en/"[: 1 + i % 4]) for i, h in enumerate(hosts)]
+    extra = spark.createDataFrame([(10_000 + i, f"https://x.{h}/en/{i}") for i, h in enumerate(hosts)], "page_id long, url string")
+    pages = pages.unionByName(extra)
+    whole = sorted(map(tuple, url_filter.judge(pages, "url", rules).collect()))
+    monkeypatch.setattr(url_filter, "MAX_LISTED", 9)
+    assert sorted(map(tuple, url_filter.judge(pages, "url", rules).collect())) == whole
+
+
 def test_url_filter_odd(spark):
     urls = ["http://a.example.com/en/7" + "x" * 200_000, "http://" + "a." * 50_000 + "net/de/", "http://example.net/de/8", "http://example.net/de/8", None]
     df = spark.createDataFrame([(i, u, "h", 1, 2.0, True) for i, u in enumerate(urls)], "page_id long, url string, Host string, path int, RULE double, verdict boolean")
