@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
-from yearloom.operators import keys, matching
+from yearloom.operators import changes, keys, matching
 from yearloom.sources import storage
 from yearloom.sources.archive import Archive
 from yearloom.sources.versions import Versioned
@@ -269,6 +269,18 @@ def replace_partition(a):
     return a.fields.join(old, "country_id", "left_anti").select("field_id", "content").unionByName(new)
 
 
+@over_archive("content_changes", r""", e AS (SELECT f.field_id, coalesce(content, '') AS old, lead(field_id) OVER w AS next_field_id, coalesce(lead(content) OVER w, '') AS new
+ FROM fields f JOIN countries c USING (country_id) JOIN categories USING (category_id, country_id) WINDOW w AS (PARTITION BY c.code, title, field_name ORDER BY c.year, field_id))
+SELECT field_id, next_field_id, len(regexp_extract_all(old, '\S+|\s+')) AS old_tokens, len(regexp_extract_all(new, '\S+|\s+')) AS new_tokens, md5(new) AS rebuilt FROM e WHERE next_field_id IS NOT NULL""")
+def content_changes(a):
+    """What changes from one edition of a field to the next; the later text is rebuilt from the earlier one."""
+    rows = a.fields.join(a.countries.select("country_id", "year", "code"), "country_id").join(a.categories.select("category_id", "title"), "category_id")
+    pairs = changes.consecutive(rows, ["code", "title", "field_name"], ["year", "field_id"], "field_id", "content")
+    told = changes.compared(pairs, "old", "new")
+    again = changes.rebuilt(F.col("old"), F.col("script"))
+    return told.select("field_id", "next_field_id", changes.tokens_of(F.col("script"), "=", "-").alias("old_tokens"), changes.tokens_of(F.col("script"), "=", "+").alias("new_tokens"), F.md5(again.cast("binary")).alias("rebuilt"))
+
+
 @over_archive("versioned_changes", """, f AS (SELECT field_id, f.country_id, field_name, year, master_id FROM fields f JOIN countries USING (country_id))
 SELECT field_id, year, CASE WHEN year = 1996 THEN upper(field_name) ELSE field_name END AS field_name, CASE WHEN master_id = 3 THEN 2 ELSE master_id END AS master_id FROM f WHERE year <> 1994""")
 def versioned_changes(a):
