@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window as W
 
-from yearloom.operators import correlation, matching
+from yearloom.operators import correlation, matching, network
 from yearloom.sources.archive import VIEWS as V, Archive
 
 from .registry import query
@@ -502,3 +502,21 @@ def correlations(spark, sf_dir):
     told = rows.select("l_partkey", "l_returnflag", F.inline(each)).select("l_partkey", F.concat("l_returnflag", "m").alias("v"), "a")
     found = correlation.pairwise(told, "l_partkey", "v", "a", block=8)
     return found.select("x", "y", "n", F.round("corr", 6).alias("corr"), F.round("slope", 6).alias("slope"), F.round("intercept", 4).alias("intercept"))
+
+
+def trade(spark, sf_dir):
+    """What customers of one nation buy from suppliers of another."""
+    read = lambda t, *c: spark.read.parquet(f"{sf_dir}/{t}.parquet").select(*c)
+    rows = read("lineitem", "l_orderkey", "l_suppkey", "l_quantity").join(read("orders", "o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = rows.join(read("customer", "c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(read("supplier", "s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return network.edges(rows, "c_nationkey", "s_nationkey", "l_quantity")
+
+
+@query("trade_ranks", """WITH RECURSIVE e AS (SELECT c_nationkey AS s, s_nationkey AS d, sum(l_quantity)::DOUBLE AS w FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
+ WHERE c_nationkey <> s_nationkey GROUP BY 1, 2), o AS (SELECT s, sum(w) AS t FROM e GROUP BY 1), nodes AS (SELECT s AS v FROM e UNION SELECT d FROM e), n AS (SELECT count(*)::DOUBLE AS n FROM nodes),
+r AS (SELECT 0 AS i, v, 1 / n AS x FROM nodes, n UNION ALL
+ SELECT r.i + 1, nodes.v, 0.15 / n + 0.85 * sum(CASE WHEN o.t IS NULL THEN x / n ELSE coalesce(w / t, 0) * x END) FROM nodes CROSS JOIN n CROSS JOIN r LEFT JOIN e ON e.s = r.v AND e.d = nodes.v LEFT JOIN o ON o.s = r.v WHERE r.i < 100 GROUP BY r.i, nodes.v, n)
+SELECT v AS node, round(x, 6) AS rank FROM r WHERE i = 100""")
+def trade_ranks(spark, sf_dir):
+    """Nations by where a walk along purchases ends up."""
+    return network.ranks(trade(spark, sf_dir), near=1e-8).select("node", F.round("rank", 6).alias("rank"))
