@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from yearloom.functions import text as X
-from yearloom.operators import dictionary as D, layouts
-from yearloom.sources import stardict, storage
+from yearloom.operators import booksets, dictionary as D, layouts
+from yearloom.sources import sinks, stardict, storage
 
 from .extraction import DECODED, PIPED
 from .registry import query
@@ -59,6 +61,62 @@ def dict_structured(a):
     return shown(D.structured(a.countries, a.categories, a.fields, a.values, a.masters))
 
 
+@over_archive("dict_overlap", GENERAL + """, w AS (SELECT DISTINCT country_id % 10000 AS book, unnest(string_split(headwords, ';')) AS word FROM entries), n AS (SELECT book, count(*) AS n FROM w GROUP BY 1),
+p AS (SELECT book, lead(book) OVER (ORDER BY book) AS next_book FROM n), s AS (SELECT book, next_book, count(*) AS shared FROM w JOIN p USING (book) WHERE (next_book, word) IN (SELECT (book, word) FROM w) GROUP BY 1, 2)
+SELECT p.book, p.next_book, coalesce(shared, 0) AS shared, a.n - coalesce(shared, 0) AS gone, b.n - coalesce(shared, 0) AS came, true AS near
+FROM p JOIN n a ON a.book = p.book JOIN n b ON b.book = p.next_book LEFT JOIN s ON s.book = p.book""")
+def dict_overlap(a):
+    """Headwords that each edition's dictionary shares with the next, and whether sketches of both say nearly the same."""
+    rows = general(a).select((F.col("place.country_id") % 10000).alias("book"), F.explode("headwords").alias("word"))
+    words = booksets.sets(rows, "book", "word")
+    pairs = booksets.followers(words)
+    told = booksets.sketched(words, pairs)
+    told = told.select("book", *(F.col(c).alias(f"_{c}") for c in ("shared", "gone", "came", "deviation")))
+    near = [booksets.within(F.col(f"_{c}"), F.col(c), F.col("_deviation")) for c in ("shared", "gone", "came")]
+    return booksets.exact(words, pairs).join(told, "book").select("book", "next_book", "shared", "gone", "came", (near[0] & near[1] & near[2]).alias("near"))
+
+
+@over_archive("dict_pair_checks", GENERAL + EDITION.replace(", named AS", ", named2 AS") + """, have AS (SELECT country_id % 10000 AS book, count(*) AS n FROM entries GROUP BY 1),
+stored AS (SELECT c.year AS book, count(DISTINCT (country_id, field_name)) AS n FROM fields JOIN countries c USING (country_id) WHERE master_id IS NOT NULL AND trim(content) <> '' GROUP BY 1),
+v AS (SELECT field_id FROM vals GROUP BY 1), st AS (SELECT DISTINCT country_id, name || ' - ' || field_name AS entry FROM fields JOIN named2 USING (country_id) JOIN v USING (field_id)),
+iso AS (SELECT country_id, iso2 FROM countries JOIN masters e USING (master_id) WHERE iso2 IS NOT NULL)
+SELECT unnest(['count', 'subset', 'iso', 'files', 'round_trip']) AS "check", unnest([
+ (SELECT count(*) FROM stored LEFT JOIN have USING (book) WHERE abs(coalesce(have.n, 0) - stored.n) > greatest(5, stored.n / 100)),
+ (SELECT count(*) FROM st WHERE (country_id, entry) NOT IN (SELECT (country_id, entry) FROM entries)),
+ (SELECT count(*) FROM iso WHERE country_id IN (SELECT country_id FROM entries) AND (country_id, iso2) NOT IN (SELECT (country_id, unnest(string_split(headwords, ';'))) FROM entries)), 0, 0]) AS observed""")
+def dict_pair_checks(a):
+    """Checks of dictionaries against the archive, each other and their files: books whose number of entries isn't that
+    of the fields stored, structured entries that the general one lacks, ISO codes that are no headword, books with
+    missing files, and entries that files don't give back."""
+    spark, years = a.fields.sparkSession, (F.col("place.country_id") % 10000).alias("book")
+    # Five checks read the entries; they are made once.
+    kept = storage.new_folder(spark, "entries")
+    general(a).write.parquet(kept)
+    plain = spark.read.parquet(kept)
+    entries = shown(plain)
+    have = plain.groupBy(years).agg(F.count(F.lit(1)).alias("n"))
+    linked = a.countries.where("master_id IS NOT NULL").select("country_id", F.col("year").alias("book"))
+    stored = a.fields.where(F.trim("content") != "").join(linked, "country_id").select("book", "country_id", "field_name").distinct().groupBy("book").agg(F.count(F.lit(1)).alias("stored"))
+    off = stored.join(have, "book", "left").where(F.abs(F.coalesce("n", F.lit(0)) - F.col("stored")) > F.greatest(F.lit(5), F.col("stored") / 100))
+    structured = shown(D.structured(a.countries, a.categories, a.fields, a.values, a.masters)).select("country_id", "entry")
+    lacking = structured.join(entries.select("country_id", "entry"), ["country_id", "entry"], "left_anti")
+    words = plain.select("place.country_id", F.explode("headwords").alias("iso2")).distinct()
+    iso = a.countries.join(a.masters.where("iso2 IS NOT NULL").select("master_id", "iso2"), "master_id").join(entries.select("country_id"), "country_id", "left_semi")
+    folder = storage.new_folder(spark, "books")
+    books = plain.select(years.cast("string").alias("book"), "headwords", "body")
+    stardict.write(books, folder)
+    same = lambda df: df.select("book", F.array_join(F.array_sort("headwords"), ";").alias("headwords"), "body")
+    found = {
+        "count": off,
+        "subset": lacking,
+        "iso": iso.join(words, ["country_id", "iso2"], "left_anti"),
+        "files": sinks.missing_books(books.select("book").distinct(), folder),
+        "round_trip": same(books).exceptAll(same(stardict.read(spark, folder))),
+    }
+    parts = [df.agg(F.count(F.lit(1)).alias("observed")).select(F.lit(name).alias("check"), "observed") for name, df in found.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @over_archive("dict_dedup", GENERAL + """, u AS (SELECT split_part(headwords, ';', 1) AS main, unnest(string_split(headwords, ';')) AS word FROM entries), w AS (SELECT main, count(DISTINCT word) AS words FROM u GROUP BY 1)
 SELECT main, words, string_agg(body, chr(10) ORDER BY country_id, place) AS body FROM entries JOIN w ON main = split_part(headwords, ';', 1) GROUP BY 1, 2""")
 def dict_dedup(a):
