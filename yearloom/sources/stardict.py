@@ -300,6 +300,13 @@ class Source(DataSource):
         return Writer(self.options["path"], overwrite)
 
 
+def _known(spark: SparkSession) -> None:
+    """Makes the format known to a session.  Formats are looked up in the active session of a thread, which a thread of the
+    caller's own doesn't have."""
+    spark.dataSource.register(Source)
+    spark._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession(spark._jsparkSession)
+
+
 def write(entries: DataFrame, folder: str, book: str = "book", mode: str = "overwrite") -> None:
     """Dictionaries of entries(book, headwords, body), a book's words in the byte order of their lower-cased form.
 
@@ -307,7 +314,7 @@ def write(entries: DataFrame, folder: str, book: str = "book", mode: str = "over
     empty, and equal headwords stay.  A book is the work of one task, as the format makes it one stream of at most 2 GB;
     its synonyms are sorted beside its entries, so that a task holds one entry at a time.
     """
-    entries.sparkSession.dataSource.register(Source)
+    _known(entries.sparkSession)
     usable = entries.where(F.size("headwords") > 0).select(F.col(book).cast("string").alias("book"), "headwords", "body").where("book IS NOT NULL").repartition("book")
     word = F.get("headwords", F.lit(0))
     n = F.row_number().over(W.partitionBy("book").orderBy(F.lower(word), word, "body")) - 1
@@ -324,7 +331,7 @@ def write(entries: DataFrame, folder: str, book: str = "book", mode: str = "over
 
 def read(spark: SparkSession, folder: str, book: str | None = None, split: int = SPLIT) -> DataFrame:
     """(book, n, headwords, body) of the dictionaries in a folder, or of one book."""
-    spark.dataSource.register(Source)
+    _known(spark)
     reader = spark.read.format("stardict").option("split", split)
     return (reader if book is None else reader.option("book", book)).load(folder)
 
