@@ -76,3 +76,15 @@ def test_commits(spark, tmp_path):
 def test_no_books(spark, tmp_path):
     stardict.write(spark.createDataFrame([], SCHEMA), str(tmp_path))
     assert stardict.read(spark, str(tmp_path)).count() == 0 and stardict.books(spark, str(tmp_path)).count() == 0
+
+
+def test_from_another_thread(spark, tmp_path):
+    """A thread of the caller's own has no active session, by which formats are looked up."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def turn(k):
+        stardict.write(spark.createDataFrame(BOOKS, SCHEMA), str(tmp_path / str(k)))
+        return held(stardict.read(spark, str(tmp_path / str(k))))
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(turn, range(2))) == [want(BOOKS)] * 2
