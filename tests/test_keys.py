@@ -57,3 +57,30 @@ def test_no_window_over_the_whole_table(spark, sf_dir):
     # What is not partitioned are the windows over a row for each range.
     assert plan.count("Exchange SinglePartition") <= plan.count("Window")
     assert all("_range" in w for w in plan.split("\n") if "Window [" in w)
+
+
+def test_a_value_of_many_rows_is_cut(spark):
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = keys.dealt(df, [F.col("v")]).where("v = -1").groupBy("_range").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(rows) > 1 and sum(r["count"] for r in rows) == df.where("v = -1").count()
+    maps = df.select(F.create_map("id", "v").alias("m"), "id")
+    assert keys.numbered(maps, ["id"], "n").where("n <> id + 1").count() == 0
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_ranks_within_groups(spark, ascending):
+    r = random.Random(8)
+    rows = [(i, r.choice(["hot", "hot", "hot", "b", None]), r.choice([1, 2]), r.choice([None, 0.5, 1.5, r.random()])) for i in range(900)] + [(900, "alone", 1, None)]
+    df = spark.createDataFrame(rows, "id long, g string, h int, v double").repartition(5)
+    got = {x["id"]: (x["rank"], x["dense_rank"]) for x in keys.ranked_within(df, ["g", "h"], F.col("v"), ascending).collect()}
+    df.createOrReplaceTempView("grouped_rows")
+    order = "v" if ascending else "v DESC"
+    want = spark.sql(f"SELECT id, rank() OVER w AS a, dense_rank() OVER w AS b FROM grouped_rows WINDOW w AS (PARTITION BY g, h ORDER BY {order})").collect()
+    assert got == {x["id"]: (x["a"], x["b"]) for x in want} and len(got) == 901
+    named = df.withColumnRenamed("v", "_by").withColumn("rank", F.lit("old"))
+    assert keys.ranked_within(named, ["g"], F.col("_by")).columns == ["id", "g", "h", "_by", "rank", "dense_rank"]
+    assert keys.ranked_within(df.limit(0), ["g"], F.col("v")).count() == 0

@@ -24,7 +24,12 @@ def fresh(df: DataFrame, stem: str) -> str:
 
 
 def dealt(df: DataFrame, order: list[Column]) -> DataFrame:
-    """df in ranges of the order: with _range, and _place from 0 on in it."""
+    """df in ranges of the order: with _range, and _place from 0 on in it.
+
+    Rows that are equal in the order go by a hash of the whole row, so that a key of many rows is cut into several ranges.
+    """
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    order = [*order, F.xxhash64(*hashed)] if hashed else order
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(PLACE, F.monotonically_increasing_id())
     placed = placed.withColumns({RANGE: F.shiftright(PLACE, 33).cast("int"), PLACE: F.col(PLACE).bitwiseAND((1 << 33) - 1)})
     folder = storage.new_folder(df.sparkSession, "dealt")
@@ -92,3 +97,17 @@ def ranked(df: DataFrame, by: Column, tiles: int = 4, ascending: bool = True) ->
         (F.col("_seen") + F.col("_values")).alias("dense_rank"),
         (tile + 1).cast("int").alias("tile"),
     )
+
+
+def ranked_within(df: DataFrame, group: list[str], by: Column, ascending: bool = True) -> DataFrame:
+    """df with rank and dense_rank within groups of any size, ties and all; null values come first, last if not ascending.
+
+    All groups are ranked as one order, by group and then value, so a group that holds most rows is dealt like any other;
+    a group's own ranks start where its first row stands.  Null is a group too.
+    """
+    key = fresh(df, "_by")
+    rows = ranked(df.withColumn(key, by), F.struct(*group, key), 1, ascending).drop("tile")
+    starts = rows.groupBy(*(F.col(c).alias(f"_g{i}") for i, c in enumerate(group))).agg(F.min("rank").alias("_rank"), F.min("dense_rank").alias("_dense"))
+    same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)]
+    own = rows.join(starts, same).withColumns({"rank": F.col("rank") - F.col("_rank") + 1, "dense_rank": F.col("dense_rank") - F.col("_dense") + 1})
+    return own.select(*(c for c in df.columns if c.lower() not in ("rank", "dense_rank")), "rank", "dense_rank")
