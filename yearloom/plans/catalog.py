@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import dictionary, extraction, named, parsers, relational, shapes  # noqa: F401
+from . import dictionary, extraction, indicators, named, parsers, relational, shapes  # noqa: F401
