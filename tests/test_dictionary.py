@@ -52,3 +52,43 @@ def test_all_editions(spark):
     more = spark.createDataFrame([(30, 3, "Geo")], categories.schema), spark.createDataFrame([(300, 30, 3, "Area", "4")], fields.schema)
     got = D.general(countries, categories.union(more[0]), fields.union(more[1]), masters).groupBy("place.country_id").count().collect()
     assert {r["country_id"]: r["count"] for r in got} == {1: 2, 2: 1, 3: 1}
+
+
+def books(spark):
+    rows = [
+        ("1990", ["Old Land", "OL", "Old Land - Area"], "<i>Old Land</i> total 5 % 100"), ("1990", ["Old Land - Coast"], None), ("1990", [], "nobody's"),
+        ("1990", ["New - Area"], "a\nb"), ("2000", ["New", "New - Area"], "<b>total</b>: 7<br>"), ("2000", ["New", "New - Area"], "twice"),
+    ]
+    return spark.createDataFrame(rows, "book string, headwords array<string>, body string")
+
+
+def test_truths(spark):
+    rows = [
+        ("1990", "Old Land - Area", "5 % 100", True), ("1990", "OL", "total", True), ("1990", "Old Land", "nothing", False), ("1990", "Old Land - Coast", "x", False), ("1990", "Old Land - Coast", "", True),
+        ("1990", "New - Area", None, True), ("2000", "New", "twice", True), ("2000", "New - Area", "total", True), ("2000", "Old Land", "", False), ("1990", None, "x", False), ("1990", "OL", "total", True),
+    ]
+    truths = spark.createDataFrame([x[:3] for x in rows], "book string, headword string, needle string")
+    told = D.truths_told(books(spark), truths)
+    assert told.columns == ["book", "headword", "needle", "ok"]
+    assert sorted(map(str, (tuple(r) for r in told.collect()))) == sorted(map(str, rows))
+    assert D.truths_told(books(spark).limit(0), truths).where("ok").count() == 0 and D.truths_told(books(spark), truths.limit(0)).count() == 0
+
+
+def test_sub_fields(spark):
+    entries = spark.createDataFrame([("Area", "<b>total</b>: 1<br>\n<b>a &lt; b</b>: 2<br>"), ("Area", "<b>land</b>: 1<br>"), ("Coast", None), (None, "x")], "field_name string, body string")
+    asked = spark.createDataFrame([("Area", "total"), ("Area", "a < b"), ("Area", "water"), ("None", "total")], "field_name string, sub_field string")
+    got = sorted(map(tuple, D.sub_fields_told(entries, asked).collect()))
+    assert got == [("Area", "a < b", 2, 1), ("Area", "total", 2, 1), ("Area", "water", 2, 2), ("None", "total", 0, 0)]
+
+
+def test_names_apart(spark):
+    expected = spark.createDataFrame([("1990", "Old Land"), ("1990", "Old Land"), ("1990", "Gone"), ("2000", "New"), ("2010", "Later"), (None, "x"), ("1990", None)], "book string, name string")
+    got = sorted(map(tuple, D.names_apart(books(spark), expected).collect()))
+    assert got == [("1990", "Gone", "lacking"), ("1990", "New", "added"), ("2010", "Later", "lacking")]
+    assert D.names_apart(books(spark).limit(0), expected.limit(0)).count() == 0
+
+
+def test_alike(spark):
+    first = spark.createDataFrame([("a", "x", "1"), ("a", "y", "2"), ("a", "z", None), ("b", "x", "1"), ("c", "x", "1")], "book string, entry string, body string")
+    second = spark.createDataFrame([("a", "x", "1"), ("a", "y", "3"), ("a", "z", None), ("b", "x", ""), ("d", "x", "1")], first.schema)
+    assert sorted(map(tuple, D.alike(first, second).collect())) == [("a", 3, 2), ("b", 1, 0)]

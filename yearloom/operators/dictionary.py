@@ -97,3 +97,48 @@ def checks(entries: DataFrame, shortest: int = 30, book: Column | None = None) -
     }
     one = entries.agg(*(c.alias(n) for n, c in told.items()))
     return one.unpivot([], list(told), "check", "observed").union(doubled)
+
+
+def truths_told(entries: DataFrame, truths: DataFrame) -> DataFrame:
+    """truths(book, headword, needle) with ok: whether an entry of that headword, be it its first or another, has the needle
+    in its body.  An empty or null needle asks for the entry only; a headword that the book lacks fails.
+
+    entries has book, headwords and body.  Bodies go along with each of their headwords, so truths should be few or sorted
+    out by book first.
+    """
+    words = entries.select("book", F.explode(F.array_distinct("headwords")).alias("headword"), "body")
+    needle = F.coalesce("needle", F.lit(""))
+    asked = truths.select("book", "headword", needle.alias("needle")).distinct()
+    found = asked.join(words, ["book", "headword"]).groupBy("book", "headword", "needle").agg(F.max(F.contains(F.coalesce("body", F.lit("")), F.col("needle"))).alias("_ok"))
+    rows = truths.withColumn("_needle", needle).join(found.withColumnRenamed("needle", "_needle"), ["book", "headword", "_needle"], "left")
+    return rows.select(*truths.columns, F.coalesce("_ok", F.lit(False)).alias("ok"))
+
+
+def sub_fields_told(entries: DataFrame, asked: DataFrame) -> DataFrame:
+    """asked(field_name, sub_field) with entries and lacking: structured entries of the field, and those without a line for
+    the sub-field.  entries has field_name and body."""
+    line = F.concat(F.lit("<b>"), X.escaped(F.col("sub_field")), F.lit("</b>: "))
+    n = asked.join(entries, "field_name").groupBy("field_name", "sub_field").agg(F.count(F.lit(1)).alias("entries"), F.count_if(~F.contains(F.coalesce("body", F.lit("")), line)).alias("lacking"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return asked.join(n, ["field_name", "sub_field"], "left").select("field_name", "sub_field", zero("entries"), zero("lacking"))
+
+
+def names(entries: DataFrame) -> DataFrame:
+    """(book, name): the countries of a book, by what stands before " - " in an entry's first headword."""
+    return entries.select("book", F.substring_index(F.get("headwords", F.lit(0)), " - ", 1).alias("name")).distinct()
+
+
+def names_apart(entries: DataFrame, expected: DataFrame) -> DataFrame:
+    """(book, name, side): names of expected(book, name) that a book lacks ("lacking"), and names that only the book has
+    ("added").  Nulls are left out."""
+    sides = names(entries).withColumn("_in", F.lit(1)).unionByName(expected.select("book", "name").distinct().withColumn("_in", F.lit(2)))
+    told = sides.where("book IS NOT NULL AND name IS NOT NULL").groupBy("book", "name").agg(F.sum("_in").alias("_in"))
+    return told.where("_in < 3").select("book", "name", F.when(F.col("_in") == 2, "lacking").otherwise("added").alias("side"))
+
+
+def alike(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(book, shared, equal) of two dictionaries(book, entry, body) of the same books: entries in both, and those with the
+    same body in both.  Bodies are compared as digests, which is all that is shuffled of them."""
+    side = lambda df, c: df.select("book", "entry", F.sha2("body", 256).alias(c))
+    both = side(first, "a").join(side(second, "b"), ["book", "entry"])
+    return both.groupBy("book").agg(F.count(F.lit(1)).alias("shared"), F.count_if(F.col("a").eqNullSafe(F.col("b"))).alias("equal"))

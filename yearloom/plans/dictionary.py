@@ -117,6 +117,78 @@ def dict_pair_checks(a):
     return reduce(DataFrame.unionByName, parts)
 
 
+LINES = """, v AS (SELECT field_id, string_agg('<b>' || sub_field || '</b>: ' || format('{:,}', numeric_val::BIGINT) || ' ' || units || '<br>', chr(10) ORDER BY sub_field) AS lines FROM vals GROUP BY 1),
+sg AS (SELECT country_id, field_name, any_value(name) AS name, arg_max(title, category_id) AS title, string_agg(lines, chr(10) ORDER BY category_id, field_id) AS lines
+ FROM fields JOIN named USING (country_id) JOIN categories USING (category_id, country_id) JOIN v USING (field_id) GROUP BY 1, 2),
+lined AS (SELECT country_id, field_name, name || ' - ' || field_name AS entry, '<i>' || name || '</i><br>' || chr(10) || '<small>' || title || '</small><br><br>' || chr(10) || lines AS body FROM sg)
+"""
+TRUTHS = """, t AS (SELECT country_id % 10000 AS book, name || ' - ' || field_name AS entry, CASE WHEN is_computed = 1 THEN 'computed ' ELSE '' END || source_fragment AS needle
+ FROM vals JOIN fields USING (field_id) JOIN named USING (country_id))
+"""
+
+
+def by_book(entries):
+    """Entries with their book, the edition whose year ends the key of its countries."""
+    return entries.select((F.col("place.country_id") % 10000).alias("book"), "headwords", "body")
+
+
+def truths(a):
+    """What the stored values say must stand in the entries of their fields; computed ones say that they are, which no body has."""
+    rows = a.values.select("field_id", F.concat(F.when(F.col("is_computed") == 1, "computed ").otherwise(""), "source_fragment").alias("needle"))
+    rows = rows.join(a.fields.select("field_id", "country_id", "field_name"), "field_id").join(a.countries.where("master_id IS NOT NULL").select("country_id", "name"), "country_id")
+    return rows.select((F.col("country_id") % 10000).alias("book"), F.concat_ws(" - ", "name", "field_name").alias("headword"), "needle")
+
+
+@over_archive("dict_truths", GENERAL + TRUTHS + """SELECT book, count(*) AS truths, count(*) FILTER (NOT coalesce(contains(body, needle), false)) AS untold
+FROM t LEFT JOIN (SELECT country_id % 10000 AS book, entry, body FROM entries) USING (book, entry) GROUP BY 1""")
+def dict_truths(a):
+    """Stored values against the bodies of each book."""
+    told = D.truths_told(by_book(general(a)), truths(a))
+    return told.groupBy("book").agg(F.count(F.lit(1)).alias("truths"), F.count_if(~F.col("ok")).alias("untold"))
+
+
+ASKED = [("1-URGENT", "total"), ("1-URGENT", "land"), ("2-HIGH", "water"), ("no such field", "total")]
+
+
+@over_archive("dict_edition_checks", GENERAL + LINES + """, asked(field_name, sub_field) AS (VALUES ('1-URGENT', 'total'), ('1-URGENT', 'land'), ('2-HIGH', 'water'), ('no such field', 'total')),
+have AS (SELECT DISTINCT country_id % 10000 AS book, name FROM g), stored AS (SELECT DISTINCT c.year AS book, c.name FROM fields JOIN countries c USING (country_id) WHERE master_id IS NOT NULL AND trim(content) <> ''),
+past AS (SELECT year AS book, name FROM countries WHERE year = (SELECT min(year) FROM countries)),
+both_have AS (SELECT e.body AS a, l.body AS b FROM entries e JOIN lined l USING (country_id, entry))
+SELECT unnest(['sub_fields', 'names', 'past', 'shared', 'equal']) AS "check", unnest([
+ (SELECT count(*) FROM asked JOIN lined USING (field_name) WHERE NOT contains(body, '<b>' || sub_field || '</b>: ')),
+ (SELECT count(*) FROM ((SELECT * FROM have EXCEPT SELECT * FROM stored) UNION ALL (SELECT * FROM stored EXCEPT SELECT * FROM have))),
+ (SELECT count(*) FROM (SELECT * FROM past EXCEPT SELECT * FROM have)),
+ (SELECT count(*) FROM both_have), (SELECT count(*) FROM both_have WHERE a = b)]) AS observed""")
+def dict_edition_checks(a):
+    """Checks of what editions say: structured entries without a sub-field that is asked of their field, names that only the
+    archive or only a book has, names of the first edition that its book lacks, entries that the general and the structured
+    book share, and those that are the same in both."""
+    spark = a.fields.sparkSession
+    # Four checks read the entries; they are made once.
+    folders = [storage.new_folder(spark, "entries") for _ in range(2)]
+    general(a).write.parquet(folders[0])
+    D.structured(a.countries, a.categories, a.fields, a.values, a.masters).write.parquet(folders[1])
+    plain, lined = (spark.read.parquet(f) for f in folders)
+    books = by_book(plain)
+    asked = spark.createDataFrame(ASKED, "field_name string, sub_field string")
+    linked = a.countries.where("master_id IS NOT NULL").select("country_id", F.col("year").alias("book"), "name")
+    stored = a.fields.where(F.trim("content") != "").select("country_id").distinct().join(linked, "country_id")
+    oldest = a.countries.agg(F.min("year")).scalar()
+    past = a.countries.where(F.col("year") == oldest).select(F.col("year").alias("book"), "name")
+    keyed = [shown(x).select(F.col("country_id").alias("book"), "entry", "body") for x in (plain, lined)]
+    both = D.alike(*keyed)
+    total = lambda df, c: df.agg(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias("observed"))
+    field = shown(lined).select(F.regexp_replace("entry", "^.*? - ", "").alias("field_name"), "body")
+    found = {
+        "sub_fields": total(D.sub_fields_told(field, asked), "lacking"),
+        "names": total(D.names_apart(books, stored).withColumn("n", F.lit(1)), "n"),
+        "past": total(D.names_apart(books, past).where("side = 'lacking'").withColumn("n", F.lit(1)), "n"),
+        "shared": total(both, "shared"),
+        "equal": total(both, "equal"),
+    }
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("check"), "observed") for name, df in found.items()])
+
+
 @over_archive("dict_dedup", GENERAL + """, u AS (SELECT split_part(headwords, ';', 1) AS main, unnest(string_split(headwords, ';')) AS word FROM entries), w AS (SELECT main, count(DISTINCT word) AS words FROM u GROUP BY 1)
 SELECT main, words, string_agg(body, chr(10) ORDER BY country_id, place) AS body FROM entries JOIN w ON main = split_part(headwords, ';', 1) GROUP BY 1, 2""")
 def dict_dedup(a):
