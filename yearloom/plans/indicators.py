@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from yearloom.operators import indicators as I
+from yearloom.operators import indicators as I, memberships as M
 from yearloom.sources.archive import Archive, VIEWS
 
 from .registry import query
@@ -76,3 +76,39 @@ def region_rollup(spark, sf_dir):
     nation, region = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("nation", "region"))
     regions = nation.join(region, F.col("r_regionkey") == F.col("n_regionkey")).select(F.col("n_nationkey").alias("master_id"), F.col("r_name").alias("region"))
     return I.rolled_up(series(a), regions, a.masters, a.countries.agg(F.max("year")).scalar())
+
+
+ORGS = """WITH m AS (SELECT DISTINCT c_nationkey AS master_id, year(o_orderdate) AS year, 'Body ' || l_suppkey AS organisation, CASE WHEN l_suppkey % 5 = 0 THEN 'observer' ELSE 'member' END AS standing
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+own AS (SELECT *, row_number() OVER w AS pos, lead(year) OVER w AS next_year FROM (SELECT DISTINCT master_id, year FROM m) WINDOW w AS (PARTITION BY master_id ORDER BY year)),
+p AS (SELECT master_id, organisation, year, pos, next_year, lag(pos) OVER w AS before, lead(pos) OVER w AS after FROM m JOIN own USING (master_id, year) WINDOW w AS (PARTITION BY master_id, organisation ORDER BY pos)),
+moves AS (SELECT master_id, organisation, year, 'joined' AS move FROM p WHERE pos > 1 AND coalesce(before <> pos - 1, true)
+ UNION ALL SELECT master_id, organisation, next_year, 'left' FROM p WHERE next_year IS NOT NULL AND coalesce(after <> pos + 1, true))
+"""
+
+
+def told_memberships(spark, sf_dir):
+    """Memberships read back from contents: each order lists its suppliers as bodies that the customer's nation belongs to."""
+    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    name = F.concat(F.lit("Body "), F.col("l_suppkey").cast("string"), F.when(F.col("l_suppkey") % 5 == 0, " (observer)").otherwise(""))
+    # An order has few lines.
+    contents = read("lineitem").groupBy("l_orderkey").agg(F.concat(F.array_join(F.collect_list(name), ", "), F.lit(" note: as told, by order")).alias("content"))
+    orders = read("orders").join(read("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    fields = contents.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("c_nationkey").alias("master_id"), F.year("o_orderdate").alias("year"), "content")
+    return M.listed(fields)
+
+
+@query("org_moves", ORGS + "SELECT * FROM moves")
+def org_moves(spark, sf_dir):
+    """Who joined or left which body when."""
+    m = told_memberships(spark, sf_dir)
+    return M.moves(m, m)
+
+
+@query("org_sizes", ORGS + """, u AS (SELECT organisation, year, (standing = 'member')::INTEGER AS m, (standing <> 'member')::INTEGER AS o, 0 AS j, 0 AS l FROM m
+ UNION ALL SELECT organisation, year, 0, 0, (move = 'joined')::INTEGER, (move = 'left')::INTEGER FROM moves)
+SELECT organisation, year, sum(m)::BIGINT AS members, sum(o)::BIGINT AS others, sum(j)::BIGINT AS joined, sum(l)::BIGINT AS "left" FROM u GROUP BY 1, 2""")
+def org_sizes(spark, sf_dir):
+    """Bodies by year: members, others, and who came and went."""
+    m = told_memberships(spark, sf_dir)
+    return M.sizes(m, M.moves(m, m))
