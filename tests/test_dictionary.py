@@ -74,6 +74,29 @@ def test_truths(spark):
     assert D.truths_told(books(spark).limit(0), truths).where("ok").count() == 0 and D.truths_told(books(spark), truths.limit(0)).count() == 0
 
 
+def test_many_truths(spark, monkeypatch):
+    """Many needles of a headword are dealt in portions, and found without one being compared with the body each."""
+    monkeypatch.setattr(D, "PORTION", 1000)
+    monkeypatch.setattr(D.matching, "BLOCK", 512)
+    body = "é".join(f"total: {i * 7919 % 100003} km" for i in range(6000))
+    entries = spark.createDataFrame([("b", ["x", "y"], body), ("b", ["y"], "z"), ("b", ["unasked"], None)], "book string, headwords array<string>, body string")
+    asked = [f"total: {i} km" for i in range(5000)] + ["z", "", None, body, body + "!"]
+    truths = spark.createDataFrame([("b", h, n) for h in "xy" for n in asked] + [("c", "x", ""), (None, "x", "")], "book string, headword string, needle string")
+    got = D.truths_told(entries, truths)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(str((b, h, n, b == "b" and ((n or "") in body or h == "y" and n == "z"))) for b, h, n in truths.collect())
+    assert "CoGroup" in got._jdf.queryExecution().toString()
+
+
+def test_inside():
+    import random
+
+    rng = random.Random(5)
+    text = "".join(rng.choice("abé") for _ in range(5000))
+    needles = ["".join(rng.choice("abé") for _ in range(rng.choice([1, 3, 7, 9]))) for _ in range(800)] + ["", text, text + "a"]
+    assert D.matching.inside(text, needles) == {n for n in needles if n in text}
+    assert D.matching.inside("", needles) == {""}
+
+
 def test_sub_fields(spark):
     entries = spark.createDataFrame([("Area", "<b>total</b>: 1<br>\n<b>a &lt; b</b>: 2<br>"), ("Area", "<b>land</b>: 1<br>"), ("Coast", None), (None, "x")], "field_name string, body string")
     asked = spark.createDataFrame([("Area", "total"), ("Area", "a < b"), ("Area", "water"), ("None", "total")], "field_name string, sub_field string")

@@ -6,14 +6,19 @@ first entry also has its bare names, ahead of the others.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window as W
 
 from yearloom.functions import text as X
+from yearloom.sources import storage
 
+from . import matching
 from .entities import headwords
+from .keys import fresh
 
 LONGEST = 500
+#: Needles that a body meets in one task.
+PORTION = 100_000
 
 
 def _edition(countries: DataFrame, masters: DataFrame, year: int | None) -> DataFrame:
@@ -103,15 +108,37 @@ def truths_told(entries: DataFrame, truths: DataFrame) -> DataFrame:
     """truths(book, headword, needle) with ok: whether an entry of that headword, be it its first or another, has the needle
     in its body.  An empty or null needle asks for the entry only; a headword that the book lacks fails.
 
-    entries has book, headwords and body.  Bodies go along with each of their headwords, so truths should be few or sorted
-    out by book first.
+    entries has book, headwords and body.  A body meets all needles of its headword in one task, PORTION of them at a time,
+    and is read once for each length that they have; bodies go along with the headwords that are asked for only.
     """
-    words = entries.select("book", F.explode(F.array_distinct("headwords")).alias("headword"), "body")
-    needle = F.coalesce("needle", F.lit(""))
-    asked = truths.select("book", "headword", needle.alias("needle")).distinct()
-    found = asked.join(words, ["book", "headword"]).groupBy("book", "headword", "needle").agg(F.max(F.contains(F.coalesce("body", F.lit("")), F.col("needle"))).alias("_ok"))
-    rows = truths.withColumn("_needle", needle).join(found.withColumnRenamed("needle", "_needle"), ["book", "headword", "_needle"], "left")
-    return rows.select(*truths.columns, F.coalesce("_ok", F.lit(False)).alias("ok"))
+    import pyarrow as pa
+
+    spark, keys = truths.sparkSession, ["book", "headword"]
+    part = fresh(truths, "_part")
+    told = F.col("book").isNotNull() & F.col("headword").isNotNull()
+    # Written, so that what is asked for is made once and its size is known to the joins.
+    folder = storage.new_folder(spark, "asked")
+    truths.where(told).groupBy(*keys).agg((F.floor(F.count(F.lit(1)) / PORTION) + 1).alias("parts")).write.parquet(folder)
+    asked = spark.read.parquet(folder)
+    words = entries.select("book", F.explode(F.array_distinct("headwords")).alias("headword"), "body").join(asked, keys)
+    upto = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    words = words.select(*keys, F.explode(upto).alias(part), F.coalesce("body", F.lit("")).alias("body"))
+    rows = truths.where(told).join(asked.withColumnRenamed("parts", part), keys).select(*truths.columns, part)
+    rows = rows.withColumn(part, F.pmod(F.xxhash64(F.coalesce("needle", F.lit(""))), F.col(part)))
+    names, at = truths.columns, truths.columns.index("needle")
+
+    def meet(asked: pa.Table, known: pa.Table) -> pa.Table:
+        needles = [n or "" for n in asked.column(at).to_pylist()]
+        found, left = set(), set(needles)
+        for body in known.column("body").to_pylist():
+            found |= matching.inside(body, list(left))
+            left -= found
+        return asked.select(names).append_column("ok", pa.array([n in found for n in needles], pa.bool_()))
+
+    schema = T.StructType([*truths.schema]).add("ok", "boolean")
+    by = [*keys, part]
+    met = rows.groupBy(*by).cogroup(words.groupBy(*by)).applyInArrow(meet, schema)
+    return met.unionByName(truths.where(~told).withColumn("ok", F.lit(False)))
 
 
 def sub_fields_told(entries: DataFrame, asked: DataFrame) -> DataFrame:

@@ -94,6 +94,61 @@ def containing(texts: DataFrame, text: str, names: DataFrame, name: str, both: b
     return asked.groupBy(part, portion).cogroup(many.groupBy(part, portion)).applyInArrow(meet, schema)
 
 
+#: Needles of one length that are looked for one by one, and places of a text that are hashed at once.
+FEW, BLOCK = 8, 1 << 20
+
+
+def inside(text: str, needles: list[str]) -> set[str]:
+    """Which needles stand in the text.  Those of a length are told by hashes of all runs of that length, made in one pass;
+    what a hash finds is compared, so time grows with the text times the lengths that occur, not the needles."""
+    import numpy as np
+
+    body, sizes, found = text.encode(), {}, set()
+    for n in set(needles):
+        sizes.setdefault(len(n.encode()), []).append(n)
+    marks = np.random.default_rng(7).integers(0, 1 << 64, 256, np.uint64)
+    base, back = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+
+    def powers(x: int, n: int) -> np.ndarray:
+        out = np.full(n, x, np.uint64)
+        out[:1] = 1
+        return np.cumprod(out, dtype=np.uint64)
+
+    for size, group in sizes.items():
+        if size > len(body):
+            continue
+        if len(group) <= FEW or size == 0:
+            found.update(n for n in group if n in text)
+            continue
+        span = min(BLOCK, len(body) - size + 1)
+        forth, undo = powers(base, span + size - 1), powers(back, span)
+        letters = np.frombuffer("".join(group).encode(), np.uint8).reshape(len(group), size)
+        hashes = np.zeros(len(group), np.uint64)
+        for j in range(size):
+            hashes += marks[letters[:, j]] * forth[j]
+        order = np.argsort(hashes)
+        hashes, group = hashes[order], [group[i] for i in order]
+        high = np.zeros(1 << 20, bool)
+        high[hashes >> np.uint64(44)] = True
+        seen = np.zeros(len(group), bool)
+        for start in range(0, len(body) - size + 1, BLOCK):
+            part = marks[np.frombuffer(body, np.uint8, min(span + size - 1, len(body) - start), start)]
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * forth[: len(part)], dtype=np.uint64)])
+            runs = (sums[size:] - sums[:-size]) * undo[: len(part) - size + 1]
+            at = np.flatnonzero(high[runs >> np.uint64(44)])
+            place = np.minimum(np.searchsorted(hashes, runs[at]), len(group) - 1)
+            same = hashes[place] == runs[at]
+            hit, first = np.unique(place[same], return_index=True)
+            for k, i in zip(hit.tolist(), (at[same][first] + start).tolist()):
+                if not seen[k]:
+                    # Another needle of the same hash, or a chance hit, is looked for as it is.
+                    seen[k] = body[i : i + size] == group[k].encode() or group[k] in text
+        found.update(g for g, ok in zip(group, seen) if ok)
+        twins = np.flatnonzero(hashes[1:] == hashes[:-1])
+        found.update(group[k + 1] for k in twins if group[k + 1] in text)
+    return found
+
+
 def called(masters: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """(called, master_id): the names of entities and what else they are called, aliases(alias, master_id)."""
     names = masters.select(F.col("name").alias("called"), "master_id")
