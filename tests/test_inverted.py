@@ -124,3 +124,19 @@ def test_a_failed_run_leaves_the_index(spark, texts, tmp_path):
     assert index.segments() == [0] and held(index) == before
     index.add(frame(spark, {1: "gas"}), "id", "text")
     assert index.segments() == [0, 1] and held(index) != before
+
+
+def test_postings_are_gathered_in_their_row(spark):
+    """No aggregation or shuffle before the postings are dealt to buckets, and positions as they stand."""
+    docs = spark.createDataFrame([(i, f"a b a {'c ' * i}") for i in range(70)] + [(70, None), (71, "")], "id long, text string")
+    rows, lengths = inverted._postings(docs, "id", "text")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    got = {(r["term"], r["doc"]): (r["length"], r["positions"]) for r in rows.collect()}
+    assert got["a", 69] == (72, [0, 2]) and got["c", 69] == (72, list(range(3, 72))) and ("c", 0) not in got and len(got) == 209
+    assert {r["length"] for r in lengths.where("doc > 69").collect()} == {0}
+
+
+def test_positions_are_read_for_phrases_only():
+    asked = All((Term("a"), Not(Phrase(("b", "c"))), Any((Prefix("d"), Term("b")))))
+    assert inverted._phrased(asked) == {"b", "c"} and inverted._phrased(All((Term("a"), Not(Term("b"))))) == set()

@@ -12,6 +12,7 @@ all of them as one, which equals an index built at once.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -79,11 +80,32 @@ def _write(rows: DataFrame, lengths: DataFrame, folder: str) -> None:
     lengths.select("doc", "length").write.parquet(f"{folder}/lengths")
 
 
+def _gathered(batches: Iterator) -> Iterator:
+    """(term, doc, length, positions) of documents (doc, length, terms), a document at a time."""
+    import pyarrow as pa
+
+    for whole in batches:
+        for start in range(0, whole.num_rows, 64):
+            batch = whole.slice(start, 64)
+            of, words, places, ends = [], [], [], [0]
+            for i, terms in enumerate(batch.column(2).to_pylist()):
+                found: dict[str, list[int]] = {}
+                for at, t in enumerate(terms):
+                    found.setdefault(t, []).append(at)
+                for t, at in found.items():
+                    of.append(i)
+                    words.append(t)
+                    places += at
+                    ends.append(len(places))
+            positions = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places, pa.int32()))
+            doc, length = (batch.column(k).take(pa.array(of, pa.int64())) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), doc, length, positions], names=["term", "doc", "length", "positions"])
+
+
 def _postings(docs: DataFrame, doc: str, text: str) -> tuple[DataFrame, DataFrame]:
-    sized = docs.select(F.col(doc).alias("doc"), tokens(F.col(text)).alias("terms")).withColumn("length", F.size("terms"))
-    each = sized.select("doc", "length", F.posexplode("terms").alias("pos", "term"))
-    # A document lies in one task, so its positions are gathered before they are shuffled.
-    rows = each.groupBy("term", "doc", "length").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
+    sized = docs.select(F.col(doc).alias("doc"), tokens(F.col(text)).alias("terms")).select("doc", F.size("terms").alias("length"), "terms")
+    # Positions are gathered in the document's own row: an aggregation of exploded terms would sort and spill them all.
+    rows = sized.mapInArrow(_gathered, f"term string, doc {sized.schema['doc'].dataType.simpleString()}, length int, positions array<int>")
     return rows, sized.select("doc", "length")
 
 
@@ -171,7 +193,9 @@ class Index:
         postings of its words."""
         terms, starts = sorted(_words(wanted)), sorted(_starts(wanted))
         rows = self.hits(terms, starts).groupBy("doc")
-        at = {t: F.max(F.when(F.col("term") == t, F.col("positions"))).alias(f"t{i}") for i, t in enumerate(terms)}
+        # Positions are read and moved for words of phrases only; of others it is enough that they stand there.
+        placed = _phrased(wanted)
+        at = {t: F.max(F.when(F.col("term") == t, F.col("positions") if t in placed else F.lit(True))).alias(f"t{i}") for i, t in enumerate(terms)}
         begun = {p: F.max(F.col("term").startswith(p)).alias(f"p{i}") for i, p in enumerate(starts)}
         found = rows.agg(*at.values(), *begun.values())
         names = {t: F.col(f"t{i}") for i, t in enumerate(terms)} | {("p", p): F.col(f"p{i}") for i, p in enumerate(starts)}
@@ -207,6 +231,17 @@ def _words(x) -> set[str]:
     return set()
 
 
+def _phrased(x) -> set[str]:
+    match x:
+        case Phrase(words):
+            return set(words)
+        case All(parts) | Any(parts):
+            return set().union(*map(_phrased, parts))
+        case Not(part):
+            return _phrased(part)
+    return set()
+
+
 def _starts(x) -> set[str]:
     match x:
         case Prefix(start):
