@@ -47,6 +47,13 @@ def sql(template: str) -> str:
     return "(" + " || ".join(value(p) if hole else quoted(p) for hole, p in _pieces(template)) + ")"
 
 
+#: Rows that a task makes texts of, and parses: a key is a few bytes, so a split of the file holds the work of many tasks.
+ROWS_A_TASK = 4000
+
+
 def texts(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
     """(k, text) for each customer."""
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k")).select("k", column(template).alias("text"))
+    keys = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"))
+    # The count is read from the file's footer.
+    keys = keys.repartition(keys.count() // ROWS_A_TASK + 1, "k")
+    return keys.select("k", column(template).alias("text"))
