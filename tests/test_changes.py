@@ -54,3 +54,16 @@ def test_consecutive_editions(spark):
     got = sorted(map(tuple, changes.consecutive(df, ["who"], ["year", "id"], "id", "text").collect()))
     assert got == [(1, 3, "x", "y"), (3, 2, "y", None), (5, 6, "n", "m")]
     assert changes.compared(changes.consecutive(df.limit(0), ["who"], ["year"], "id", "text"), "old", "new").count() == 0
+
+
+def test_a_text_is_cut_once(spark):
+    """However many steps a script has, the earlier text is cut into tokens once a row, outside of the step."""
+    from pyspark.sql import functions as F
+
+    old, new = "a b c d e f g", "a x c y e z g"
+    rows = spark.createDataFrame([(old, new), (None, "x"), ("y", None)], "old string, new string")
+    told = changes.compared(rows, "old", "new")
+    out = told.select("new", changes.rebuilt(F.col("old"), F.col("script")).alias("again"))
+    assert all(r["again"] == (r["new"] or "") for r in out.collect())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.index("regexp_extract_all") < plan.index("aggregate(")
