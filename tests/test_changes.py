@@ -67,3 +67,17 @@ def test_a_text_is_cut_once(spark):
     assert all(r["again"] == (r["new"] or "") for r in out.collect())
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1 and plan.index("regexp_extract_all") < plan.index("aggregate(")
+
+
+def test_paths_are_sought_among_common_tokens(monkeypatch):
+    """Tokens of one side only need no search, and scripts stay shortest."""
+    a, b = list("a1b2c3d4e"), list("a5b6c7d8e9")
+    rng = random.Random(3)
+    for _ in range(300):
+        x, y = ([rng.choice("abcdefgh"[k:][:5]) for _ in range(rng.randrange(14))] for k in (0, 3))
+        runs = changes.blocks(x, y)
+        assert all(x[i : i + n] == y[j : j + n] for i, j, n in runs)
+        assert all(p[0] + p[2] <= q[0] and p[1] + p[2] <= q[1] for p, q in zip(runs, runs[1:]))
+        assert len(x) + len(y) - 2 * sum(n for *_, n in runs) == least(x, y)
+    monkeypatch.setattr(changes, "_middle", None)
+    assert changes.blocks(a, b) == [(i, i, 1) for i in (0, 2, 4, 6, 8)]
