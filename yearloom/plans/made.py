@@ -51,9 +51,9 @@ def sql(template: str) -> str:
 ROWS_A_TASK = 4000
 
 
-def texts(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
-    """(k, text) for each customer."""
+def texts(spark: SparkSession, sf_dir: str, template: str, dealt: bool = True) -> DataFrame:
+    """(k, text) for each customer; dealt: to tasks by their number, not by the splits of the file."""
     keys = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"))
-    # The count is read from the file's footer.
-    keys = keys.repartition(keys.count() // ROWS_A_TASK + 1, "k")
+    if dealt:  # the count is read from the file's footer
+        keys = keys.repartition(keys.count() // ROWS_A_TASK + 1, "k")
     return keys.select("k", column(template).alias("text"))

@@ -127,5 +127,5 @@ def extract_mixed(spark, sf_dir):
     content = F.lit(None).cast("string")
     for at, (_, text, _) in enumerate(CASES.values()):
         content = F.when(i == at, made.column(text)).otherwise(content)
-    fields = made.texts(spark, sf_dir, "").select(F.col("k").alias("field_id"), name.alias("canonical"), content.alias("content"))
+    fields = made.texts(spark, sf_dir, "", dealt=False).select(F.col("k").alias("field_id"), name.alias("canonical"), content.alias("content"))
     return S.extract(fields, "canonical", "content").select("field_id", "canonical", "sub_field", "numeric_val", "units", "text_val", "date_est", "rank")
