@@ -225,6 +225,48 @@ def test_toxicity_odd(odd, none):
     assert toxicity.score(none, model).count() == 0
 
 
+def caught_clean(scored):
+    got = [(r["toxic"], r["toxic_score"] >= 0.5) for r in scored.select("toxic", "toxic_score").collect()]
+    return [sum(p == bool(t) for t, p in got if t == x) / sum(t == x for t, _ in got) for x in (1, 0)]
+
+
+def test_toxicity_few_labels(spark):
+    """Some 300 labelled rows, a few in each language, suffice for texts of the same words elsewhere."""
+    small, large = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
+    read = lambda sf_dir, name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    labels = read(small, "labels").where("crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0")
+    model = toxicity.learn(read(small, "documents"), labels)
+    caught, clean = caught_clean(toxicity.score(read(large, "documents").join(read(large, "labels"), "doc_id"), model))
+    assert caught > 0.9 and clean > 0.99
+
+
+def test_toxicity_stems_and_copies(spark):
+    """Endings that no labelled text has are told by their stem, but not the stem itself where clean texts have it; copies of
+    one toxic text don't make its other words toxic."""
+    r = random.Random(3)
+    made = lambda n: "".join(r.choice("bdfghklmnprst") + r.choice("aeiou") for _ in range(n))
+    words, ends = [made(r.randrange(1, 5)) for _ in range(1500)], sorted({made(2) for _ in range(160)})
+    r.shuffle(ends)
+    say = lambda n: [r.choice(words) for _ in range(n)]
+
+    def text(toxic, ends):
+        out = say(100)
+        for _ in range(4):
+            out.insert(r.randrange(90), "zworgul" + r.choice(ends) if toxic else "zworgul" if r.random() < 0.1 else r.choice(words))
+        return " ".join(out)
+
+    train = [(i, text(i % 8 == 0, ends[:60]), int(i % 8 == 0)) for i in range(400)]
+    copied = say(150)
+    train += [(1000 + i, " ".join([*copied[:i], made(3), *copied[i + 1 :]]), 1) for i in range(60)]
+    train += [(2000, None, 1), (2001, "", 1), (2002, "", 0), (2003, "z" * 50_000, 0), (2004, "one text without a label", None)]
+    rows_ = spark.createDataFrame(train, "doc_id long, text string, toxic int")
+    model = toxicity.learn(rows_.select("doc_id", "text"), rows_.select("doc_id", "toxic"))
+    others = [(i, text(i % 2, ends[100:]), i % 2) for i in range(200)] + [(300 + i, " ".join([r.choice(copied) for _ in range(60)] + say(60)), 0) for i in range(100)]
+    caught, clean = caught_clean(toxicity.score(spark.createDataFrame(others, "doc_id long, text string, toxic int"), model))
+    assert caught > 0.95 and clean > 0.95
+    assert model.weights["zworgul"] < 0 and sum(any(t in model.weights for t in (w, f"{w}*")) for w in {*copied}) < 5
+
+
 # Benchmark decontamination
 
 

@@ -1,34 +1,44 @@
 """Toxicity: maximum-scoring segments of token log-odds, calibrated as extreme values.
 
-Tokens get the log-odds of toxic against clean labelled text under an informative Dirichlet prior (the labelled corpus as
-a whole).  A linear scan finds all maximal scoring segments of a document; a segment of score S among n tokens has the
-expected number K * n * exp(-lambda * S) by chance, and those below E_VALUE are significant.  Their summed significance
-maps to a probability by a logistic curve fitted on the labelled rows.
+Tokens get the log-odds of toxic against clean labelled text under an informative Dirichlet prior, that of their stem:
+inflected words share the evidence of the letters they begin with, for as long as none tells otherwise (backing off in a
+prefix tree, whose root is the labelled corpus as a whole).  A linear scan finds all maximal scoring segments of a document;
+a segment of score S among n tokens has the expected number K * n * exp(-lambda * S) by chance, and those below E_VALUE are
+significant.  Their summed significance maps to a probability by a logistic curve fitted on the labelled rows.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import appended, lowest
+from .common import appended, checkpoint, lowest
 
 #: Labelled rows that a model learns from at most: those first by the hash of doc_id.
 MAX_LABELLED = 20_000
-#: A model holds the tokens whose log-odds are so many deviations from 0, toxic or clean; other tokens share the rest.
-#: PRIOR: tokens of prior for each labelled one.
-MIN_Z, PRIOR, E_VALUE = 2.5, 0.1, 0.01
+#: A model holds the tokens and stems whose log-odds are so many deviations from those of the nearest stem that it holds, or
+#: from 0, toxic or clean; other tokens share the rest.  PRIOR: words of prior, dealt as that stem deals them.
+MIN_Z, PRIOR, E_VALUE = 3.5, 1.0, 0.01
+#: Stems have so many code points.  A text counts for a stem by its different words, up to WORDS: words of one text are not
+#: independent, and one long text would make its language look toxic.
+LEAST_STEM, LONGEST_STEM, WORDS = 4, 24, 3
+#: Minima of hashes by which copies among labelled texts are told, over runs of so many tokens.
+SKETCHES, RUN = 8, 3
 TOKEN = re.compile(r"[^\W\d_]+")
 EULER = 0.5772156649015329
 
 
 @dataclass(frozen=True)
 class Model:
-    weights: dict[str, float]  # of telling tokens
+    weights: dict[str, float]  # of telling tokens, and of telling stems, which end in *
     rest: float  # of any other token; below 0
     decay: float  # lambda
     scale: float  # K
@@ -60,18 +70,64 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(a, b, r - l) for a, b, l, r, _ in stack]
 
 
-def segments(text: str, weights: dict[str, float], rest: float) -> tuple[list[tuple[int, int, float]], int]:
-    """Maximal segments in tokens and the number of tokens.  Runs without telling tokens count as one step."""
+def stems(token: str) -> list[str]:
+    """The stems of a token, shortest first, each with a * that no token has."""
+    return [token[:k] + "*" for k in range(LEAST_STEM, min(len(token), LONGEST_STEM) + 1)]
+
+
+def lookup(weights: dict[str, float]) -> Callable[[str], float | None]:
+    """The weight of a token, or else of its longest stem that has one."""
+
+    @lru_cache(1 << 17)
+    def weight(token: str) -> float | None:
+        if token in weights:
+            return weights[token]
+        return next((weights[x] for x in reversed(stems(token)) if x in weights), None)
+
+    return weight
+
+
+def telling(nodes: list[tuple[str, int, int]], share: float) -> list[tuple[str, float, int, int]]:
+    """Of tokens and stems with their toxic and clean counts those to hold, each with its log-odds and the counts of the
+    tokens that get them.  share: of toxic texts.  All that begin with the same LEAST_STEM code points come together.
+    """
+    counts = {x: (y1, y0) for x, y1, y0 in nodes}
+    base, held = math.log(share / (1 - share)), {}
+    # Stems with a longer one of the same counts: that says as much, and fits fewer words.
+    idle = {x[:-2] + "*" for x, y in counts.items() if x[-1] == "*" and counts.get(x[:-2] + "*") == y}
+    nearest = lambda x: next((s for s in reversed(stems(x.rstrip("*"))) if s in held), None)
+    for x in sorted(counts, key=lambda x: (x[-1] != "*", len(x), x)):
+        y1, y0 = counts[x]
+        if x in idle or y1 + y0 < 2:
+            continue
+        log_odds, part = held.get(nearest(x), (0.0, share))
+        a1, a0 = y1 + PRIOR * part, y0 + PRIOR * (1 - part)
+        own = math.log(a1 / a0) - base
+        if abs(own - log_odds) >= MIN_Z * math.sqrt(1 / a1 + 1 / a0):
+            held[x] = own, a1 / (a1 + a0)
+    sums = {x: [0, 0] for x in held}
+    for x, (y1, y0) in counts.items():
+        at = x if x in held else nearest(x)
+        if x[-1] != "*" and at:
+            sums[at][0] += y1
+            sums[at][1] += y0
+    return [(x, w, *sums[x]) for x, (w, _) in held.items()]
+
+
+def segments(text: str, weight: Callable[[str], float | None], rest: float) -> tuple[list[tuple[int, int, float]], int]:
+    """Maximal segments in tokens and the number of tokens.  A token tells once in a text.  Runs without telling tokens count
+    as one step."""
     tokens = TOKEN.findall(text.lower())
-    hits = [i for i, t in enumerate(tokens) if t in weights]
-    if not hits:
-        return [], len(tokens)
-    steps, spans, last = [], [], 0
-    for i in hits:
+    steps, spans, last, seen = [], [], 0, set()
+    for i, token in enumerate(tokens):
+        w = weight(token)
+        if w is None or token in seen:
+            continue
+        seen.add(token)
         if i > last:
             steps.append(rest * (i - last))
             spans.append((last, i))
-        steps.append(weights[tokens[i]])
+        steps.append(w)
         spans.append((i, i + 1))
         last = i + 1
     return [(spans[a][0], spans[b - 1][1], s) for a, b, s in maximal_segments(steps)], len(tokens)
@@ -88,7 +144,8 @@ def significance(found: list[tuple[int, int, float]], n: int, decay: float, scal
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Model:
-    """A model of the labelled rows, or of MAX_LABELLED of them; rows with a null label or text teach nothing.
+    """A model of the labelled rows, or of MAX_LABELLED of them; rows with a null label or text teach nothing, nor do exact
+    and near copies of a row of smaller id, whose words would all seem to tell what one text tells.
 
     Without toxic rows, or without others, the model has no tokens and scores all texts alike.
     """
@@ -97,31 +154,46 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     rows = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     rows = rows.join(F.broadcast(chosen), "_id")  # MAX_LABELLED rows
 
+    rows = checkpoint(rows)
+    minima = appended(rows.select("_id", "_text"), "minima array<long>", lambda: lambda texts: [[sketch(t) for t in texts]], "_text")
+    first = minima.select("_id", F.posexplode("minima").alias("k", "h")).groupBy("k", "h").agg(F.min("_id").alias("_id"))
+    first = first.groupBy("_id").count().where(F.col("count") > SKETCHES // 2).select("_id")
+    rows = checkpoint(rows.join(F.broadcast(first), "_id", "left_semi"))  # MAX_LABELLED rows
+    n = {r["_toxic"]: float(r["count"]) for r in rows.groupBy("_toxic").count().collect()}
+    if len(n) < 2:
+        return Model({}, -1e-3, 1.0, 1e-6, 7.0 if 1 in n else -7.0, 0.0)
+    share = n[1] / (n[1] + n[0])
+
     def tally():
         def call(texts, marks):
-            return [[list(_counted(TOKEN.findall(t.lower())).items()) for t in texts]]
+            return [[list(_counted(set(TOKEN.findall(t.lower()))).items()) for t in texts]]
 
         return call
 
-    words = appended(rows, "tokens array<struct<token:string,n:int>>", tally, "_text", "_toxic").select("_toxic", F.explode("tokens").alias("t"))
-    counts = words.groupBy("t.token").agg(
+    def hold():
+        def call(groups):
+            groups = [[(x["node"], x["y1"], x["y0"]) for x in g] for g in groups]
+            return [[[{"node": x, "w": w, "y1": y1, "y0": y0} for x, w, y1, y0 in telling(g, share)] for g in groups]]
+
+        return call
+
+    words = appended(rows, "nodes array<struct<node:string,n:int>>", tally, "_text", "_toxic").select("_toxic", F.explode("nodes").alias("t"))
+    counts = words.groupBy("t.node").agg(
         F.sum(F.when(F.col("_toxic") == 1, F.col("t.n")).otherwise(0)).alias("y1"), F.sum(F.when(F.col("_toxic") == 0, F.col("t.n")).otherwise(0)).alias("y0")
     )
-    n1, n0 = (float(x or 0) for x in counts.agg(F.sum("y1"), F.sum("y0")).first())
+    whole = lambda y: F.sum(F.when(~F.endswith("node", F.lit("*")), F.col(y)).otherwise(0)).alias(y)
+    # Trees of tokens with the same first letters: no more than the words of MAX_LABELLED rows.
+    trees = counts.groupBy(F.substring("node", 1, LEAST_STEM)).agg(whole("y1"), whole("y0"), F.collect_list(F.struct("node", "y1", "y0")).alias("nodes"))
+    trees = appended(trees.select("y1", "y0", "nodes"), "held array<struct<node:string,w:double,y1:long,y0:long>>", hold, "nodes")
+    found = trees.agg(F.sum("y1").alias("n1"), F.sum("y0").alias("n0"), F.sort_array(F.flatten(F.collect_list("held"))).alias("held")).first()
+    n1, n0, top = float(found["n1"] or 0), float(found["n0"] or 0), found["held"] or []
     if not n1 or not n0:
         return Model({}, -1e-3, 1.0, 1e-6, -7.0 if n0 or not n1 else 7.0, 0.0)
-    mass = PRIOR * (n1 + n0)
-    prior = (F.col("y1") + F.col("y0")) * PRIOR
-    a1, a0 = F.col("y1") + prior, F.col("y0") + prior
-    odds = F.log(a1 / (n1 + mass - a1)) - F.log(a0 / (n0 + mass - a0))
-    counts = counts.select("token", "y1", "y0", odds.alias("w"), (odds / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
-    # No more than the words of MAX_LABELLED rows.
-    top = counts.where(F.abs("z") >= MIN_Z).orderBy("token").collect()
-    weights = {r["token"]: float(r["w"]) for r in top}
+    weights = {r["node"]: r["w"] for r in top}
     share1, share0 = sum(r["y1"] for r in top) / n1, sum(r["y0"] for r in top) / n0
     rest = min(-1e-3, math.log((1 - share1 + 1e-9) / (1 - share0 + 1e-9)))
     # lambda: the positive root of sum(p0 * exp(lambda * s)) = 1 over clean text.
-    back = [((r["y0"] + 0.5) / (n0 + 0.5 * len(top)), float(r["w"])) for r in top]
+    back = [((r["y0"] + 0.5) / (n0 + 0.5 * len(top)), r["w"]) for r in top]
     clean = 1 - sum(p for p, _ in back)
     low, high = 1e-3, 20.0
     for _ in range(60):
@@ -131,8 +203,10 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     decay = low
 
     def best():
+        weight = lookup(weights)
+
         def call(texts):
-            found = [segments(t, weights, rest) for t in texts]
+            found = [segments(t, weight, rest) for t in texts]
             return [[[float(s) for *_, s in f] for f, _ in found], [n for _, n in found]]
 
         return call
@@ -146,11 +220,21 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return Model(weights, rest, decay, scale, bias, slope)
 
 
-def _counted(tokens: list[str]) -> dict[str, int]:
-    out: dict[str, int] = {}
-    for t in tokens:
-        out[t] = out.get(t, 0) + 1
-    return out
+def sketch(text: str) -> list[int]:
+    """SKETCHES minima of hashes of the text's runs of RUN tokens; nothing of a text without tokens."""
+    tokens = TOKEN.findall(text.lower())
+    if not tokens:
+        return []
+    runs = {zlib.crc32(" ".join(tokens[i : i + RUN]).encode()) for i in range(max(1, len(tokens) - RUN + 1))}
+    hashes = np.fromiter(runs, np.uint64, len(runs))
+    odd = np.random.default_rng(7).integers(1 << 63, size=(SKETCHES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return [int(x) for x in ((hashes * odd) >> np.uint64(16)).min(1)]
+
+
+def _counted(tokens: set[str]) -> Counter[str]:
+    """A text's tokens, once each, and its stems by their tokens, up to WORDS."""
+    out = Counter(x for t in tokens for x in stems(t))
+    return Counter({x: min(n, WORDS) for x, n in out.items()} | dict.fromkeys(tokens, 1))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -171,10 +255,12 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
 
     def start():
+        weight = lookup(model.weights)
+
         def call(texts):
             scores, passages = [], []
             for t in texts:
-                found, n = segments(t or "", model.weights, model.rest)
+                found, n = segments(t or "", weight, model.rest)
                 total, kept = significance(found, n, model.decay, model.scale)
                 scores.append(1 / (1 + math.exp(-max(-30, min(30, model.bias + model.slope * math.log1p(total))))))
                 passages.append([{"start": a, "end": b, "score": s, "e_value": e} for a, b, s, e in kept])
