@@ -77,9 +77,12 @@ def stems(token: str) -> list[str]:
 
 def lookup(weights: dict[str, float]) -> Callable[[str], float | None]:
     """The weight of a token, or else of its longest stem that has one."""
+    heads = {x[:LEAST_STEM] for x in weights}
 
     @lru_cache(1 << 17)
     def weight(token: str) -> float | None:
+        if token[:LEAST_STEM] not in heads:
+            return None
         if token in weights:
             return weights[token]
         return next((weights[x] for x in reversed(stems(token)) if x in weights), None)
