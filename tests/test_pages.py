@@ -78,3 +78,13 @@ def test_links_with_pictures_and_open_ends(spark):
     df = spark.createDataFrame([(1, f"<table><tr>{html}")], "id long, html string")
     got = [(r["field"], r["content"]) for r in P.page_rows(df, "id", "html", "table").orderBy("place").collect()]
     assert got == [("A", "one three four five"), ("B", "six seven")]
+
+
+@pytest.mark.parametrize("layout", P.LAYOUTS)
+def test_long_page_without_fields(spark, layout):
+    """The text of a page without fields is whole, whatever its length."""
+    lines = [f"line {i} of the page" for i in range(15_000)]
+    df = spark.createDataFrame([(1, "<body><p>" + "<p>".join(lines) + "</body>")], "id long, html string")
+    want = "\n".join(lines)
+    assert len(want) > 300_000
+    assert [tuple(r) for r in P.page_rows(df, "id", "html", layout).collect()] == [(1, 0, "Full Content", "Text", want)]
