@@ -88,3 +88,13 @@ def test_long_page_without_fields(spark, layout):
     want = "\n".join(lines)
     assert len(want) > 300_000
     assert [tuple(r) for r in P.page_rows(df, "id", "html", layout).collect()] == [(1, 0, "Full Content", "Text", want)]
+
+
+def test_long_table_page_whose_labels_have_no_values(spark):
+    """Labels beside empty cells are no fields, so the page's text is told, and whole."""
+    lines = [f"note {i} below the table" for i in range(15_000)]
+    html = '<table><tr><td class="FieldLabel">Area:</td><td> </td></tr><tr><td class="FieldLabel">Coast:</td></tr></table><p>' + "<br>".join(lines)
+    df = spark.createDataFrame([(1, html), (2, html + "<p>end")], "id long, html string")
+    want = "\n".join(["Area:", "Coast:", *lines])
+    got = [tuple(r) for r in P.page_rows(df, "id", "html", "table").orderBy("page").collect()]
+    assert got == [(1, 0, "Full Content", "Text", want), (2, 0, "Full Content", "Text", want + "\nend")]
